@@ -73,13 +73,14 @@ def string_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, most: int):
-    """Row ranges of at most ``most`` bytes each; a longer row comes alone, whole."""
+def slices(offsets: np.ndarray, most: int, rows: int = 1 << 20):
+    """Row ranges of at most ``most`` bytes and ``rows`` rows each; a longer row comes alone, whole."""
     start, n = 0, len(offsets) - 1
     while start < n:
         stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, side="right")) - 1)
-        yield start, min(stop, n)
-        start = min(stop, n)
+        stop = min(stop, start + rows, n)
+        yield start, stop
+        start = stop
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

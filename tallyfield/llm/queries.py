@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .classifiers import quality, toxicity
+from .language_model import score_texts
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
 from .vectors import near_duplicate_vectors, nearest_vectors
@@ -33,6 +35,20 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"), n=5, similarity=0.8)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"), order=2)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query, for every ``opN_`` function of this module."""
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
