@@ -19,6 +19,7 @@ def crc_of(id_col: str) -> Column:
 # ---------------------------------------------------------------- toxicity
 
 TOXIC_BITS = 20
+CLEAR = 5.5  # standard errors by which a feature's document frequencies must differ
 
 
 def _windows(data: np.ndarray) -> np.ndarray:
@@ -53,7 +54,7 @@ def _present(column, place: np.ndarray, width: int):
         yield lo, hi - lo, pair // width, pair % width
 
 
-def fit_nnpu(rows, features, positive, unlabelled, width, prior, steps=400, rate=0.05, decay=1e-5):
+def fit_nnpu(rows, features, positive, unlabelled, width, prior, steps=400, rate=0.05, decay=1e-4):
     """Linear logistic classifier minimising the non-negative positive-unlabelled risk.
 
     Risk: ``prior * E_p[l(+g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])``.  While the corrected negative
@@ -133,7 +134,7 @@ def _fit_toxicity(sample: DataFrame, prior: float, width: int) -> tuple[np.ndarr
     share_u, share_p = F.col("u") / size.u, F.col("p") / size.p
     apart = F.abs(share_p - share_u) / F.sqrt(F.greatest(share_u * (1 - share_u), F.lit(1e-9)) / size.p + 1e-6)
     counted = sample.mapInArrow(count, "f long, p long, u long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-    best = counted.where("p + u >= 5").orderBy(apart.desc(), "f").limit(width).select("f").collect()
+    best = counted.where("p + u >= 5").withColumn("apart", apart).where(F.col("apart") > CLEAR).orderBy(F.desc("apart"), "f").limit(width).select("f").collect()
     place = np.full(1 << TOXIC_BITS, -1, np.int32)
     place[[r.f for r in best]] = np.arange(len(best))
 

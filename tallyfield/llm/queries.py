@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .classifiers import quality, toxicity
+from .html_extract import extract_pages
 from .language_model import score_texts
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
+from .token_file import read_token_file, token_path, write_token_file
 from .vectors import near_duplicate_vectors, nearest_vectors
 
 
@@ -40,6 +42,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = token_path(spark)
+    write_token_file(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_file(spark.read.parquet(path))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"), order=2)
 
