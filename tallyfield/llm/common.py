@@ -98,15 +98,25 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; equal bytes give equal hashes wherever they lie."""
-    up, down = _power_tables(len(data) + 1)
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Running polynomial sums of a sequence, from which any span's hash follows."""
+    up, _ = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return sums
+
+
+def hash_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span; equal content gives equal hashes wherever it lies."""
+    _, down = _power_tables(len(sums))
     lengths = (ends - starts).astype(np.uint64)
     return mix64((sums[ends] - sums[starts]) * down[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return hash_between(prefix_sums(data), starts, ends)
+
+
 def grams(words: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the ``n``-word shingles of each row, and each row's first shingle (rows + 1).
 

@@ -12,6 +12,7 @@ from .html_extract import extract_pages
 from .language_model import score_texts
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
+from .segmentation import decode_ids, sample_segmentations
 from .token_file import read_token_file, token_path, write_token_file
 from .vectors import near_duplicate_vectors, nearest_vectors
 
@@ -37,6 +38,21 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"), n=5, similarity=0.8)
 
 
+def segmentation_digest(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    sampled = decode_ids(sample_segmentations(docs.select("doc_id", "text"), model, k=2), model)
+    return sampled.select(
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "log_inclusion",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
+def op4_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation_digest(_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
