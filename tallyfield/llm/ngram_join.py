@@ -179,3 +179,14 @@ def ngram_jaccard_join(
         F.col("id").alias(id_col), F.coalesce("rep", "id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "id").alias("component_id"), (F.coalesce("component", "id") == F.col("id")).alias("kept"),
     )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each component of ``ngram_jaccard_join`` (the smallest id), columns unchanged.
+
+    Documents linked with nothing stay, empty ones too.  Of rows that repeat a kept id one stays.
+    """
+    stand_in = -1 - F.shiftrightunsigned(F.xxhash64(text, F.lit(5)), 2)
+    kept = ngram_jaccard_join(docs, id_col=id_col, text=text, **options).where("kept").select(F.col(id_col).alias("_kept"))
+    named = docs.withColumn("_kept", F.coalesce(F.col(id_col).cast("long"), stand_in))
+    return named.join(kept, "_kept", "left_semi").dropDuplicates(["_kept"]).drop("_kept")
