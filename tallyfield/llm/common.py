@@ -39,6 +39,11 @@ def parts(spark: SparkSession, rows: int, per_part: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows, else as it is (a shuffled join then)."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes so that every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))

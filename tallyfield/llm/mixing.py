@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, cut
+from .common import WORD, cut, small
 
+SOURCES = 100_000  # up to so many sources, their table goes to every task; beyond, joins are shuffled
 FINE = 4096  # key buckets of one level; two levels leave one row in 16 million to the last ordering
 
 
@@ -38,6 +39,7 @@ def mix_sources(
         "_src": F.coalesce(F.concat(F.lit("0"), F.col(source).cast("string")), F.lit("1")),  # null sorts last
     })
     targets = cut(_targets(sized.groupBy("_src").agg(F.sum("size").alias("source_size")), weights, share, most))
+    targets = small(targets, SOURCES)
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"), F.md5(text)))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
     p = F.col("inclusion")
@@ -59,6 +61,7 @@ def mix_sources(
         .where("_run - size / 2 <= _need2").groupBy("_src").agg(F.max(F.struct("_key", "_tie")).alias("_last"))
     )
     ends = cut(first.select("_src", "_cut1").join(second.select("_src", "_cut2"), "_src", "left").join(last, "_src", "left"))
+    ends = small(ends, SOURCES)
     within = F.coalesce(F.struct("_key", "_tie") <= F.col("_last"), F.lit(False))
     extra = (
         F.when(F.col("_key").isNull(), False).when(F.col("_cut1").isNull(), True)
