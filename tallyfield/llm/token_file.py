@@ -75,7 +75,7 @@ def split_points(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of many texts at once: every distinct part is encoded once by the library and remembered."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 2_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -100,9 +100,8 @@ class Encoder:
         first = len(self.ids) + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         flat = np.fromiter((i for ids in found for i in ids), np.uint16, int(sizes.sum()))
         self.ids = np.concatenate([self.ids, flat])
-        known = np.concatenate([self.known, keys])
-        order = np.argsort(known)
-        self.known, self.first, self.size = known[order], np.concatenate([self.first, first])[order], np.concatenate([self.size, sizes])[order]
+        at = np.searchsorted(self.known, keys)  # keys ascend, so inserting keeps the order
+        self.known, self.first, self.size = np.insert(self.known, at, keys), np.insert(self.first, at, first), np.insert(self.size, at, sizes)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts with an id 0 after each, and how many each has."""
@@ -144,29 +143,31 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, rounds: int = 4, a_roun
         if len(sequence) < 2:
             break
         left, right, inner = sequence[:-1], sequence[1:], ~last[:-1]
-        hashed = ((left * 0x9E3779B1 + right * 0x85EBCA77) & 0x3FFFFF).astype(np.int32)
-        tally = np.bincount(hashed[inner], minlength=1 << 22)
+        hashed = (left.astype(np.uint32) * np.uint32(0x9E3779B1) + right.astype(np.uint32) * np.uint32(0x85EBCA77)) >> np.uint32(12)
+        tally = np.bincount(hashed[inner], minlength=1 << 20).astype(np.int32)
         busy = np.flatnonzero(inner & (tally[hashed] >= least))
         codes, counts = np.unique(left[busy] << 24 | right[busy], return_counts=True)
         often = np.flatnonzero(counts >= least)
         if not len(often):
             break
         often = often[np.argsort(-counts[often], kind="stable")][: 4 * a_round]
-        lefts, rights, chosen = set(), set(), []
+        lefts, rights, chosen, slot = set(), set(), [], np.full(1 << 20, -1, np.int32)
         for code in codes[often].tolist():
             a, b = code >> 24, code & 0xFFFFFF
-            if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
+            bucket = ((a * 0x9E3779B1 + b * 0x85EBCA77) & 0xFFFFFFFF) >> 12
+            if a in rights or b in lefts or (a == b and (a in lefts or b in rights)) or slot[bucket] >= 0:
                 continue
             lefts.add(a)
             rights.add(b)
+            slot[bucket] = len(chosen)
             chosen.append(code)
             if len(chosen) == a_round:
                 break
-        chosen = np.sort(np.array(chosen, np.int64))
-        codes = left << 24 | right
-        at = np.minimum(np.searchsorted(chosen, codes[busy]), len(chosen) - 1)
-        hit = chosen[at] == codes[busy]
-        where, symbol = busy[hit], base + len(rules) + at[hit]
+        chosen = np.array(chosen, np.int64)
+        at = slot[hashed[busy]]
+        hit = np.flatnonzero(at >= 0)
+        hit = hit[chosen[at[hit]] == (left[busy[hit]] << 24 | right[busy[hit]])]
+        where, symbol = busy[hit], base + len(rules) + at[hit].astype(np.int64)
         apart = np.ones(len(where), bool)
         apart[1:] = np.diff(where) > 1
         run_start = np.maximum.accumulate(np.where(apart, np.arange(len(where)), 0))
