@@ -99,24 +99,34 @@ class Lattice:
         logp = np.concatenate([vocab.logp[np.concatenate(ids)] if ids else np.zeros(0), size * vocab.logp[vocab.byte_ids[0]]])
         after = start + length
         distance = end[start] - start
-        order = np.argsort(start, kind="stable")
-        self.start, self.after, logp, self.id, distance = start[order], after[order], logp[order], self.id[order], distance[order]
+        order = np.argsort(start.astype(np.int32), kind="stable")
+        self.start, self.after = start[order].astype(np.int32), after[order].astype(np.int32)
+        logp, self.id, distance = logp[order], self.id[order], distance[order]
         # Log of the sum over all ways to the unit's end, from the last character of every unit backwards.
+        deepest = int(distance.max(initial=0))
+        deep = np.argsort(distance.astype(np.int16) if deepest < 1 << 15 else distance, kind="stable")
+        from_, to, value = self.start[deep], self.after[deep], logp[deep]
+        more = to != end[from_]
+        opens = np.ones(len(deep), bool)
+        opens[1:] = from_[1:] != from_[:-1]
+        layers = np.searchsorted(distance[deep], np.arange(1, deepest + 2))
         beta = np.zeros(n + 1)
-        self.log = np.empty(len(logp))
-        deep = np.argsort(distance.astype(np.int16) if distance.max(initial=0) < 1 << 15 else distance, kind="stable")
-        layers = np.searchsorted(distance[deep], np.arange(1, distance.max(initial=0) + 2))
         for lo, hi in zip(layers[:-1], layers[1:], strict=True):
             if lo == hi:
                 continue
-            edge = deep[lo:hi]
-            from_, to = self.start[edge], self.after[edge]
-            value = logp[edge] + np.where(to == end[from_], 0.0, beta[to])
-            begin = np.flatnonzero(np.diff(from_, prepend=-1))
-            beta[from_[begin]] = total = np.logaddexp.reduceat(value, begin)
-            self.log[edge] = value - np.repeat(total, np.diff(np.append(begin, hi - lo)))
+            onward = lo + np.flatnonzero(more[lo:hi])
+            value[onward] += beta[to[onward]]
+            begin = np.flatnonzero(opens[lo:hi])
+            many = np.exp(value[lo:hi])  # a unit's total is above e-300 unless it is hundreds of characters long
+            total = np.add.reduceat(many, begin)
+            with np.errstate(divide="ignore"):
+                beta[from_[lo + begin]] = np.where(total > 1e-290, np.log(total), 0.0)
+            if total.min() <= 1e-290:
+                beta[from_[lo + begin]] = np.logaddexp.reduceat(value[lo:hi], begin)
+        self.log = np.empty(len(deep))
+        self.log[deep] = value - beta[from_]
         self.p = np.exp(self.log)
-        self.first = np.searchsorted(self.start, np.arange(n + 1))
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.start, minlength=n))])
         self.unit_first = np.zeros(n + 1, np.int64)  # of a unit's end: the unit's start
         self.unit_first[bounds[1:]] = bounds[:-1]
 
@@ -336,7 +346,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 13
         for batch in batches:
             data, offsets = string_buffers(batch.column(names.index(text)))
             keys = batch.column(len(names)).to_numpy(zero_copy_only=False).view(np.uint64)
-            for lo, hi in slices(offsets, 8 << 20):
+            for lo, hi in slices(offsets, 3 << 20):
                 lattice, out, threshold = sample_batch(vocab, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], keys[lo:hi], k)
                 for sample, (live, edges, bound, logp, perturbed) in enumerate(out, 1):
                     ids, sizes = _expand(vocab, lattice.id[edges])
