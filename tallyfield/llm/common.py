@@ -53,6 +53,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Compressed integers, byte plane by byte plane, so that small ones cost little."""
+    import zstandard
+
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(blob: bytes, kind) -> np.ndarray:
+    import zstandard
+
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
 _powers: dict[str, np.ndarray] = {}
 
 

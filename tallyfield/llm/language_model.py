@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .classifiers import crc_of
-from .common import LOWER, cut, mix64, slices, span_hashes, string_buffers, word_spans
+from .common import LOWER, cut, mix64, pack, slices, span_hashes, string_buffers, unpack, word_spans
 
 _END, _START = np.uint64(0xE4D0E4D0E4D0E4D1), np.uint64(0x57A2757A2757A275)
 _BINS, _STEP = 241, 0.05  # probability grid of the sufficient statistics: decades of 0.05, the last bin is 0
@@ -69,7 +69,7 @@ def expectation_maximisation(bucket, estimates, times, rounds: int = 60) -> np.n
 
 
 def score_texts(
-    docs: DataFrame, order: int = 2, folds: int = 10, held: int = 0, tuning: int = 1, batch_rows: int = 8192,
+    docs: DataFrame, order: int = 2, folds: int = 10, held: int = 0, tuning: int = 1,
     id_col: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Log10 probability of every whole text under an interpolated n-gram model of the corpus.
@@ -79,8 +79,9 @@ def score_texts(
     of two).  The weights come from expectation-maximisation on the counts of fold ``tuning``, held out from
     counts of the other folds; the final counts take in every learnable text.
 
-    Counting and looking up is one exchange: batches of about ``batch_rows`` texts send their distinct n-grams
-    with their own counts to ranges of the hash; each range sums and answers with totals.  What moves
+    Counting and looking up is one exchange: blocks of texts, as Arrow batches come from the scan, are packed
+    and cut to the shared folder; each sends its distinct n-grams with its own counts to ranges of the hash,
+    each range sums and answers with totals.  What moves
     grows with the distinct n-grams of the batches, no vocabulary is gathered or broadcast.  The driver sees
     N, V, the number of texts, and held-out statistics on a fixed grid.
 
@@ -88,80 +89,97 @@ def score_texts(
     unigrams), score.  Null text counts as empty: one end token.  Rows with a null id are scored, never
     learnt from, and count as held out.  Repeated rows count each time.  Other columns are dropped.
     """
+    import pyarrow as pa
+
+    kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.pmod(crc_of(id_col), F.lit(folds)).cast("int").alias("fold"))
     rows = rows.withColumn("fold", F.coalesce("fold", F.lit(held)))
     facts = rows.agg(F.count("*").alias("n"), F.count_if(F.col("fold") != held).alias("all"), F.count_if(F.col("fold") == tuning).alias("tune")).first()
-    plain = max(1, -(-facts.n // batch_rows))
-    tuned = max(1, -(-facts.tune // batch_rows))
-    where = F.xxhash64("id", "text")
-    rows = rows.withColumn(
-        "batch", F.when(F.col("fold") == tuning, plain + F.pmod(where, F.lit(tuned))).otherwise(F.pmod(where, F.lit(plain))).cast("int")
-    )
-    buckets = plain
-
-    def ask(table):
-        import pyarrow as pa
-
-        fold = table.column("fold").to_numpy()
-        batch = int(table.column("batch")[0].as_py())
-        tokens, firsts = _tokens(table.column("text").combine_chunks())
-        learnt = np.repeat(fold != held, np.diff(firsts))
-        out = {"kind": [], "bucket": [], "batch": [], "keys": [], "counts": []}
-        for kind, keys in enumerate(_gram_keys(tokens, firsts, order)):
-            distinct, which = np.unique(keys, return_inverse=True)
-            counts = np.bincount(which[learnt], minlength=len(distinct)).astype(np.uint32)
-            bounds = _bucket_bounds(distinct, buckets)
-            for b in np.flatnonzero(np.diff(bounds)):
-                cutout = slice(bounds[b], bounds[b + 1])
-                for name, value in zip(out, (kind, int(b), batch, distinct[cutout].tobytes(), counts[cutout].tobytes()), strict=True):
-                    out[name].append(value)
-        return pa.table(out, schema=pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("batch", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+    buckets = max(1, -(-facts.n // 8192))
+    block = pa.schema([("batch", pa.string()), ("tune", pa.bool_()), ("texts", pa.binary())])
+
+    def gather(batches):
+        import zstandard
+        from pyspark import TaskContext
+
+        name = f"{TaskContext.get().partitionId()}.{TaskContext.get().taskAttemptId()}"
+        for i, batch in enumerate(batches):
+            fold = batch.column(2).to_numpy()
+            for tune in (False, True):
+                part = pa.Table.from_batches([batch]).filter(pa.array((fold == tuning) == tune))
+                if len(part):
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, part.schema) as out:
+                        out.write_table(part)
+                    packed = zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())
+                    yield pa.RecordBatch.from_pylist([{"batch": f"{name}.{i}", "tune": tune, "texts": packed}], schema=block)
+
+    def texts_of(blob):
+        import zstandard
+
+        return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
+
+    # Blocks are written once, so their names hold even if a task that made them ran twice.
+    blocks = cut(rows.mapInArrow(gather, "batch string, tune boolean, texts binary"))
+    ask_schema = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("batch", pa.string()), ("tune", pa.bool_()), ("size", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+    def ask(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                table = texts_of(row["texts"])
+                tokens, firsts = _tokens(table.column("text").combine_chunks())
+                learnt = np.repeat(table.column("fold").to_numpy() != held, np.diff(firsts))
+                for kind_, keys in enumerate(_gram_keys(tokens, firsts, order)):
+                    distinct, which = np.unique(keys, return_inverse=True)
+                    counts = np.bincount(which[learnt], minlength=len(distinct)).astype(np.uint32)
+                    bounds = _bucket_bounds(distinct, buckets)
+                    out = []
+                    for b in np.flatnonzero(np.diff(bounds)):
+                        keys_b, counts_b = distinct[bounds[b] : bounds[b + 1]], counts[bounds[b] : bounds[b + 1]]
+                        steps = np.diff(keys_b, prepend=np.uint64(0))
+                        out.append({"kind": kind_, "bucket": int(b), "batch": row["batch"], "tune": row["tune"], "size": len(keys_b), "keys": pack(steps), "counts": pack(counts_b)})
+                    yield pa.RecordBatch.from_pylist(out, schema=ask_schema)
+
+    reply = pa.schema([("batch", pa.string()), ("tune", pa.bool_()), ("kind", pa.int32()), ("bucket", pa.int32()), ("total", pa.binary()), ("early", pa.binary()),
+                       ("n", pa.int64()), ("v", pa.int64()), ("n0", pa.int64()), ("v0", pa.int64())])
 
     def answer(table):
-        import pyarrow as pa
-
-        kind, bucket = int(table.column("kind")[0].as_py()), int(table.column("bucket")[0].as_py())
-        batches = table.column("batch").to_numpy()
-        keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()]).astype(np.float64)
-        ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-        distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(which, counts, len(distinct))
-        late = np.repeat(batches >= plain, np.diff(ends))
-        early = np.bincount(which[~late], counts[~late], len(distinct))
-        pack = lambda values, i: values[which[ends[i] : ends[i + 1]]].astype(np.uint64).astype(np.uint32 if total.max(initial=0) < 2**32 else np.uint64)
-        width = 4 if total.max(initial=0) < 2**32 else 8
-        rows = [(int(b), kind, bucket, pack(total, i).tobytes(), pack(early, i).tobytes() if b >= plain else None, width, None, None, None, None) for i, b in enumerate(batches)]
-        if kind == 0:
-            rows.append((-1, 0, bucket, None, None, width, int(total.sum()), int((total > 0).sum()), int(early.sum()), int((early > 0).sum())))
-        names = ["batch", "kind", "bucket", "total", "early", "width", "n", "v", "n0", "v0"]
-        return pa.table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)), schema=reply)
-
-    import pyarrow as pa
-
-    reply = pa.schema([("batch", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("total", pa.binary()), ("early", pa.binary()), ("width", pa.int32()),
-                       ("n", pa.int64()), ("v", pa.int64()), ("n0", pa.int64()), ("v0", pa.int64())])
-    asked = rows.groupBy("batch").applyInArrow(ask, "kind int, bucket int, batch int, keys binary, counts binary")
+        kind_, bucket = int(table.column("kind")[0].as_py()), int(table.column("bucket")[0].as_py())
+        names, tune, sizes = table.column("batch").to_pylist(), table.column("tune").to_numpy(), table.column("size").to_numpy()
+        keys = np.concatenate([np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in table.column("keys").to_pylist()])
+        counts = np.concatenate([unpack(c, np.uint32) for c in table.column("counts").to_pylist()]).astype(np.float64)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        distinct, which = np.unique(keys, return_inverse=True)
+        total = np.bincount(which, counts, len(distinct)).astype(np.uint64)
+        late = np.repeat(tune, sizes)
+        early = np.bincount(which[~late], counts[~late], len(distinct)).astype(np.uint64)
+        rows = []
+        for i, (name, held_back) in enumerate(zip(names, tune.tolist(), strict=True)):
+            mine = which[ends[i] : ends[i + 1]]
+            rows.append({"batch": name, "tune": held_back, "kind": kind_, "bucket": bucket, "total": pack(total[mine]), "early": pack(early[mine]) if held_back else None})
+        if kind_ == 0:
+            rows.append({"kind": 0, "bucket": bucket, "n": int(total.sum()), "v": int((total > 0).sum()), "n0": int(early.sum()), "v0": int((early > 0).sum())})
+        return pa.Table.from_pylist(rows, schema=reply)
+
+    asked = blocks.mapInArrow(ask, "kind int, bucket int, batch string, tune boolean, size long, keys binary, counts binary")
     answers = cut(asked.groupBy("kind", "bucket").applyInArrow(
-        answer, "batch int, kind int, bucket int, total binary, early binary, width int, n long, v long, n0 long, v0 long"))
-    sums = answers.where("batch = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "n0", "v0")]).first()
+        answer, "batch string, tune boolean, kind int, bucket int, total binary, early binary, n long, v long, n0 long, v0 long"))
+    sums = answers.where("batch IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "n0", "v0")]).first()
 
-    def looked_up(table, replies, column: str):
-        """Tokens' first positions and, for n = 1 .. order, the count of the n-gram that ends at each token."""
+    def looked_up(blocks_, replies, column: str):
+        """The block's texts, their first tokens and, for n = 1 .. order, the count of the n-gram that ends at each token."""
+        table = texts_of(blocks_.column("texts")[0].as_py())
         tokens, firsts = _tokens(table.column("text").combine_chunks())
-        order_of = replies.sort_by([("kind", "ascending"), ("bucket", "ascending")])
-        kinds, parts = order_of.column("kind").to_numpy(), order_of.column(column).to_pylist()
-        widths = order_of.column("width").to_pylist()
+        sorted_ = replies.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        kinds, parts = sorted_.column("kind").to_numpy(), sorted_.column(column).to_pylist()
         counts = []
-        for kind, keys in enumerate(_gram_keys(tokens, firsts, order)):
+        for kind_, keys in enumerate(_gram_keys(tokens, firsts, order)):
             _, which = np.unique(keys, return_inverse=True)
-            at = np.flatnonzero(kinds == kind)
-            values = np.concatenate([np.frombuffer(parts[i], np.uint32 if widths[i] == 4 else np.uint64).astype(np.int64) for i in at])
-            counts.append(values[which])
-        return firsts, counts
+            counts.append(np.concatenate([unpack(parts[i], np.uint64) for i in np.flatnonzero(kinds == kind_)]).astype(np.int64)[which])
+        return table, firsts, counts
 
-    def statistics(table, replies):
-        firsts, counts = looked_up(table, replies, "early")
+    def statistics(blocks_, replies):
+        _, firsts, counts = looked_up(blocks_, replies, "early")
         estimates, bucket = _estimates(counts, firsts, sums.n0, facts["all"] - facts.tune)
         cell = bucket
         for p in estimates:
@@ -170,9 +188,8 @@ def score_texts(
         cells, times = np.unique(cell, return_counts=True)
         return pa.table({"cell": pa.array(cells, pa.int64()), "times": pa.array(times, pa.int64())})
 
-    tune = rows.where(F.col("fold") == tuning).select("batch", "text")
     held_counts = (
-        tune.groupBy("batch").cogroup(answers.where(F.col("batch") >= plain).groupBy("batch"))
+        blocks.where("tune").groupBy("batch").cogroup(answers.where("tune").groupBy("batch"))
         .applyInArrow(statistics, "cell long, times long").groupBy("cell").agg(F.sum("times").alias("times")).toPandas()
     )
     cells, grid = held_counts["cell"].to_numpy().astype(np.int64), []
@@ -183,8 +200,8 @@ def score_texts(
     floor0 = np.full(len(cells), 1 / (sums.v0 + 1))
     weights = expectation_maximisation(cells, np.stack([floor0, *grid], 1), held_counts["times"].to_numpy().astype(float))
 
-    def score(table, replies):
-        firsts, counts = looked_up(table, replies, "total")
+    def score(blocks_, replies):
+        table, firsts, counts = looked_up(blocks_, replies, "total")
         estimates, bucket = _estimates(counts, firsts, sums.n, facts["all"])
         mixed = weights[bucket, 0] / (sums.v + 1)
         for k, p in enumerate(estimates):
@@ -198,9 +215,8 @@ def score_texts(
             "score": pa.array(per_text(np.log10(mixed))),
         })
 
-    kind = docs.schema[id_col].dataType.simpleString()
     scored = (
-        rows.groupBy("batch").cogroup(answers.where("batch >= 0").groupBy("batch"))
+        blocks.groupBy("batch", "tune").cogroup(answers.where("batch IS NOT NULL").groupBy("batch", "tune"))
         .applyInArrow(score, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     )
     return scored.withColumnRenamed("id", id_col)
