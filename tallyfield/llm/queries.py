@@ -12,7 +12,7 @@ from .html_extract import extract_pages
 from .language_model import score_texts
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
-from .segmentation import decode_ids, sample_segmentations
+from .segmentation import sample_segmentations
 from .token_file import read_token_file, token_path, write_token_file
 from .vectors import near_duplicate_vectors, nearest_vectors
 
@@ -42,10 +42,11 @@ def segmentation_digest(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    sampled = decode_ids(sample_segmentations(docs.select("doc_id", "text"), model, k=2), model)
+    crc = F.crc32(F.coalesce("text", F.lit("")))
+    sampled = sample_segmentations(docs.select("doc_id", "text", crc.alias("text_crc")), model, k=2, carry=["doc_id", "text_crc"])
     return sampled.select(
         "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "log_inclusion",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        (F.crc32("decoded") == F.col("text_crc")).alias("round_trip"),
     )
 
 

@@ -58,7 +58,8 @@ class Vocabulary:
             self.seen[length][keys >> np.uint64(46)] = True
             self.pieces[length] = keys[order], np.array([i for _, i in found])[order]
         self.bytes = np.frombuffer(b"".join(written), np.uint8)
-        self.bounds = np.concatenate([[0], np.cumsum([len(w) for w in written])])
+        self.sizes = np.array([len(w) for w in written])
+        self.bounds = np.concatenate([[0], np.cumsum(self.sizes)])
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -317,7 +318,13 @@ def _expand(vocab: Vocabulary, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out.astype(np.int32), sizes
 
 
-def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 13, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+ADDED = ("sample", "ids", "decoded", "log_prob", "perturbed", "log_inclusion")
+
+
+def sample_segmentations(
+    docs: DataFrame, model: str, k: int = 2, seed: int = 13,
+    id_col: str = "doc_id", text: str = "text", carry: list[str] | None = None,
+) -> DataFrame:
     """``k`` distinct random segmentations of every whole text, drawn without replacement.
 
     The lattice holds every way to write a text (a space before it, as the model adds one) with the
@@ -327,16 +334,16 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 13
     with the largest, which is the exact bound of what lies under it.  Random numbers are hashes of the row
     key (id), so reruns agree wherever rows lie.
 
-    One row per document and sample: every input column, ``sample`` (1 .. k), ``ids`` (array), ``log_prob``,
-    ``perturbed``, and ``log_inclusion``, the log of the chance ``1 - exp(-exp(log_prob - threshold))`` to be
+    One row per document and sample: the input columns (of ``carry`` only, if given), ``sample`` (1 .. k), ``ids``
+    (array), ``decoded`` (the text that the ids write), ``log_prob``, ``perturbed``, and ``log_inclusion``, the log of the chance ``1 - exp(-exp(log_prob - threshold))`` to be
     among the k, with the k + 1st perturbed value as threshold (0 where there is none).  A text with fewer
     segmentations gives fewer rows; null and empty text give one row without ids.  Repeated rows repeat.
     Input columns with an added name are replaced.
     """
-    named = docs.drop("sample", "ids", "log_prob", "perturbed", "log_inclusion").withColumn("_key", F.xxhash64(F.lit(seed), id_col))
-    added = "sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
-    fields = [f for f in named.schema.fields if f.name != "_key"]
-    names = [f.name for f in fields]
+    added = "sample int, ids array<int>, decoded string, log_prob double, perturbed double, log_inclusion double"
+    names = [c for c in (docs.columns if carry is None else carry) if c not in ADDED]
+    named = docs.select(*names, F.col(text).alias("_text"), F.xxhash64(F.lit(seed), id_col).alias("_key"))
+    fields = [f for f in named.schema.fields[: len(names)]]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + added
 
     def run(batches):
@@ -344,9 +351,9 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 13
 
         vocab = vocabulary(model)
         for batch in batches:
-            data, offsets = string_buffers(batch.column(names.index(text)))
-            keys = batch.column(len(names)).to_numpy(zero_copy_only=False).view(np.uint64)
-            for lo, hi in slices(offsets, 3 << 20):
+            data, offsets = string_buffers(batch.column(len(names)))
+            keys = batch.column(len(names) + 1).to_numpy(zero_copy_only=False).view(np.uint64)
+            for lo, hi in slices(offsets, 3 << 19):
                 lattice, out, threshold = sample_batch(vocab, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], keys[lo:hi], k)
                 for sample, (live, edges, bound, logp, perturbed) in enumerate(out, 1):
                     ids, sizes = _expand(vocab, lattice.id[edges])
@@ -356,25 +363,30 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 13
                         inclusion = np.where(logp - threshold < -30, logp - threshold, np.log(-np.expm1(-beyond)))
                     lists = pa.ListArray.from_arrays(pa.array(np.append(total[live], total[live[-1] + 1] if len(live) else 0).astype(np.int32)), pa.array(ids))
                     columns = [batch.column(i).slice(lo, hi - lo).take(pa.array(live)) for i in range(len(names))]
-                    columns += [pa.array(np.full(len(live), sample, np.int32)), lists, *(pa.array(v[live]) for v in (logp, perturbed, inclusion))]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*names, "sample", "ids", "log_prob", "perturbed", "log_inclusion"])
+                    written = [_written(vocab, ids[total[r] : total[r + 1]]) for r in live]
+                    columns += [pa.array(np.full(len(live), sample, np.int32)), lists, pa.array(written, pa.string()), *(pa.array(v[live]) for v in (logp, perturbed, inclusion))]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*names, *ADDED])
 
     return named.mapInArrow(run, schema)
 
 
+def _written(vocab: Vocabulary, ids: np.ndarray) -> str:
+    size = vocab.sizes[ids]
+    source = np.arange(size.sum()) + np.repeat(vocab.bounds[ids] - (np.cumsum(size) - size), size)
+    return vocab.bytes[source].tobytes().decode("utf-8", "replace")[1:]
+
+
 def decode_ids(segmented: DataFrame, model: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """``segmented`` with the text that each row's ids write: pieces joined, bars as spaces, the first one dropped."""
+    """``segmented`` with the text that each row's ids write: pieces joined, bars as spaces, the first one dropped.
+
+    A null array writes an empty text.
+    """
 
     @F.pandas_udf("string")
     def decode(column):
         import pandas as pd
 
-        vocab, out = vocabulary(model), []
-        for row in column:
-            at = np.asarray(row if row is not None else [], np.int64)
-            size = np.diff(vocab.bounds)[at]
-            source = np.arange(size.sum()) + np.repeat(vocab.bounds[at] - (np.cumsum(size) - size), size)
-            out.append(vocab.bytes[source].tobytes().decode("utf-8", "replace")[1:])
-        return pd.Series(out, dtype=object)
+        vocab = vocabulary(model)
+        return pd.Series([_written(vocab, np.asarray(row if row is not None else [], np.int64)) for row in column], dtype=object)
 
     return segmented.withColumn(to, decode(F.col(ids)))
