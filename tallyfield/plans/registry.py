@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-FLAGSHIP = ""
+from . import state  # noqa: F401  registers its queries
+from .reports import QUERIES, SQL
+
+FLAGSHIP = "revenue_member_day"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
