@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_between, mix64, prefix_sums, slices, string_buffers
+from .common import hash_between, mix64, prefix_sums, raw_between, slices, string_buffers
 
 _BAR = 0x2581  # the sign that stands for a space in pieces
 _G1, _G2, _G3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -52,7 +52,7 @@ class Vocabulary:
         for length, found in by_length.items():
             flat = np.concatenate([p for p, _ in found])
             starts = np.arange(len(found)) * length
-            keys = hash_between(prefix_sums(flat), starts, starts + length)
+            keys = raw_between(prefix_sums(flat), starts, starts + length)
             order = np.argsort(keys)
             self.seen[length] = np.zeros(1 << 18, bool)
             self.seen[length][keys >> np.uint64(46)] = True
@@ -82,7 +82,7 @@ class Lattice:
         single = np.zeros(n, bool)
         for length, (keys, piece) in sorted(vocab.pieces.items(), reverse=True):  # longer pieces first: mostly likelier
             at = place[place + length <= end]
-            wanted = hash_between(sums, at, at + length)
+            wanted = raw_between(sums, at, at + length)
             maybe = np.flatnonzero(vocab.seen[length][wanted >> np.uint64(46)])  # spares most searches
             at, wanted = at[maybe], wanted[maybe]
             found = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
@@ -100,34 +100,34 @@ class Lattice:
         logp = np.concatenate([vocab.logp[np.concatenate(ids)] if ids else np.zeros(0), size * vocab.logp[vocab.byte_ids[0]]])
         after = start + length
         distance = end[start] - start
+        # Edges by distance of their start from the unit's end, then by start: those of a start lie together.
+        deepest = int(distance.max(initial=0))
         order = np.argsort(start.astype(np.int32), kind="stable")
-        self.start, self.after = start[order].astype(np.int32), after[order].astype(np.int32)
-        logp, self.id, distance = logp[order], self.id[order], distance[order]
+        order = order[np.argsort(distance[order].astype(np.int16 if deepest < 1 << 15 else np.int64), kind="stable")]
+        self.start, self.after, value = start[order].astype(np.int32), after[order].astype(np.int32), logp[order]
+        self.id, distance, more = self.id[order], distance[order], (after != end[start])[order]
+        opens = np.ones(len(order), bool)
+        opens[1:] = self.start[1:] != self.start[:-1]
+        heads = np.flatnonzero(opens)
+        self.first, self.size = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+        self.first[self.start[heads]], self.size[self.start[heads]] = heads, np.diff(np.append(heads, len(order)))
         # Log of the sum over all ways to the unit's end, from the last character of every unit backwards.
-        deepest = int(distance.max(initial=0))
-        deep = np.argsort(distance.astype(np.int16) if deepest < 1 << 15 else distance, kind="stable")
-        from_, to, value = self.start[deep], self.after[deep], logp[deep]
-        more = to != end[from_]
-        opens = np.ones(len(deep), bool)
-        opens[1:] = from_[1:] != from_[:-1]
-        layers = np.searchsorted(distance[deep], np.arange(1, deepest + 2))
+        layers = np.searchsorted(distance, np.arange(1, deepest + 2))
+        first_heads = np.searchsorted(heads, layers)
         beta = np.zeros(n + 1)
-        for lo, hi in zip(layers[:-1], layers[1:], strict=True):
+        for layer, (lo, hi) in enumerate(zip(layers[:-1], layers[1:], strict=True)):
             if lo == hi:
                 continue
             onward = lo + np.flatnonzero(more[lo:hi])
-            value[onward] += beta[to[onward]]
-            begin = np.flatnonzero(opens[lo:hi])
-            many = np.exp(value[lo:hi])  # a unit's total is above e-300 unless it is hundreds of characters long
-            total = np.add.reduceat(many, begin)
-            with np.errstate(divide="ignore"):
-                beta[from_[lo + begin]] = np.where(total > 1e-290, np.log(total), 0.0)
-            if total.min() <= 1e-290:
-                beta[from_[lo + begin]] = np.logaddexp.reduceat(value[lo:hi], begin)
-        self.log = np.empty(len(deep))
-        self.log[deep] = value - beta[from_]
+            value[onward] += beta[self.after[onward]]
+            head = heads[first_heads[layer] : first_heads[layer + 1]]
+            total = np.add.reduceat(np.exp(value[lo:hi]), head - lo)
+            if total.min() > 1e-290:
+                beta[self.start[head]] = np.log(total)
+            else:  # units of hundreds of characters
+                beta[self.start[head]] = np.logaddexp.reduceat(value[lo:hi], head - lo)
+        self.log = value - beta[self.start]
         self.p = np.exp(self.log)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.start, minlength=n))])
         self.unit_first = np.zeros(n + 1, np.int64)  # of a unit's end: the unit's start
         self.unit_first[bounds[1:]] = bounds[:-1]
 
@@ -139,7 +139,7 @@ class Lattice:
         while len(active):
             rest = _uniform(keys[active] + _times(step, _G3))
             edge = self.first[at].copy()
-            most = self.first[at + 1] - 1
+            most = edge + self.size[at] - 1
             rest -= self.p[edge]
             wrong = np.flatnonzero((rest >= 0) & (edge < most))
             while len(wrong):
@@ -254,7 +254,7 @@ def _siblings(lattice, edges, bound, live, perturbed, since, row_keys, sample, f
     while todo.any():
         at = np.flatnonzero(todo[row_of] & (depth >= floor) & (step_of >= since[row_of]))
         start = lattice.start[edges[at]]
-        wide = lattice.first[start + 1] - lattice.first[start]
+        wide = lattice.size[start]
         who = np.repeat(at, wide)
         nth = np.arange(len(who)) - np.repeat(np.cumsum(wide) - wide, wide)
         other = lattice.first[lattice.start[edges[who]]] + nth
@@ -353,7 +353,7 @@ def sample_segmentations(
         for batch in batches:
             data, offsets = string_buffers(batch.column(len(names)))
             keys = batch.column(len(names) + 1).to_numpy(zero_copy_only=False).view(np.uint64)
-            for lo, hi in slices(offsets, 3 << 19):
+            for lo, hi in slices(offsets, 1 << 19):
                 lattice, out, threshold = sample_batch(vocab, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], keys[lo:hi], k)
                 for sample, (live, edges, bound, logp, perturbed) in enumerate(out, 1):
                     ids, sizes = _expand(vocab, lattice.id[edges])
