@@ -207,7 +207,7 @@ def sample_batch(vocab: Vocabulary, data: np.ndarray, offsets: np.ndarray, row_k
     for sample in range(1, k + 1):
         row = unit_row[unit]
         bound = np.searchsorted(row, np.arange(rows + 1))
-        logp = np.bincount(row, lattice.log[edges], rows)
+        logp = np.bincount(row, lattice.log[edges], rows).astype(np.float64)
         paths.append((edges, bound, unit))
         out.append((live, edges, bound, logp, perturbed.copy()))
         _siblings(lattice, edges, bound, live, perturbed, since, row_keys, sample, found)
