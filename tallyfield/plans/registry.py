@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import state  # noqa: F401  registers its queries
+from . import state, streams  # noqa: F401  register their queries
 from .reports import QUERIES, SQL
 
 FLAGSHIP = "revenue_member_day"
