@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -87,21 +88,34 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
+        self.places = np.full((2, 1 << 22), -1, np.int32)  # two places for a key; the second may be overwritten
         self.known = np.zeros(0, np.uint64)
         self.first = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint16)
 
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Entry of each key, -1 for those not remembered."""
+        entry = self.places[0][keys >> np.uint64(42)]
+        if not len(self.known):
+            return entry
+        miss = np.flatnonzero((entry < 0) | (self.known[entry] != keys))
+        second = self.places[1][(keys[miss] >> np.uint64(20)) & np.uint64(0x3FFFFF)]
+        entry[miss] = np.where((second >= 0) & (self.known[second] == keys[miss]), second, -1)
+        return entry
+
     def _learn(self, keys: np.ndarray, parts_: list[str]) -> None:
-        if len(self.known) + len(keys) > self.most and len(self.known):
-            self._forget()
         found = [e.ids for e in self.tokenizer.encode_batch_fast(parts_, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         first = len(self.ids) + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        flat = np.fromiter((i for ids in found for i in ids), np.uint16, int(sizes.sum()))
-        self.ids = np.concatenate([self.ids, flat])
-        at = np.searchsorted(self.known, keys)  # keys ascend, so inserting keeps the order
-        self.known, self.first, self.size = np.insert(self.known, at, keys), np.insert(self.first, at, first), np.insert(self.size, at, sizes)
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint16, int(sizes.sum()))])
+        entry = np.arange(len(self.known), len(self.known) + len(keys), dtype=np.int32)
+        self.known, self.first, self.size = np.concatenate([self.known, keys]), np.concatenate([self.first, first]), np.concatenate([self.size, sizes])
+        slot = keys >> np.uint64(42)
+        free = self.places[0][slot] < 0
+        self.places[0][slot[free]] = entry[free]
+        left = np.flatnonzero(self.places[0][slot] != entry)
+        self.places[1][(keys[left] >> np.uint64(20)) & np.uint64(0x3FFFFF)] = entry[left]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts with an id 0 after each, and how many each has."""
@@ -114,15 +128,15 @@ class Encoder:
         ends = np.append(starts[1:], len(points))
         byte = np.append(place, len(data))
         keys = span_hashes(data, byte[starts], byte[ends])
-        distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, distinct)
-        new = np.flatnonzero((at == len(self.known)) | (self.known[np.minimum(at, max(len(self.known) - 1, 0))] != distinct) if len(self.known) else np.ones(len(distinct), bool))
-        if len(self.known) + len(new) > self.most and len(self.known):
+        if len(self.known) > self.most:
             self._forget()
-            new = np.arange(len(distinct))
-        if len(new):
-            self._learn(distinct[new], [text[starts[f] : ends[f]] for f in first[new]])
-        entry = np.searchsorted(self.known, distinct)[which]
+        entry = self._find(keys)
+        miss = np.flatnonzero(entry < 0)
+        if len(miss):
+            new, where, which = np.unique(keys[miss], return_index=True, return_inverse=True)
+            begin = len(self.known)
+            self._learn(new, [text[starts[f] : ends[f]] for f in miss[where].tolist()])
+            entry[miss] = begin + which
         sizes, source = self.size[entry], self.first[entry]
         total = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.arange(total[-1]) + np.repeat(source - total[:-1], sizes)].astype(np.uint32)
@@ -144,18 +158,21 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, rounds: int = 4, a_roun
             break
         left, right, inner = sequence[:-1], sequence[1:], ~last[:-1]
         hashed = (left.astype(np.uint32) * np.uint32(0x9E3779B1) + right.astype(np.uint32) * np.uint32(0x85EBCA77)) >> np.uint32(12)
-        tally = np.bincount(hashed[inner], minlength=1 << 20).astype(np.int32)
-        busy = np.flatnonzero(inner & (tally[hashed] >= least))
-        codes, counts = np.unique(left[busy] << 24 | right[busy], return_counts=True)
-        often = np.flatnonzero(counts >= least)
+        codes = left << 24 | right
+        seen = np.flatnonzero(inner)
+        h, c = hashed[seen], codes[seen]
+        speaker = np.full(1 << 20, -1, np.int64)
+        speaker[h] = c  # one pair of each bucket is counted this round, exactly
+        own = speaker[h] == c
+        tally = np.bincount(h[own], minlength=1 << 20)
+        often = np.flatnonzero(tally >= least)
         if not len(often):
             break
-        often = often[np.argsort(-counts[often], kind="stable")][: 4 * a_round]
-        lefts, rights, chosen, slot = set(), set(), [], np.full(1 << 20, -1, np.int32)
-        for code in codes[often].tolist():
+        often = often[np.argsort(-tally[often], kind="stable")][: 4 * a_round]
+        lefts, rights, slot, chosen = set(), set(), np.full(1 << 20, -1, np.int32), []
+        for bucket, code in zip(often.tolist(), speaker[often].tolist(), strict=True):
             a, b = code >> 24, code & 0xFFFFFF
-            bucket = ((a * 0x9E3779B1 + b * 0x85EBCA77) & 0xFFFFFFFF) >> 12
-            if a in rights or b in lefts or (a == b and (a in lefts or b in rights)) or slot[bucket] >= 0:
+            if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
                 continue
             lefts.add(a)
             rights.add(b)
@@ -163,17 +180,15 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, rounds: int = 4, a_roun
             chosen.append(code)
             if len(chosen) == a_round:
                 break
-        chosen = np.array(chosen, np.int64)
-        at = slot[hashed[busy]]
-        hit = np.flatnonzero(at >= 0)
-        hit = hit[chosen[at[hit]] == (left[busy[hit]] << 24 | right[busy[hit]])]
-        where, symbol = busy[hit], base + len(rules) + at[hit].astype(np.int64)
+        at = slot[h]
+        hit = np.flatnonzero(own & (at >= 0))
+        where, symbol = seen[hit], base + len(rules) + at[hit].astype(np.int64)
         apart = np.ones(len(where), bool)
         apart[1:] = np.diff(where) > 1
         run_start = np.maximum.accumulate(np.where(apart, np.arange(len(where)), 0))
         even = (np.arange(len(where)) - run_start) % 2 == 0  # within a run of one sign: every second pair
         where, symbol = where[even], symbol[even]
-        rules += [(int(c) >> 24, int(c) & 0xFFFFFF) for c in chosen]
+        rules += [(code >> 24, code & 0xFFFFFF) for code in chosen]
         sequence[where] = symbol
         last[where] = last[where + 1]
         keep = np.ones(len(sequence), bool)
