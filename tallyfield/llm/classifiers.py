@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, cut, slices, span_hashes, string_buffers, word_spans
 
-_SLICE, _ROWS = 4 << 20, 1024
+_SLICE, _ROWS = 1 << 20, 1024
 
 
 def crc_of(id_col: str) -> Column:
@@ -177,12 +177,11 @@ def _toxicity_scores(weights: np.ndarray, bias: float):
 def _scored(docs: DataFrame, text: str, scores) -> DataFrame:
     """``docs`` with a column ``score`` computed from the whole text, batch by batch."""
 
-    @F.pandas_udf("double")
+    @F.arrow_udf("double")
     def score(texts):
-        import pandas as pd
         import pyarrow as pa
 
-        return pd.Series(scores(pa.Array.from_pandas(texts, type=pa.large_string())))
+        return pa.array(scores(texts), pa.float64())
 
     return docs.withColumn("score", score(F.col(text)))
 

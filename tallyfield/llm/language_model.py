@@ -18,7 +18,7 @@ def _tokens(column) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every token of every text, an end after each, and the first token of each text (rows + 1)."""
     data, offsets = string_buffers(column)
     hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for lo, hi in slices(offsets, 4 << 20):
+    for lo, hi in slices(offsets, 1 << 20):
         part, local = LOWER[data[offsets[lo] : offsets[hi]]], offsets[lo : hi + 1] - offsets[lo]
         starts, ends, firsts = word_spans(part, local)
         hashes.append(np.insert(span_hashes(part, starts, ends), firsts[1:], _END))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import components, cut, forest, grams, mix64, slices, span_hashes, string_buffers, word_spans
 
-_SLICE = 4 << 20  # bytes of text hashed at once
+_SLICE = 1 << 20  # bytes of text hashed at once
 
 
 def plan_bands(similarity: float, recall: float, most: int = 128) -> tuple[int, int]:
