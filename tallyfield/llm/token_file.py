@@ -150,39 +150,47 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, rounds: int = 4, a_roun
     A round counts neighbouring pairs and replaces the most frequent ones that do not touch each other,
     leftmost first.  Pairs never reach across the end of a document, so documents decode alone.
     """
-    sequence, rules = ids.astype(np.int64), []
-    last = np.zeros(len(sequence), bool)
-    last[docs[1:] - 1] = True
+    sequence, rules = ids.astype(np.uint32), []
+    ends = docs[1:] - 1  # the last symbol of each document
     for _ in range(rounds):
         if len(sequence) < 2:
             break
-        left, right, inner = sequence[:-1], sequence[1:], ~last[:-1]
-        hashed = (left.astype(np.uint32) * np.uint32(0x9E3779B1) + right.astype(np.uint32) * np.uint32(0x85EBCA77)) >> np.uint32(12)
-        codes = left << 24 | right
-        seen = np.flatnonzero(inner)
-        h, c = hashed[seen], codes[seen]
-        speaker = np.full(1 << 20, -1, np.int64)
-        speaker[h] = c  # one pair of each bucket is counted this round, exactly
-        own = speaker[h] == c
-        tally = np.bincount(h[own], minlength=1 << 20)
+        left, right = sequence[:-1], sequence[1:]
+        hashed = left * np.uint32(0x9E3779B1)
+        hashed += right * np.uint32(0x85EBCA77)
+        hashed >>= np.uint32(12)
+        tally = np.bincount(hashed, minlength=1 << 20)
+        full = np.flatnonzero(tally >= least)  # only these buckets can hold a frequent pair
+        dense = np.full(1 << 20, -1, np.int32)
+        dense[full] = np.arange(len(full), dtype=np.int32)
+        bucket = dense[hashed]
+        bucket[ends[:-1]] = -1
+        seen = np.flatnonzero(bucket >= 0)
+        bucket = bucket[seen]
+        codes = left[seen].astype(np.int64) << 24 | right[seen]
+        speaker = np.full(len(full), -1, np.int64)
+        speaker[bucket] = codes  # one pair of each bucket is counted this round, exactly
+        own = np.flatnonzero(speaker[bucket] == codes)
+        seen, bucket = seen[own], bucket[own]
+        tally = np.bincount(bucket, minlength=len(full))
         often = np.flatnonzero(tally >= least)
         if not len(often):
             break
         often = often[np.argsort(-tally[often], kind="stable")][: 4 * a_round]
-        lefts, rights, slot, chosen = set(), set(), np.full(1 << 20, -1, np.int32), []
-        for bucket, code in zip(often.tolist(), speaker[often].tolist(), strict=True):
+        lefts, rights, slot, chosen = set(), set(), np.full(len(full), -1, np.int32), []
+        for at, code in zip(often.tolist(), speaker[often].tolist(), strict=True):
             a, b = code >> 24, code & 0xFFFFFF
             if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
                 continue
             lefts.add(a)
             rights.add(b)
-            slot[bucket] = len(chosen)
+            slot[at] = len(chosen)
             chosen.append(code)
             if len(chosen) == a_round:
                 break
-        at = slot[h]
-        hit = np.flatnonzero(own & (at >= 0))
-        where, symbol = seen[hit], base + len(rules) + at[hit].astype(np.int64)
+        symbol = slot[bucket]
+        hit = np.flatnonzero(symbol >= 0)
+        where, symbol = seen[hit], (base + len(rules) + symbol[hit]).astype(np.uint32)
         apart = np.ones(len(where), bool)
         apart[1:] = np.diff(where) > 1
         run_start = np.maximum.accumulate(np.where(apart, np.arange(len(where)), 0))
@@ -190,11 +198,11 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, rounds: int = 4, a_roun
         where, symbol = where[even], symbol[even]
         rules += [(code >> 24, code & 0xFFFFFF) for code in chosen]
         sequence[where] = symbol
-        last[where] = last[where + 1]
         keep = np.ones(len(sequence), bool)
         keep[where + 1] = False
-        sequence, last = sequence[keep], last[keep]
-    begins = np.concatenate([[0], np.flatnonzero(last) + 1])
+        sequence = sequence[keep]
+        ends = ends - np.searchsorted(where, ends)  # as many symbols went before each end as pairs were replaced
+    begins = np.concatenate([[0], ends + 1])
     return np.array(rules, np.int64).reshape(-1, 2), sequence, begins
 
 
