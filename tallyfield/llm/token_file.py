@@ -84,6 +84,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.most = most
         self._forget()
 
@@ -104,11 +105,19 @@ class Encoder:
         entry[miss] = np.where((second >= 0) & (self.known[second] == keys[miss]), second, -1)
         return entry
 
-    def _learn(self, keys: np.ndarray, parts_: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts_, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+    def _learn(self, keys: np.ndarray, solid: np.ndarray, parts_: list[str]) -> None:
+        """Remember the ids of new parts.  Solid parts go to the library as lines: a line break is a part of its own."""
+        alone = [p for p, s in zip(parts_, solid.tolist(), strict=True) if not s]
+        words = [p for p, s in zip(parts_, solid.tolist(), strict=True) if s]
+        lines = ["\n".join(words[i : i + 256]) + "\n" for i in range(0, len(words), 256)]
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(alone + lines, add_special_tokens=False)]
+        blank = np.fromiter(chain.from_iterable(encoded[: len(alone)]), np.uint16)
+        flat = np.fromiter(chain.from_iterable(encoded[len(alone) :]), np.uint16)
+        breaks = np.flatnonzero(flat == self.line_break)
+        keys = np.concatenate([keys[~solid], keys[solid]])
+        sizes = np.concatenate([np.fromiter(map(len, encoded[: len(alone)]), np.int64), np.diff(breaks, prepend=-1) - 1])
         first = len(self.ids) + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint16, int(sizes.sum()))])
+        self.ids = np.concatenate([self.ids, blank, flat[flat != self.line_break]])
         entry = np.arange(len(self.known), len(self.known) + len(keys), dtype=np.int32)
         self.known, self.first, self.size = np.concatenate([self.known, keys]), np.concatenate([self.first, first]), np.concatenate([self.size, sizes])
         slot = keys >> np.uint64(42)
@@ -134,9 +143,13 @@ class Encoder:
         miss = np.flatnonzero(entry < 0)
         if len(miss):
             new, where, which = np.unique(keys[miss], return_index=True, return_inverse=True)
-            begin = len(self.known)
-            self._learn(new, [text[starts[f] : ends[f]] for f in miss[where].tolist()])
-            entry[miss] = begin + which
+            begin, at = len(self.known), miss[where]
+            solid = _classes()[points[ends[at] - 1]] != _WHITE
+            self._learn(new, solid, [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            order = np.argsort(solid, kind="stable")  # as learnt: white space first
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            entry[miss] = begin + rank[which]
         sizes, source = self.size[entry], self.first[entry]
         total = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.arange(total[-1]) + np.repeat(source - total[:-1], sizes)].astype(np.uint32)
@@ -159,11 +172,15 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, rounds: int = 4, a_roun
         hashed = left * np.uint32(0x9E3779B1)
         hashed += right * np.uint32(0x85EBCA77)
         hashed >>= np.uint32(12)
+        hashed = hashed.astype(np.intp)
         tally = np.bincount(hashed, minlength=1 << 20)
         full = np.flatnonzero(tally >= least)  # only these buckets can hold a frequent pair
-        dense = np.full(1 << 20, -1, np.int32)
-        dense[full] = np.arange(len(full), dtype=np.int32)
-        bucket = dense[hashed]
+        if len(full) > 4 * a_round:
+            full = full[np.argsort(-tally[full], kind="stable")[: 4 * a_round]]
+        kind = np.int16 if len(full) < 1 << 15 else np.int32
+        dense = np.full(1 << 20, -1, kind)
+        dense[full] = np.arange(len(full), dtype=kind)
+        bucket = dense.take(hashed, mode="clip")
         bucket[ends[:-1]] = -1
         seen = np.flatnonzero(bucket >= 0)
         bucket = bucket[seen]
@@ -176,7 +193,7 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, rounds: int = 4, a_roun
         often = np.flatnonzero(tally >= least)
         if not len(often):
             break
-        often = often[np.argsort(-tally[often], kind="stable")][: 4 * a_round]
+        often = often[np.argsort(-tally[often], kind="stable")]
         lefts, rights, slot, chosen = set(), set(), np.full(len(full), -1, np.int32), []
         for at, code in zip(often.tolist(), speaker[often].tolist(), strict=True):
             a, b = code >> 24, code & 0xFFFFFF
