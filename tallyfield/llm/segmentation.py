@@ -60,6 +60,7 @@ class Vocabulary:
         self.bytes = np.frombuffer(b"".join(written), np.uint8)
         self.sizes = np.array([len(w) for w in written])
         self.bounds = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.lattice = Lattice(self)
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -69,13 +70,52 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Lattice:
-    """All segmentations of many units (a space and the word after it), as edges sorted by start.
+    """All segmentations of many units (a space and the word after it), as edges; those of one start lie together.
 
     ``p`` is an edge's probability given its start when whole segmentations are drawn from the model, ``log`` its log.
+    Units are remembered between batches, as words recur; all are forgotten before they exceed ``most`` characters.
     """
 
-    def __init__(self, vocab: Vocabulary, points: np.ndarray, bounds: np.ndarray):
-        n = len(points)
+    EDGES = {"start": np.int32, "after": np.int32, "id": np.int32, "log": np.float64, "p": np.float64}
+    POINTS = {"first": np.int32, "size": np.int32}
+
+    def __init__(self, vocab: Vocabulary, most: int = 2_500_000):
+        self.vocab, self.most = vocab, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.edges = self.points = 0
+        for name, kind in (self.EDGES | self.POINTS).items():
+            setattr(self, name, np.zeros(0, kind))
+
+    def places(self, keys: np.ndarray, points: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """First characters, in this lattice, of distinct units: spans of ``points`` with sorted hashes ``keys``."""
+        at = np.searchsorted(self.known, keys)
+        new = np.flatnonzero(np.append(self.known, np.uint64(0))[at] != keys) if len(self.known) else np.arange(len(keys))
+        if self.points + (ends - begins)[new].sum() > self.most:
+            self._forget()
+            at, new = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        if len(new):
+            sizes = (ends - begins)[new]
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+            place = self.points + bounds[:-1]
+            self._add(points[np.arange(bounds[-1]) + np.repeat(begins[new] - bounds[:-1], sizes)], bounds)
+            self.known, self.place = np.insert(self.known, at[new], keys[new]), np.insert(self.place, at[new], place)
+        return self.place[np.searchsorted(self.known, keys)]
+
+    def _append(self, total: int, values: dict) -> None:
+        for name, new in values.items():
+            old = getattr(self, name)
+            if total + len(new) > len(old):
+                more = np.empty(max(total + len(new), len(old) * 3 // 2), old.dtype)
+                more[:total] = old[:total]
+                setattr(self, name, more)
+            getattr(self, name)[total : total + len(new)] = new
+
+    def _add(self, points: np.ndarray, bounds: np.ndarray) -> None:
+        """Append the edges of units that lie one after the other in ``points``."""
+        vocab, n = self.vocab, len(points)
         end = np.repeat(bounds[1:], np.diff(bounds))
         sums, place = prefix_sums(points), np.arange(n)
         starts, lengths, ids = [], [], []
@@ -96,7 +136,7 @@ class Lattice:
         size = 1 + (points[strange] > 0x7F) + (points[strange] > 0x7FF) + (points[strange] > 0xFFFF)
         start = np.concatenate([*starts, strange])
         length = np.concatenate([*lengths, np.ones(len(strange), np.int64)])
-        self.id = np.concatenate([*ids, -1 - points[strange].astype(np.int64)])
+        ids_ = np.concatenate([*ids, -1 - points[strange].astype(np.int64)])
         logp = np.concatenate([vocab.logp[np.concatenate(ids)] if ids else np.zeros(0), size * vocab.logp[vocab.byte_ids[0]]])
         after = start + length
         distance = end[start] - start
@@ -104,13 +144,13 @@ class Lattice:
         deepest = int(distance.max(initial=0))
         order = np.argsort(start.astype(np.int32), kind="stable")
         order = order[np.argsort(distance[order].astype(np.int16 if deepest < 1 << 15 else np.int64), kind="stable")]
-        self.start, self.after, value = start[order].astype(np.int32), after[order].astype(np.int32), logp[order]
-        self.id, distance, more = self.id[order], distance[order], (after != end[start])[order]
+        start, after, value, distance = start[order], after[order], logp[order], distance[order]
+        more = after != end[start]
         opens = np.ones(len(order), bool)
-        opens[1:] = self.start[1:] != self.start[:-1]
+        opens[1:] = start[1:] != start[:-1]
         heads = np.flatnonzero(opens)
-        self.first, self.size = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
-        self.first[self.start[heads]], self.size[self.start[heads]] = heads, np.diff(np.append(heads, len(order)))
+        first, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        first[start[heads]], size[start[heads]] = heads, np.diff(np.append(heads, len(order)))
         # Log of the sum over all ways to the unit's end, from the last character of every unit backwards.
         layers = np.searchsorted(distance, np.arange(1, deepest + 2))
         first_heads = np.searchsorted(heads, layers)
@@ -119,17 +159,18 @@ class Lattice:
             if lo == hi:
                 continue
             onward = lo + np.flatnonzero(more[lo:hi])
-            value[onward] += beta[self.after[onward]]
+            value[onward] += beta[after[onward]]
             head = heads[first_heads[layer] : first_heads[layer + 1]]
             total = np.add.reduceat(np.exp(value[lo:hi]), head - lo)
-            if total.min() > 1e-290:
-                beta[self.start[head]] = np.log(total)
-            else:  # units of hundreds of characters
-                beta[self.start[head]] = np.logaddexp.reduceat(value[lo:hi], head - lo)
-        self.log = value - beta[self.start]
-        self.p = np.exp(self.log)
-        self.unit_first = np.zeros(n + 1, np.int64)  # of a unit's end: the unit's start
-        self.unit_first[bounds[1:]] = bounds[:-1]
+            tiny = total < 1e-290  # in units of hundreds of characters
+            if tiny.any():
+                beta[start[head]] = np.where(tiny, np.logaddexp.reduceat(value[lo:hi], head - lo), np.log(np.maximum(total, 1e-290)))
+            else:
+                beta[start[head]] = np.log(total)
+        log = value - beta[start]
+        self._append(self.edges, {"start": start + self.points, "after": after + self.points, "id": ids_[order], "log": log, "p": np.exp(log)})
+        self._append(self.points, {"first": first + self.edges, "size": size})
+        self.edges, self.points = self.edges + len(order), self.points + n
 
     def draw(self, pos: np.ndarray, end: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges of one random segmentation from ``pos`` to ``end`` for each row, and how many each has."""
@@ -183,11 +224,10 @@ def sample_batch(vocab: Vocabulary, data: np.ndarray, offsets: np.ndarray, row_k
     points, bounds, begins = _units(vocab, data, offsets)
     ends = np.append(begins[1:], len(points))
     sums = prefix_sums(points)
-    _, chosen, which = np.unique(hash_between(sums, begins, ends), return_index=True, return_inverse=True)
-    sizes = (ends - begins)[chosen]
-    local = np.concatenate([[0], np.cumsum(sizes)])
-    lattice = Lattice(vocab, points[np.arange(local[-1]) + np.repeat(begins[chosen] - local[:-1], sizes)], local)
-    unit_start, unit_end = local[which], local[which + 1]  # of each occurrence, in the lattice
+    distinct, chosen, which = np.unique(hash_between(sums, begins, ends), return_index=True, return_inverse=True)
+    lattice = vocab.lattice
+    unit_start = lattice.places(distinct, points, begins[chosen], ends[chosen])[which]  # of each occurrence, in the lattice
+    unit_end = unit_start + (ends - begins)
     unit_bounds = np.searchsorted(begins, bounds)  # of rows, in occurrences
     unit_row = np.repeat(np.arange(rows), np.diff(unit_bounds))
     nth = np.arange(len(unit_row)) - unit_bounds[unit_row]
@@ -219,7 +259,7 @@ def sample_batch(vocab: Vocabulary, data: np.ndarray, offsets: np.ndarray, row_k
         pick = at[live]
         rank["g"][pick] = -np.inf  # taken
         found = {name: [values] for name, values in rank.items()}
-        edges, unit, since = _deviate(lattice, paths, rank, pick, live, unit_bounds, unit_end, keys_of, sample + 1, rows)
+        edges, unit, since = _deviate(lattice, paths, rank, pick, live, unit_bounds, unit_start, unit_end, keys_of, sample + 1, rows)
         perturbed = np.where(best > -np.inf, best, perturbed)
     return lattice, out, best
 
@@ -279,7 +319,7 @@ def _siblings(lattice, edges, bound, live, perturbed, since, row_keys, sample, f
         todo, floor = again, floor * 4
 
 
-def _deviate(lattice, paths, rank, pick, live, unit_bounds, unit_end, keys_of, sample, rows):
+def _deviate(lattice, paths, rank, pick, live, unit_bounds, unit_start, unit_end, keys_of, sample, rows):
     """The next path of each live row: its prefix up to the candidate, the candidate, and a fresh random rest."""
     path, nth, edge = rank["path"][pick], rank["nth"][pick], rank["edge"][pick]
     since = np.zeros(rows, np.int64)
@@ -295,7 +335,7 @@ def _deviate(lattice, paths, rank, pick, live, unit_bounds, unit_end, keys_of, s
         kept_units.append(unit[source])
     rest = unit_bounds[live + 1] - own  # the candidate's own unit, from behind it, and all units after it
     occurrence = np.arange(rest.sum()) - np.repeat(np.cumsum(rest) - rest, rest) + np.repeat(own, rest)
-    begin = lattice.unit_first[unit_end[occurrence]]
+    begin = unit_start[occurrence]
     begin[np.cumsum(rest) - rest] = lattice.after[edge]
     drawn, counts = lattice.draw(begin, unit_end[occurrence], keys_of(occurrence, sample))
     rows_of = np.concatenate([*kept_rows, live, np.repeat(np.repeat(live, rest), counts)])
@@ -361,10 +401,10 @@ def sample_segmentations(
                     beyond = np.exp(np.minimum(logp - threshold, 700))
                     with np.errstate(divide="ignore"):
                         inclusion = np.where(logp - threshold < -30, logp - threshold, np.log(-np.expm1(-beyond)))
-                    lists = pa.ListArray.from_arrays(pa.array(np.append(total[live], total[live[-1] + 1] if len(live) else 0).astype(np.int32)), pa.array(ids))
+                    within = np.append(total[live], total[live[-1] + 1] if len(live) else 0)
+                    lists = pa.ListArray.from_arrays(pa.array(within.astype(np.int32)), pa.array(ids))
                     columns = [batch.column(i).slice(lo, hi - lo).take(pa.array(live)) for i in range(len(names))]
-                    written = [_written(vocab, ids[total[r] : total[r + 1]]) for r in live]
-                    columns += [pa.array(np.full(len(live), sample, np.int32)), lists, pa.array(written, pa.string()), *(pa.array(v[live]) for v in (logp, perturbed, inclusion))]
+                    columns += [pa.array(np.full(len(live), sample, np.int32)), lists, _written_rows(vocab, ids, within), *(pa.array(v[live]) for v in (logp, perturbed, inclusion))]
                     yield pa.RecordBatch.from_arrays(columns, names=[*names, *ADDED])
 
     return named.mapInArrow(run, schema)
@@ -376,6 +416,19 @@ def _written(vocab: Vocabulary, ids: np.ndarray) -> str:
     return vocab.bytes[source].tobytes().decode("utf-8", "replace")[1:]
 
 
+def _written_rows(vocab: Vocabulary, ids: np.ndarray, bounds: np.ndarray):
+    """The texts that the ids of rows write, as an Arrow column; ``bounds`` are the rows' first ids (rows + 1)."""
+    import pyarrow as pa
+
+    size = vocab.sizes[ids]
+    ends = np.concatenate([[0], np.cumsum(size)])
+    flat = vocab.bytes[np.arange(ends[-1]) + np.repeat(vocab.bounds[ids] - ends[:-1], size)]
+    filled = bounds[1:] > bounds[:-1]
+    flat = np.delete(flat, ends[bounds[:-1][filled]])  # the space that stands before each text
+    offsets = ends[bounds] - np.concatenate([[0], np.cumsum(filled)])
+    return pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat))
+
+
 def decode_ids(segmented: DataFrame, model: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """``segmented`` with the text that each row's ids write: pieces joined, bars as spaces, the first one dropped.
 

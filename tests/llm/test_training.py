@@ -389,6 +389,24 @@ def test_samples_follow_the_exact_distribution():
             assert abs(seen[s][ids] / n - want) < 5 * math.sqrt(want * (1 - want) / n) + 1e-4
 
 
+def test_remembered_units_change_no_sample():
+    """Units kept from earlier batches, or forgotten in between, give the samples of a fresh lattice."""
+    texts = ["the cat sat on the mat", "a cat, a mat and the café", "x" * 400, "the cat sat again on a mat"]
+    results = []
+    for most in (10, 60, 1 << 20, None):
+        vocab, made = Vocabulary(PIECES), []
+        for i, text in enumerate(texts * 2):
+            if most is None:
+                vocab.lattice._forget()
+            else:
+                vocab.lattice.most = most
+            data = np.frombuffer(text.encode(), np.uint8)
+            lattice, out, _ = sample_batch(vocab, data, np.array([0, len(data)]), np.array([i], np.uint64), 3)
+            made += [(lattice.id[edges].tolist(), logp.tolist(), perturbed.tolist()) for _, edges, _, logp, perturbed in out]
+        results.append(made)
+    assert results[0] == results[1] == results[2] == results[3]
+
+
 def test_segmentations_round_trip_and_edges(spark):
     df = documents(spark, ODD).withColumn("ids", F.lit("clash"))
     rows = decode_ids(sample_segmentations(df, PIECES, k=3), PIECES, to="again").collect()
