@@ -79,11 +79,12 @@ class Lattice:
     EDGES = {"start": np.int32, "after": np.int32, "id": np.int32, "log": np.float64, "p": np.float64}
     POINTS = {"first": np.int32, "size": np.int32}
 
-    def __init__(self, vocab: Vocabulary, most: int = 2_500_000):
+    def __init__(self, vocab: Vocabulary, most: int = 1_500_000):
         self.vocab, self.most = vocab, most
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Give back all memory."""
         self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.edges = self.points = 0
         for name, kind in (self.EDGES | self.POINTS).items():
@@ -94,7 +95,7 @@ class Lattice:
         at = np.searchsorted(self.known, keys)
         new = np.flatnonzero(np.append(self.known, np.uint64(0))[at] != keys) if len(self.known) else np.arange(len(keys))
         if self.points + (ends - begins)[new].sum() > self.most:
-            self._forget()
+            self.forget()
             at, new = np.zeros(len(keys), np.int64), np.arange(len(keys))
         if len(new):
             sizes = (ends - begins)[new]
@@ -390,22 +391,25 @@ def sample_segmentations(
         import pyarrow as pa
 
         vocab = vocabulary(model)
-        for batch in batches:
-            data, offsets = string_buffers(batch.column(len(names)))
-            keys = batch.column(len(names) + 1).to_numpy(zero_copy_only=False).view(np.uint64)
-            for lo, hi in slices(offsets, 1 << 19):
-                lattice, out, threshold = sample_batch(vocab, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], keys[lo:hi], k)
-                for sample, (live, edges, bound, logp, perturbed) in enumerate(out, 1):
-                    ids, sizes = _expand(vocab, lattice.id[edges])
-                    total = np.concatenate([[0], np.cumsum(sizes)])[bound]
-                    beyond = np.exp(np.minimum(logp - threshold, 700))
-                    with np.errstate(divide="ignore"):
-                        inclusion = np.where(logp - threshold < -30, logp - threshold, np.log(-np.expm1(-beyond)))
-                    within = np.append(total[live], total[live[-1] + 1] if len(live) else 0)
-                    lists = pa.ListArray.from_arrays(pa.array(within.astype(np.int32)), pa.array(ids))
-                    columns = [batch.column(i).slice(lo, hi - lo).take(pa.array(live)) for i in range(len(names))]
-                    columns += [pa.array(np.full(len(live), sample, np.int32)), lists, _written_rows(vocab, ids, within), *(pa.array(v[live]) for v in (logp, perturbed, inclusion))]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*names, *ADDED])
+        try:
+            for batch in batches:
+                data, offsets = string_buffers(batch.column(len(names)))
+                keys = batch.column(len(names) + 1).to_numpy(zero_copy_only=False).view(np.uint64)
+                for lo, hi in slices(offsets, 1 << 19):
+                    lattice, out, threshold = sample_batch(vocab, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], keys[lo:hi], k)
+                    for sample, (live, edges, bound, logp, perturbed) in enumerate(out, 1):
+                        ids, sizes = _expand(vocab, lattice.id[edges])
+                        total = np.concatenate([[0], np.cumsum(sizes)])[bound]
+                        beyond = np.exp(np.minimum(logp - threshold, 700))
+                        with np.errstate(divide="ignore"):
+                            inclusion = np.where(logp - threshold < -30, logp - threshold, np.log(-np.expm1(-beyond)))
+                        within = np.append(total[live], total[live[-1] + 1] if len(live) else 0)
+                        lists = pa.ListArray.from_arrays(pa.array(within.astype(np.int32)), pa.array(ids))
+                        columns = [batch.column(i).slice(lo, hi - lo).take(pa.array(live)) for i in range(len(names))]
+                        columns += [pa.array(np.full(len(live), sample, np.int32)), lists, _written_rows(vocab, ids, within), *(pa.array(v[live]) for v in (logp, perturbed, inclusion))]
+                        yield pa.RecordBatch.from_arrays(columns, names=[*names, *ADDED])
+        finally:  # workers live on, and later stages need their memory
+            vocab.lattice.forget()
 
     return named.mapInArrow(run, schema)
 

@@ -397,7 +397,7 @@ def test_remembered_units_change_no_sample():
         vocab, made = Vocabulary(PIECES), []
         for i, text in enumerate(texts * 2):
             if most is None:
-                vocab.lattice._forget()
+                vocab.lattice.forget()
             else:
                 vocab.lattice.most = most
             data = np.frombuffer(text.encode(), np.uint8)
