@@ -45,6 +45,8 @@ class Vocabulary:
                 ranks[i] = min(-sp.get_score(i), n)
                 written[i] = piece.replace("▁", " ").encode()
                 by_length.setdefault(len(piece), []).append((np.frombuffer(piece.encode("utf-32-le"), np.uint32), i))
+        # Control characters inside pieces of several characters; nothing reaches across the others.
+        self.joined = np.isin(np.arange(0x20), np.concatenate([p for size, f in by_length.items() if size > 1 for p, _ in f]))
         weights = 1 / (ranks + 2)
         with np.errstate(divide="ignore"):
             self.logp = np.log(weights / weights.sum())
@@ -213,7 +215,7 @@ def _units(vocab: Vocabulary, data: np.ndarray, offsets: np.ndarray):
     begins[bounds] = True
     bar = points == _BAR
     begins[1:-1] |= bar[1:] & ~bar[:-1]
-    breaks = points < 0x20  # control characters are in no piece, so nothing reaches across them
+    breaks = (points < 0x20) & ~vocab.joined[np.minimum(points, 0x1F)]
     begins[:-1] |= breaks
     begins[1:] |= breaks
     return points, bounds, np.flatnonzero(begins[:-1])

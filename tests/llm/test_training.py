@@ -389,6 +389,35 @@ def test_samples_follow_the_exact_distribution():
             assert abs(seen[s][ids] / n - want) < 5 * math.sqrt(want * (1 - want) / n) + 1e-4
 
 
+@pytest.mark.parametrize("text", ["a);\r\nb", "}\r\r\n\tx", "\r", ";\r {\r"])
+def test_lattices_of_line_ends_hold_every_segmentation(text):
+    """Carriage returns are in pieces of several characters; bytes stand for characters without a piece."""
+    vocab = Vocabulary(PIECES)
+    by_text = {vocab.bytes[vocab.bounds[i] : vocab.bounds[i + 1]].tobytes().decode(): int(i) for _, ids in vocab.pieces.values() for i in ids}
+
+    def go(rest, ids, logp):
+        if not rest:
+            return [(ids, logp)]
+        out = []
+        for n in range(1, len(rest) + 1):
+            if rest[:n] in by_text:
+                i = by_text[rest[:n]]
+                out += go(rest[n:], (*ids, i), logp + vocab.logp[i])
+            elif n == 1:
+                raw = rest[0].encode()
+                out += go(rest[1:], (*ids, -1 - ord(rest[0])), logp + len(raw) * vocab.logp[vocab.byte_ids[0]])
+        return out
+
+    ways = go(" " + text, (), 0.0)
+    total = np.logaddexp.reduce([logp for _, logp in ways])
+    truth = {ids: logp - total for ids, logp in ways}
+    data = np.frombuffer(text.encode(), np.uint8)
+    lattice, out, _ = sample_batch(vocab, data, np.array([0, len(data)]), np.array([5], np.uint64), len(truth))
+    drawn = {tuple(lattice.id[edges].tolist()): logp[0] for _, edges, _, logp, _ in out}
+    assert drawn.keys() == truth.keys()
+    assert all(math.isclose(drawn[ids], truth[ids], abs_tol=1e-6) for ids in truth)
+
+
 def test_remembered_units_change_no_sample():
     """Units kept from earlier batches, or forgotten in between, give the samples of a fresh lattice."""
     texts = ["the cat sat on the mat", "a cat, a mat and the café", "x" * 400, "the cat sat again on a mat"]
