@@ -157,70 +157,99 @@ class Encoder:
         return np.insert(ids, per_text[1:], 0), np.diff(per_text) + 1
 
 
-def repair(ids: np.ndarray, docs: np.ndarray, base: int, rounds: int = 4, a_round: int = 512, least: int = 24):
+def repair(ids: np.ndarray, docs: np.ndarray, base: int, least: int = 24):
     """Re-Pair: rules (left, right), the sequence rewritten with them, and each document's first symbol in it.
 
-    A round counts neighbouring pairs and replaces the most frequent ones that do not touch each other,
-    leftmost first.  Pairs never reach across the end of a document, so documents decode alone.
+    A round replaces the most frequent pairs of neighbours that do not touch each other, leftmost first;
+    rounds go on until no pair is left that occurs ``least`` times without overlap.  All counts are exact:
+    a pair only arises in the round that makes its younger symbol and only loses occurrences after that, so
+    its places are found once and a pair under ``least`` is let go for good.  Pairs never reach across the
+    end of a document, so documents decode alone.
     """
-    sequence, rules = ids.astype(np.uint32), []
-    ends = docs[1:] - 1  # the last symbol of each document
-    for _ in range(rounds):
-        if len(sequence) < 2:
+    n, rules = len(ids), []
+    symbols = np.append(ids, 0).astype(np.uint32)
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)  # n: none
+    after[docs[1:] - 1], before[docs[:-1]] = n, n
+    alive = np.ones(n, bool)
+    kind = np.full(n + 1, -1, np.int32)  # the pair that begins at a place, of those that occur often enough
+    codes = tally = np.zeros(0, np.int64)
+    active = np.zeros(0, np.int32)
+    new = np.flatnonzero(after[:n] != n).astype(np.int32)
+    while True:
+        # Name the pairs that arose; a bucket under ``least`` holds none that occurs often enough.
+        left, right = symbols[new], symbols[after[new]]
+        hashed = ((left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(12)).astype(np.intp)
+        full = np.flatnonzero((np.bincount(hashed, minlength=1 << 20) >= least).take(hashed))
+        new, pair = new[full], left[full].astype(np.int64) << 32 | right[full]
+        found, which, counts = np.unique(pair, return_inverse=True, return_counts=True)
+        enough = counts >= least
+        name = np.where(enough, len(codes) + np.cumsum(enough) - 1, -1)[which].astype(np.int32)
+        kind[new] = name
+        active = np.concatenate([active, new[name >= 0]])
+        codes = np.concatenate([codes, found[enough]])
+        tally = np.bincount(kind[active], minlength=len(codes))
+        # Let go of pairs that have become rare.
+        kept = tally >= least
+        if not kept.all():
+            fresh = np.where(kept, np.cumsum(kept) - 1, -1).astype(np.int32)
+            kind[active] = fresh[kind[active]]
+            active, codes, tally = active[kind[active] >= 0], codes[kept], tally[kept]
+        if not len(codes):
             break
-        left, right = sequence[:-1], sequence[1:]
-        hashed = left * np.uint32(0x9E3779B1)
-        hashed += right * np.uint32(0x85EBCA77)
-        hashed >>= np.uint32(12)
-        hashed = hashed.astype(np.intp)
-        tally = np.bincount(hashed, minlength=1 << 20)
-        full = np.flatnonzero(tally >= least)  # only these buckets can hold a frequent pair
-        if len(full) > 4 * a_round:
-            full = full[np.argsort(-tally[full], kind="stable")[: 4 * a_round]]
-        kind = np.int16 if len(full) < 1 << 15 else np.int32
-        dense = np.full(1 << 20, -1, kind)
-        dense[full] = np.arange(len(full), dtype=kind)
-        bucket = dense.take(hashed, mode="clip")
-        bucket[ends[:-1]] = -1
-        seen = np.flatnonzero(bucket >= 0)
-        bucket = bucket[seen]
-        codes = left[seen].astype(np.int64) << 24 | right[seen]
-        speaker = np.full(len(full), -1, np.int64)
-        speaker[bucket] = codes  # one pair of each bucket is counted this round, exactly
-        own = np.flatnonzero(speaker[bucket] == codes)
-        seen, bucket = seen[own], bucket[own]
-        tally = np.bincount(bucket, minlength=len(full))
-        often = np.flatnonzero(tally >= least)
-        if not len(often):
-            break
-        often = often[np.argsort(-tally[often], kind="stable")]
-        lefts, rights, slot, chosen = set(), set(), np.full(len(full), -1, np.int32), []
-        for at, code in zip(often.tolist(), speaker[often].tolist(), strict=True):
-            a, b = code >> 24, code & 0xFFFFFF
+        lefts, rights, chosen = set(), set(), []
+        often = np.argsort(-tally, kind="stable")
+        for at, code in zip(often.tolist(), codes[often].tolist(), strict=True):
+            a, b = code >> 32, code & 0xFFFFFFFF
             if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
                 continue
             lefts.add(a)
             rights.add(b)
-            slot[at] = len(chosen)
-            chosen.append(code)
-            if len(chosen) == a_round:
-                break
-        symbol = slot[bucket]
-        hit = np.flatnonzero(symbol >= 0)
-        where, symbol = seen[hit], (base + len(rules) + symbol[hit]).astype(np.uint32)
-        apart = np.ones(len(where), bool)
-        apart[1:] = np.diff(where) > 1
-        run_start = np.maximum.accumulate(np.where(apart, np.arange(len(where)), 0))
-        even = (np.arange(len(where)) - run_start) % 2 == 0  # within a run of one sign: every second pair
-        where, symbol = where[even], symbol[even]
-        rules += [(code >> 24, code & 0xFFFFFF) for code in chosen]
-        sequence[where] = symbol
-        keep = np.ones(len(sequence), bool)
-        keep[where + 1] = False
-        sequence = sequence[keep]
-        ends = ends - np.searchsorted(where, ends)  # as many symbols went before each end as pairs were replaced
-    begins = np.concatenate([[0], ends + 1])
-    return np.array(rules, np.int64).reshape(-1, 2), sequence, begins
+            chosen.append(at)
+        chosen = np.array(chosen)
+        slot = np.full(len(codes), -1, np.int32)
+        slot[chosen] = np.arange(len(chosen))
+        where = active[slot[kind[active]] >= 0]
+        twin = (codes[chosen] >> 32) == (codes[chosen] & 0xFFFFFFFF)
+        if twin.any():  # within a run of one sign: every second pair
+            double = twin[slot[kind[where]]]
+            runs, where = np.sort(where[double]), where[~double]
+            apart = np.ones(len(runs), bool)
+            apart[1:] = after[runs[:-1]] != runs[1:]
+            place = np.arange(len(runs))
+            runs = runs[(place - np.maximum.accumulate(np.where(apart, place, 0))) % 2 == 0]
+            alone = np.bincount(slot[kind[runs]], minlength=len(chosen))
+            rare = twin & (alone < least)  # never again often enough
+            where = np.concatenate([where, runs[~rare[slot[kind[runs]]]]])
+            gone = np.zeros(len(codes), bool)
+            gone[chosen[rare]] = True
+            kind[active[gone[kind[active]]]] = -1
+            chosen = chosen[~rare]
+            slot[:] = -1
+            slot[chosen] = np.arange(len(chosen))
+        first_made = base + len(rules)
+        made = (first_made + slot[kind[where]]).astype(np.uint32)
+        rules += [(code >> 32, code & 0xFFFFFFFF) for code in codes[chosen].tolist()]
+        second = after[where]
+        onward = after[second]
+        symbols[where] = made
+        alive[second] = False
+        after[where] = onward
+        before[onward] = where
+        ahead = before[where]
+        kind[where] = kind[second] = kind[ahead] = -1
+        active = active[kind[active] >= 0]
+        ahead = ahead[ahead != n]
+        new = np.concatenate([where[onward != n], ahead[symbols[ahead] < first_made]])
+    begins = np.concatenate([[0], np.cumsum(alive)])[docs]
+    return np.array(rules, np.int64).reshape(-1, 2), symbols[:n][alive], begins
+
+
+def spans(rules: np.ndarray, base: int) -> np.ndarray:
+    """How many ids each rule expands to."""
+    out: list[int] = []
+    for a, b in rules.tolist():
+        out.append((out[a - base] if a >= base else 1) + (out[b - base] if b >= base else 1))
+    return np.array(out, np.uint32)
 
 
 def expansions(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
@@ -274,12 +303,11 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, base: int = 50_
             for lo, hi in slices(offsets, shard_bytes):
                 ids, sizes = encoder.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 rules, sequence, firsts = repair(ids, np.concatenate([[0], np.cumsum(sizes)]), base)
-                _, bounds = expansions(rules, base)
                 wide = base + len(rules) >= 1 << 16
                 row = {
                     "part": part, "shard": shard, "doc_ids": doc_ids[lo:hi].astype(np.int64).tobytes(), "named": named[lo:hi].tobytes(),
                     "firsts": firsts.astype(np.uint32).tobytes(), "sizes": sizes.astype(np.uint32).tobytes(),
-                    "rules": rules.astype(np.uint32).tobytes(), "spans": np.diff(bounds).astype(np.uint32).tobytes(), "wide": wide,
+                    "rules": rules.astype(np.uint32).tobytes(), "spans": spans(rules, base).tobytes(), "wide": wide,
                     "sequence": sequence.astype(np.uint32 if wide else np.uint16).tobytes(),
                 }
                 shard += 1

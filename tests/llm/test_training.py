@@ -18,7 +18,7 @@ from tallyfield.llm.language_model import expectation_maximisation, score_texts
 from tallyfield.llm.mixing import mix_sources
 from tallyfield.llm.ngram_join import drop_near_copies, ngram_jaccard_join, plan_bands
 from tallyfield.llm.segmentation import Vocabulary, decode_ids, sample_batch, sample_segmentations
-from tallyfield.llm.token_file import read_token_file, token_path, write_token_file
+from tallyfield.llm.token_file import decode, expansions, read_token_file, repair, token_path, write_token_file
 from tallyfield.llm.vectors import near_duplicate_vectors, nearest_vectors
 
 SMALL = "/root/testdata/sf0.001"
@@ -316,6 +316,28 @@ def test_token_file_edges(spark):
     assert read_token_file(spark.read.parquet(empty)).count() == 0
 
 
+def test_repair_leaves_no_frequent_pair():
+    rng = np.random.default_rng(7)
+    passage = rng.integers(100, 40_000, 300)  # long and repeated in many documents
+    texts = [np.concatenate([rng.integers(0, 300, 400), passage, np.full(rng.integers(0, 60), 7), [0]]) for _ in range(60)]
+    ids, docs = np.concatenate(texts).astype(np.uint32), np.cumsum([0, *map(len, texts)])
+    rules, sequence, begins = repair(ids, docs, 50_257)
+    written, bounds = expansions(rules, 50_257)
+    tally = collections.Counter()
+    for i, (lo, hi) in enumerate(zip(begins[:-1], begins[1:], strict=True)):
+        part = sequence[lo:hi].astype(np.int64)
+        assert (decode(part, written, bounds, 50_257) == texts[i]).all()
+        part, last = part.tolist(), None
+        for at, pair in enumerate(zip(part, part[1:], strict=False)):
+            if pair[0] != pair[1] or last != (at - 1, pair):  # within a run every second pair
+                tally[pair] += 1
+                last = (at, pair)
+            else:
+                last = None
+    assert max(tally.values()) < 24
+    assert np.diff(bounds).max() >= 300 and len(np.unique(rules, axis=0)) == len(rules)
+
+
 # ------------------------------------------------------------------ language model
 
 
