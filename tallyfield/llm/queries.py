@@ -67,7 +67,7 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = token_path(spark)
-    write_token_file(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    write_token_file(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), added=True)
     return read_token_file(spark.read.parquet(path))
 
 

@@ -74,16 +74,25 @@ def split_points(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of many texts at once: every distinct part is encoded once by the library and remembered."""
+    """Ids of many texts at once: every distinct part is encoded once by the library and remembered.
 
-    def __init__(self, path: str, most: int = 2_000_000):
+    With ``added`` the file's added tokens ('<|endoftext|>') have their own ids where a text spells them, as in a
+    plain call of the library; without, they are signs like any others.
+    """
+
+    def __init__(self, path: str, most: int = 2_000_000, added: bool = False):
         import os
+        import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in tokens):
+            raise ValueError("added tokens that depend on their surroundings are not supported")
+        self.added = re.compile("|".join(re.escape(t.content) for t in sorted(tokens, key=lambda t: -len(t.content)))) if tokens else None
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.most = most
         self._forget()
@@ -133,7 +142,14 @@ class Encoder:
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         place = np.flatnonzero(lead)
         bounds = np.searchsorted(place, offsets)
-        starts = split_points(points, bounds)
+        if self.added and self.added.search(text):
+            limits = bounds.tolist()
+            tokens = np.array([m.span() for a, b in zip(limits[:-1], limits[1:], strict=True) for m in self.added.finditer(text, a, b)]).reshape(-1, 2)
+            starts = split_points(points, np.union1d(bounds, tokens))  # what is around a token is split as if alone
+            inside = np.searchsorted(tokens[:, 0], starts, side="left") - 1  # the last token that begins before
+            starts = starts[(inside < 0) | (starts >= np.append(tokens[:, 1], 0)[inside])]
+        else:
+            starts = split_points(points, bounds)
         ends = np.append(starts[1:], len(points))
         byte = np.append(place, len(data))
         keys = span_hashes(data, byte[starts], byte[ends])
@@ -278,13 +294,14 @@ def decode(sequence: np.ndarray, written: np.ndarray, bounds: np.ndarray, base:
 FILE = "part int, shard int, doc_ids binary, named binary, firsts binary, sizes binary, rules binary, spans binary, wide boolean, sequence binary"
 
 
-def write_token_file(docs: DataFrame, path: str, tokenizer: str, base: int = 50_257, shard_bytes: int = 4 << 20, id_col: str = "doc_id", text: str = "text") -> None:
+def write_token_file(docs: DataFrame, path: str, tokenizer: str, base: int = 50_257, shard_bytes: int = 4 << 20, id_col: str = "doc_id", text: str = "text", added: bool = False) -> None:
     """Encode whole texts and write them, in ascending ``id_col`` order, as a table of Re-Pair shards.
 
     Documents are range-partitioned and sorted by id (null first; rows that repeat an id by a hash
     of the text).  A partition is written as shards of about ``shard_bytes`` of text: the documents' ids
     and token counts, each document's first symbol, the grammar's rules, the length each rule expands to,
     and the rewritten sequence (16 or 32 bits a symbol).  Null text is empty: the end id alone.
+    ``added`` gives the tokenizer's added tokens their own ids (see ``Encoder``).
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     total = rows.count()
@@ -293,8 +310,8 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, base: int = 50_
         import pyarrow as pa
         from pyspark import TaskContext
 
-        if "encoder" not in _state:
-            _state["encoder"] = Encoder(tokenizer)
+        if _state.get("encodes") != (tokenizer, added):
+            _state["encoder"], _state["encodes"] = Encoder(tokenizer, added=added), (tokenizer, added)
         encoder, part, shard = _state["encoder"], TaskContext.get().partitionId(), 0
         for batch in batches:
             data, offsets = string_buffers(batch.column(1))

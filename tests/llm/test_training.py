@@ -316,6 +316,21 @@ def test_token_file_edges(spark):
     assert read_token_file(spark.read.parquet(empty)).count() == 0
 
 
+def test_op7_gives_added_tokens_their_ids(spark, tmp_path):
+    """The registered query against a tokenizer left as loaded."""
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"hello {end} world", end, "<|endof", "text|>", f"a\n {end}\n\n b {end}{end} ", f"it's{end}'s  {end}x", f"é{end}<|endoftext |>", "", None, f"  {end}  "]
+    tokenizer = Tokenizer.from_file(BPE)
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got, start = queries.queries()["op7_token_file"](spark, str(tmp_path)).orderBy("doc_id").collect(), 0
+    for r, text in zip(got, texts, strict=True):
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 def test_repair_leaves_no_frequent_pair():
     rng = np.random.default_rng(7)
     passage = rng.integers(100, 40_000, 300)  # long and repeated in many documents
