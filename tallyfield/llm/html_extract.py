@@ -38,35 +38,41 @@ _MARKUP = re.compile(
     r"|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+# A whole name and its value, so that no name is found inside a value.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)))?""")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def _is_dropped(tag: str, attributes: str, in_content: bool) -> bool:
+def _verdict(tag: str, attributes: str, in_content: bool) -> tuple[bool, bool]:
+    """Whether an element is dropped, and whether its class or id names something that is not the article."""
     if tag in DROPPED or (tag == "header" and not in_content):
-        return True
+        return True, False
     if not attributes or tag in ("html", "body"):
-        return False
+        return False, False
+    doubted = False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return True, False
         if name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and tag not in CONTENT and any(p.lower() in NOT_ARTICLE for p in _NAME_PARTS.findall(value)):
-            return True
-        if name in ("class", "id") and tag in CONTENT and {"comment", "comments", "reply"} & {p.lower() for p in _NAME_PARTS.findall(value)}:
-            return True
-    return False
-
-
-def blocks_of(html: str) -> list[tuple[str, int, bool]]:
-    """Blocks in page order: text, characters inside links, and whether an article element holds it."""
-    out: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, dropped here or above, inside content
+            return True, False
+        if name in ("class", "id") and tag in BLOCK:
+            words = {p.lower() for p in _NAME_PARTS.findall(value)}
+            doubted |= bool(words & ({"comment", "comments", "reply"} if tag in CONTENT else NOT_ARTICLE))
+    return False, doubted
+
+
+def blocks_of(html: str) -> list[tuple[str, int, bool, frozenset[int]]]:
+    """Blocks in page order: text, characters inside links, whether an article element holds it, and doubted elements around it.
+
+    An element is doubted for a word of its class or id, but not if it holds an article element.
+    """
+    out: list[tuple[str, int, bool, frozenset[int]]] = []
+    stack: list[tuple[str, bool, bool, frozenset[int]]] = []  # tag, dropped here or above, inside content, doubted here or above
+    doubts, cleared = 0, set()
     parts: list[str] = []
     linked = 0
     in_link = 0
@@ -76,7 +82,7 @@ def blocks_of(html: str) -> list[tuple[str, int, bool]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((text, linked, bool(stack) and stack[-1][2]))
+                out.append((text, linked, *(stack[-1][2:] if stack else (False, frozenset()))))
             parts.clear()
         linked = 0
 
@@ -106,16 +112,22 @@ def blocks_of(html: str) -> list[tuple[str, int, bool]]:
                 stack.pop()
             if tag in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == tag:
                 stack.pop()
-            above = stack[-1] if stack else ("", False, False)
-            dropped = above[1] or _is_dropped(tag, m[4], above[2])
+            above = stack[-1] if stack else ("", False, False, frozenset())
+            dropped, doubted = _verdict(tag, m[4], above[2])
+            dropped, around = dropped or above[1], above[3]
+            if doubted:
+                doubts += 1
+                around |= {doubts}
+            elif tag in CONTENT and not dropped:
+                cleared |= around
             if not m[4].endswith("/") or tag in BLOCK:
-                stack.append((tag, dropped, above[2] or (tag in CONTENT and not dropped)))
+                stack.append((tag, dropped, above[2] or (tag in CONTENT and not dropped and not doubted), around))
             if tag == "a":
                 in_link = 1
     if at < len(html) and not (stack and stack[-1][1]):
         parts.append(unescape(html[at:]))
     close()
-    return out
+    return [(*block[:3], block[3] - cleared) for block in out]
 
 
 def main_text(html: str | None, short: int = 70, long: int = 200, low: float = 0.1, high: float = 0.25, links: float = 0.5) -> str:
@@ -126,11 +138,13 @@ def main_text(html: str | None, short: int = 70, long: int = 200, low: float = 0
     make a block bad, text without stop words stays open.  Then an open block takes the label of the
     nearest decided blocks before and after it: good if both are, or if the nearer one is; with none
     decided, the article element decides.  Where an article element has good text, what lies outside
-    of all article elements is bad.
+    of all article elements is bad.  A block in an element whose class or id names something else is judged
+    as if outside, and the whole element is bad unless the first pass finds a good block in it.
     """
     blocks = blocks_of(html or "")
     labels: list[bool | None] = []
-    for text, linked, inside in blocks:
+    for text, linked, inside, doubted in blocks:
+        inside = inside and not doubted
         words = _LETTERS.findall(text.lower())
         stop = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
         dense = linked / max(len(text), 1)
@@ -144,6 +158,8 @@ def main_text(html: str | None, short: int = 70, long: int = 200, low: float = 0
             labels.append(False)
         else:
             labels.append(None if inside or stop < high else True)
+    found = frozenset().union(*(b[3] for b, label in zip(blocks, labels, strict=True) if label))
+    labels = [label if b[3] <= found else False for b, label in zip(blocks, labels, strict=True)]
     first = list(labels)
     has_article = any(b[2] and label is not False for b, label in zip(blocks, labels, strict=True))
     for i, (block, label) in enumerate(zip(blocks, first, strict=True)):

@@ -274,6 +274,20 @@ def test_main_text():
     assert main_text(None) == main_text("") == main_text("<p>") == main_text("<!-- x") == ""
 
 
+def test_main_text_keeps_what_a_value_or_class_word_only_mentions():
+    prose = "The cat sat on the mat and it was happy with all of the things that it had in the house. " * 3
+    prose = prose.strip()
+    for attributes in ("href='/the-hidden-valley.html'", 'title="a hidden gem"', 'data-hidden="false"', 'href="/story?id=notice-12"', "href=/x?role=form"):
+        assert main_text(f"<article><p {attributes}>{prose}</p><p>One <a {attributes}>two</a>.</p></article>") == f"{prose} One two."
+    for word in ("layout with-sidebar", "content has-banner"):
+        assert main_text(f'<div class="{word}"><p>Menu of all.</p><article><h1>A</h1><p>{prose}</p></article></div>') == f"A {prose}"
+        assert main_text(f'<div class="{word}"><p>{prose}</p></div>') == prose
+        assert main_text(f'<article><h1>A</h1><div class="{word}"><h2>B</h2><p>{prose}</p></div></article>') == f"A B {prose}"
+    assert main_text(f'<article class="has-comments"><p>{prose}</p></article>') == prose
+    for gone in ("<p hidden>x</p>", "<p HIDDEN=''>x</p>", "<div aria-hidden=true>x</div>", '<p style="display: none">x</p>', "<div role='form'>x</div>", '<div class="share">Share this.</div>'):
+        assert main_text(f"<article><p>{prose}</p>{gone}</article>") == prose
+
+
 def test_extract_pages(spark):
     df = spark.read.parquet(f"{SMALL}/pages.parquet").withColumn("text", F.lit(1))
     for r in extract_pages(df).collect():
