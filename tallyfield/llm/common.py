@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -20,20 +22,33 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder and continue from there.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder of ``spark.checkpoint.dir``; a temporary one where that is unset and Spark runs on one machine only.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) a temporary one is taken.  A reliable checkpoint survives lost executors.
+    On a cluster an unset folder is an error: executors would not see each other's files.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyfield-")
-        )
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallyfield-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once in the shared folder and continue from there: it survives lost executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a Parquet table: for wide rows of which later passes read few columns."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def parts(spark: SparkSession, rows: int, per_part: int) -> int:
     """Partitions for ``rows``: as many as needed for ``per_part`` each, no fewer than the session asks for."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))
@@ -169,15 +184,16 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b longs): rows (node, component), the smallest node.
 
     Alternating large-star and small-star steps; each keeps at most as many edges as it was given and
-    is cut to the shared folder.  Only a count and a checksum reach the driver.  Nodes without an
-    edge are not returned.
+    is cut to the shared folder.  So are the smallest neighbours: then both sides of their join are shuffled
+    for it, and Spark can split the partition of a node that very many others are linked to.  Only a count
+    and a checksum reach the driver.  Nodes without an edge are not returned.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     pairs = cut(pairs.distinct())
     seen = None
     while True:
         both = pairs.union(pairs.select("b", "a"))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        least = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")))
         pairs = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = pairs.groupBy("a").agg(F.min("b").alias("m"))
         linked = pairs.join(least, "a").select("b", "m", "a")

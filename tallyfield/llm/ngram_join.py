@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, forest, grams, mix64, slices, span_hashes, string_buffers, word_spans
+from .common import WORD, components, cut, forest, grams, mix64, slices, small, span_hashes, string_buffers, word_spans
 
 _SLICE = 1 << 20  # bytes of text hashed at once
 
@@ -42,7 +42,7 @@ def _signatures(n: int, bands: int, rows: int, seed: int):
         import pyarrow as pa
 
         for batch in batches:
-            for lo, shingles, bounds in _shingle_sets(batch.column(1), n):
+            for lo, shingles, bounds in _shingle_sets(batch.column(2), n):
                 count = np.diff(bounds)
                 full = np.flatnonzero(count)
                 band_hashes = np.zeros((len(count), bands), np.uint64)
@@ -63,20 +63,23 @@ def _signatures(n: int, bands: int, rows: int, seed: int):
                     begin = np.flatnonzero(np.diff(owner, prepend=-1))
                     key[full, 0] = np.add.reduceat(mix64(unique + np.uint64(1)), begin)
                     key[full, 1] = np.add.reduceat(mix64(unique ^ np.uint64(0xA5A5A5A5A5A5A5A5)), begin)
-                ids = batch.column(0).slice(lo, len(count))
+                ids, h = batch.column(0).slice(lo, len(count)), batch.column(1).slice(lo, len(count))
                 packed = pa.FixedSizeListArray.from_arrays(pa.array(band_hashes.view(np.int64).ravel()), bands)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(key[:, 0].view(np.int64)), pa.array(key[:, 1].view(np.int64)),
+                    [ids, h, pa.array(key[:, 0].view(np.int64)), pa.array(key[:, 1].view(np.int64)),
                      pa.array(count > 0), packed.cast(pa.list_(pa.int64()))],
-                    names=["id", "k1", "k2", "filled", "bands"],
+                    names=["id", "h", "k1", "k2", "filled", "bands"],
                 )
 
     return run
 
 
 def _verify(n: int, similarity: float):
-    def block(ids, weights, own, low, high, sets):
-        """Links between the rows of two chunks of one group: a row's linked weight, and a forest."""
+    def block(bucket, ids, weights, own, low, high, shared, sets):
+        """Links between the rows of two chunks of a bucket: a row's linked weight, and a forest.
+
+        A pair that meets in several buckets links in the first of them.
+        """
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
         sizes = np.array([len(s) for s in sets])
         flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -99,6 +102,9 @@ def _verify(n: int, similarity: float):
         x, y = left[at[:, 0]], right[at[:, 1]]
         keep = x < y if low == high else x != y
         x, y = x[keep], y[keep]
+        met = (shared[x] == shared[y]) & (shared[x] != 0)
+        first = np.where(met, shared[x], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max) == bucket
+        x, y = x[first], y[first]
         linked = np.bincount(x, weights[y], len(ids)) + np.bincount(y, weights[x], len(ids))
         return linked.astype(np.int64), forest(x, y, len(ids))
 
@@ -106,13 +112,13 @@ def _verify(n: int, similarity: float):
         import pyarrow as pa
 
         out = {"a": [], "b": [], "links": []}
-        for _, part in group.groupby(["cluster", "low", "high"], sort=False):
-            part = part.drop_duplicates("rep")
-            ids = part["rep"].to_numpy()
+        for (bucket, low, high), part in group.groupby(["bucket", "low", "high"], sort=False):
+            part = part.drop_duplicates("node")
+            ids = part["node"].to_numpy()
             sets = []
             for _, shingles, bounds in _shingle_sets(pa.array(part["text"], pa.large_string()), n):
                 sets += [np.unique(shingles[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            linked, (up, down) = block(ids, part["n"].to_numpy(), part["own"].to_numpy(), part["low"].iloc[0], part["high"].iloc[0], sets)
+            linked, (up, down) = block(bucket, ids, part["n"].to_numpy(), part["own"].to_numpy(), low, high, np.stack(part["shared"].to_list()), sets)
             has = np.flatnonzero(linked)
             out["a"] += [*ids[has].tolist(), *ids[up].tolist()]
             out["b"] += [None] * len(has) + ids[down].tolist()
@@ -122,6 +128,67 @@ def _verify(n: int, similarity: float):
     return run
 
 
+def _buckets(classes: DataFrame, bands: int) -> DataFrame:
+    """Every class that shares a band with another: node and ``shared``, for each band the bucket it shares (0: none).
+
+    Buckets of several bands with the very same members are one bucket: its name follows from the members.
+    """
+    posted = classes.select("node", F.posexplode("bands").alias("band", "hash"))
+    mark = lambda seed: F.bit_xor(F.xxhash64("node", F.lit(seed)))
+    met = (
+        posted.groupBy("hash").agg(F.count("*").alias("c"), mark(1).alias("m1"), mark(2).alias("m2")).where("c > 1")
+        .select("hash", F.xxhash64("c", "m1", "m2").alias("bucket"))
+    )
+    found = posted.join(met, "hash").groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("band", "bucket"))).alias("at"))
+    shared = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.coalesce(F.try_element_at("at", b), F.lit(0)))
+    return found.select("node", shared.alias("shared"))
+
+
+def _linked_classes(docs: DataFrame, n: int, similarity: float, recall: float, chunk: int, seed: int, id_col: str, text: str):
+    """Signed rows (id, h, k1, k2, filled), and the classes of equal shingle sets with links and components."""
+    bands, rows = plan_bands(similarity, recall)
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    signed = cut(named.mapInArrow(_signatures(n, bands, rows, seed), "id long, h long, k1 long, k2 long, filled boolean, bands array<long>"))
+    # The first row of a class stands for it; nodes are numbered in the order of their ids, null last.
+    first = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "h", "bands")).alias("m")
+    grouped = signed.where("filled").groupBy("k1", "k2").agg(first, F.count("*").alias("n"))
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = grouped.repartitionByRange(ranges, "m.no", "m.id", "m.h", "k1").sortWithinPartitions("m.no", "m.id", "m.h", "k1")
+    classes = cut(grouped.select(
+        F.monotonically_increasing_id().alias("node"), "k1", "k2", "n", F.col("m.id").alias("rep"), F.col("m.h").alias("h"),
+        F.col("m.bands").alias("bands"),
+    ))
+    members = cut(_buckets(classes, bands).join(classes.select("node", "rep", "h", "n"), "node"))
+    bundles = max(1, -(-members.count() // chunk))
+    texts = (
+        named.withColumn("rep", F.coalesce("id", F.lit(-1))).select("rep", "h", "text")
+        .join(members.withColumn("rep", F.coalesce("rep", F.lit(-1))), ["rep", "h"]).dropDuplicates(["rep", "h", "node"])
+        .select("node", "n", "shared", "text", F.explode(F.array_distinct(F.filter("shared", lambda b: b != 0))).alias("bucket"))
+    )
+    sizes = members.select(F.explode(F.array_distinct("shared")).alias("bucket")).where("bucket <> 0").groupBy("bucket").count()
+    large = sizes.where(F.col("count") > chunk).select("bucket", F.ceil(F.col("count") / chunk).cast("int").alias("chunks"))
+    texts = (
+        texts.join(small(cut(large), 100_000), "bucket", "left").withColumn("m", F.coalesce("chunks", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+        .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+        # Small buckets share a bundle; the pairs of chunks of a large one are bundles of their own.
+        .withColumn("bundle", F.when(F.col("m") == 1, F.pmod(F.xxhash64("bucket"), F.lit(bundles))).otherwise(F.xxhash64("bucket", "low", "high")))
+        .select("bundle", "bucket", "low", "high", "own", "node", "n", "shared", "text")
+    )
+    found = cut(texts.groupBy("bundle").applyInPandas(_verify(n, similarity), "a long, b long, links long"))
+    links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    comps = components(found.where("b IS NOT NULL").select("a", "b"))
+    least = classes.select(F.col("node").alias("component"), F.col("rep").alias("component_rep"))
+    known = (
+        classes.drop("bands").join(links, "node", "left").join(comps.join(least, "component"), "node", "left")
+        .select("k1", "k2", "rep", "h", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
+                F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("component_rep")).alias("component_id"),
+                (F.coalesce("component", "node") == F.col("node")).alias("stands"))
+    )
+    return signed.drop("bands"), known
+
+
 def ngram_jaccard_join(
     docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.99999, chunk: int = 128,
     seed: int = 3, id_col: str = "doc_id", text: str = "text",
@@ -130,63 +197,44 @@ def ngram_jaccard_join(
 
     Documents with one and the same shingle set form a class with one representative, so exact
     copies never meet in pairs.  Band and row counts follow from ``recall`` at ``similarity``
-    (24 bands of 4 rows for the defaults), band hashes of representatives are shuffled, and
-    a band's bucket ties its members to the smallest.  What hangs together forms a group of candidates;
-    their texts are dealt into chunks of ``chunk`` and every pair of chunks is verified on whole shingle
-    sets, so no group is gathered in one place and no partner is capped.
+    (22 bands of 4 rows for the defaults).  Band hashes of classes are shuffled; classes that share a band
+    hash form a bucket, and pairs are verified on whole shingle sets inside their buckets only, in the
+    first one that they share.  Buckets of equal members are one.  A bucket of more than ``chunk`` classes is
+    dealt into chunks and every pair of chunks is verified apart, so no bucket is gathered in one place and no
+    partner is capped.  Components are built from verified links alone.
 
     One row per document: ``id_col``; ``class_id``, the smallest id of equal shingle sets; ``n_links``,
     the other documents linked directly (copies counted); ``component_id``, the smallest id reachable;
     ``kept``, whether the document stands for its component.  Texts without a word (null, empty) link with
-    nothing and stay.  A text of fewer than ``n`` words is one shingle.  Rows with a null id take part under
-    a negative stand-in derived from their text.  Rows that repeat are documents of their own; of rows
-    that repeat an id, all that equal the kept one are ``kept``.  Other columns are dropped.
+    nothing and stay.  A text of fewer than ``n`` words is one shingle.  Rows with a null id take part like
+    others and stay null; ids that are null count after all others.  Rows that repeat are documents of their
+    own, and different texts under one id are classes of their own.  Other columns are dropped.
     """
-    bands, rows = plan_bands(similarity, recall)
-    stand_in = -1 - F.shiftrightunsigned(F.xxhash64(text, F.lit(5)), 2)
-    named = docs.select(F.coalesce(F.col(id_col).cast("long"), stand_in).alias("id"), F.col(text).alias("text"))
-    signed = cut(named.mapInArrow(_signatures(n, bands, rows, seed), "id long, k1 long, k2 long, filled boolean, bands array<long>"))
-    filled = signed.where("filled")
-    classes = cut(filled.groupBy("k1", "k2").agg(F.min(F.struct("id", "bands")).alias("m"), F.count("*").alias("n"))
-                  .select("k1", "k2", F.col("m.id").alias("rep"), "n", F.col("m.bands").alias("bands")))
-    posted = classes.select("rep", F.explode("bands").alias("h"))
-    shared = posted.groupBy("h").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    tied = posted.join(shared.select("h", "low"), "h").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
-    groups = components(tied).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-    groups = groups.join(classes.select("rep", "n"), "rep")
-    sizes = groups.groupBy("cluster").agg(F.ceil(F.count("*") / chunk).cast("int").alias("m"))
-    members = cut(groups.join(sizes, "cluster"))
-    bundles = max(1, -(-members.count() // chunk))
-    texts = (
-        named.join(members, named["id"] == members["rep"])
-        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-        .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-        # Small groups share a bundle; the pairs of chunks of a large one are bundles of their own.
-        .withColumn("bundle", F.when(F.col("m") == 1, F.pmod(F.xxhash64("cluster"), F.lit(bundles))).otherwise(F.xxhash64("cluster", "low", "high")))
-        .select("bundle", "cluster", "low", "high", "own", "rep", "n", "text")
-    )
-    found = cut(texts.groupBy("bundle").applyInPandas(_verify(n, similarity), "a long, b long, links long"))
-    links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    comps = components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "rep")
-    known = (
-        classes.select("k1", "k2", "rep", "n").join(links, "rep", "left").join(comps, "rep", "left")
-        .select("k1", "k2", "rep", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component"))
-        .withColumn("filled", F.lit(True))
-    )
-    out = signed.select("id", "k1", "k2", "filled").join(known, ["k1", "k2", "filled"], "left")
+    signed, known = _linked_classes(docs, n, similarity, recall, chunk, seed, id_col, text)
+    known = known.drop("h").withColumn("filled", F.lit(True))
+    out = signed.join(known, ["k1", "k2", "filled"], "left")
+    own = lambda c: F.when(F.col("filled"), F.col(c)).otherwise(F.col("id"))
     return out.select(
-        F.col("id").alias(id_col), F.coalesce("rep", "id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component", "id").alias("component_id"), (F.coalesce("component", "id") == F.col("id")).alias("kept"),
+        F.col("id").alias(id_col), own("rep").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        own("component_id").alias("component_id"),
+        F.when(F.col("filled"), F.col("stands") & F.col("id").eqNullSafe(F.col("rep"))).otherwise(True).alias("kept"),
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.99999, chunk: int = 128,
+    seed: int = 3, id_col: str = "doc_id", text: str = "text",
+) -> DataFrame:
     """``docs`` with one document of each component of ``ngram_jaccard_join`` (the smallest id), columns unchanged.
 
-    Documents linked with nothing stay, empty ones too.  Of rows that repeat a kept id one stays.
+    Documents linked with nothing stay; those without a word all stay.  Of rows that repeat the kept id and
+    text one stays; other texts under that id are judged by their own links.
     """
-    stand_in = -1 - F.shiftrightunsigned(F.xxhash64(text, F.lit(5)), 2)
-    kept = ngram_jaccard_join(docs, id_col=id_col, text=text, **options).where("kept").select(F.col(id_col).alias("_kept"))
-    named = docs.withColumn("_kept", F.coalesce(F.col(id_col).cast("long"), stand_in))
-    return named.join(kept, "_kept", "left_semi").dropDuplicates(["_kept"]).drop("_kept")
+    _, known = _linked_classes(docs, n, similarity, recall, chunk, seed, id_col, text)
+    key = ["_rep", "_h", "_no"]
+    kept = known.where("stands").select(F.coalesce("rep", F.lit(-1)).alias("_rep"), F.col("h").alias("_h"), F.col("rep").isNull().alias("_no"))
+    filled = F.coalesce(F.col(text).rlike(WORD), F.lit(False))
+    named = docs.where(filled).withColumns({
+        "_rep": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), "_h": F.xxhash64(text), "_no": F.col(id_col).isNull(),
+    })
+    return named.dropDuplicates(key).join(kept, key, "left_semi").select(*docs.columns).union(docs.where(~filled))
