@@ -30,7 +30,7 @@ def op2_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix_sources(_table(spark, sf_dir, "documents"))
+    mixed = mix_sources(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
