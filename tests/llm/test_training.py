@@ -81,7 +81,7 @@ def test_near_vectors_of_many_cells_equal_brute_force(spark):
     x = centre[np.minimum(rng.integers(0, 24, 1500), 11)] + 0.22 * rng.standard_normal((1500, 8))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     sine = float(np.sqrt(1 - 0.93**2))
-    centres = vectors._cells(x[:512], 16, sine, 1500 / 64)
+    centres = vectors.spherical_kmeans(x[:512], 16)
     home, reach = vectors._reach(x, centres, sine)
     assert len(centres) > 1 and 1500 < reach.sum() < 1500 * (len(centres) + 1) / 2
     linked = x @ x.T >= 0.93
@@ -109,7 +109,7 @@ def test_search_recall_and_order(spark):
     rows = df.collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
     got = collections.defaultdict(list)
-    for r in nearest_vectors(df, F.col("vec_id") % 20 == 0, least=200, shard_rows=400).collect():
+    for r in nearest_vectors(df, F.col("vec_id") % 20 == 0, shard_rows=400).collect():
         got[r.query_id].append((r["rank"], r.vec_id, r.score))
     hits = []
     for q in ids[ids % 20 == 0]:
