@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, cut, slices, span_hashes, string_buffers, word_spans
 
-_SLICE, _ROWS = 1 << 20, 1024
+_SLICE, _ROWS = 1 << 20, 512
 
 
 def crc_of(id_col: str) -> Column:
@@ -22,33 +22,40 @@ TOXIC_BITS = 20
 CLEAR = 5.5  # standard errors by which a feature's document frequencies must differ
 
 
-def _windows(data: np.ndarray) -> np.ndarray:
-    """Hash of the five lower-cased bytes from each position on, to ``TOXIC_BITS`` bits.
+WINDOW = 5
 
-    Windows run across words; texts of a batch are kept apart by a space.
-    """
-    padded = np.concatenate([LOWER[data], np.full(5, 32, np.uint8)]).astype(np.uint32)
+
+def _windows(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``WINDOW`` lower-cased bytes from each position on, to ``TOXIC_BITS`` bits: they run across words."""
+    padded = np.concatenate([LOWER[data], np.full(WINDOW, 32, np.uint8)]).astype(np.uint32)
     h = np.zeros(len(data), np.uint32)
-    for k in range(5):
+    for k in range(WINDOW):
         h = h * np.uint32(0x01000193) + padded[k : k + len(data)] + np.uint32(1)
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x2C1B3C6D)
     return h >> np.uint32(32 - TOXIC_BITS)
 
 
-def _separated(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The batch with a space before every row, so that no window joins two texts' words."""
-    spaced = np.insert(data, offsets[:-1], 32)
-    return spaced, offsets + np.arange(len(offsets))
+def _separated(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The batch with a space before every row and spaces after it, the new offsets, and where a window begins inside a row.
+
+    Windows that begin in the spaces after a row are no features of it, and none reaches the next row's text.
+    """
+    n = len(offsets) - 1
+    spaced = np.insert(data, np.concatenate([offsets[:-1], np.repeat(offsets[1:], WINDOW - 1)]), 32)
+    bounds = offsets + np.arange(n + 1) * WINDOW
+    inside = np.ones(len(spaced), bool)
+    inside[(bounds[1:, None] - np.arange(1, WINDOW)).ravel()] = False
+    return spaced, bounds, inside
 
 
 def _present(column, place: np.ndarray, width: int):
     """For each slice: first row, rows, and the distinct (row, feature) pairs of the placed features."""
     data, offsets = string_buffers(column)
     for lo, hi in slices(offsets, _SLICE):
-        part, local = _separated(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        part, local, inside = _separated(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
         feature = place[_windows(part)]
-        at = np.flatnonzero(feature >= 0)
+        at = np.flatnonzero((feature >= 0) & inside)
         row = np.searchsorted(local, at, side="right") - 1
         pair = np.unique(row.astype(np.int64) * width + feature[at])
         yield lo, hi - lo, pair // width, pair % width
@@ -85,10 +92,11 @@ def toxicity(
     """Every input column with ``held_out``, ``score`` (0 to 1) and ``predicted``.
 
     Positive-unlabelled learning: confirmed toxic examples (label 1, at most ``positives`` documents) against
-    texts whose label is not looked at (at most ``unlabelled`` documents), both outside the fold ``held`` of
-    ``crc32(id) mod folds``, chosen by a hash of the id.  The class prior is the toxic share of all learnable
-    labels.  Features are presences of lower-cased five-byte windows; the ``features`` with the most
-    different document frequencies among positives and unlabelled are kept.  Whole texts are scored.
+    texts of the labelled rows taken as unlabelled (their label is not looked at, at most ``unlabelled`` documents),
+    both outside the fold ``held`` of ``crc32(id) mod folds``, chosen by a hash of the id.  The class prior is the
+    toxic share of all learnable labels, which is that of the unlabelled side.  Features are presences of
+    lower-cased five-byte windows inside a text; the ``features`` with the most different document frequencies among
+    positives and unlabelled are kept.  Whole texts are scored; a text's score does not depend on other rows.
 
     Null text scores as empty.  Rows with a null id are scored, never learnt from, and not held out.  An id
     with several labels is toxic if one of them says so.  Without a positive example the score is the prior.
@@ -102,7 +110,7 @@ def toxicity(
     prior = truth.agg(F.avg("_toxic")).first()[0] or 0.0
     by_hash = lambda df: df.orderBy(F.xxhash64("_id", F.lit(23)), "_id")
     known = by_hash(truth.where("_toxic = 1")).limit(positives).select("_id", F.lit(1).alias("_p"), F.lit(0).alias("_u"))
-    other = by_hash(docs.where(learn).select(F.col(id_col).alias("_id"))).limit(unlabelled).distinct()
+    other = by_hash(truth).limit(unlabelled).select("_id")
     picked = known.union(other.select("_id", F.lit(0), F.lit(1))).groupBy("_id").agg(F.max("_p").alias("_p"), F.max("_u").alias("_u"))
     # At most positives + unlabelled ids: a bound given by parameters, so a broadcast is safe.
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id").dropDuplicates(["_id"])
@@ -190,14 +198,16 @@ def _scored(docs: DataFrame, text: str, scores) -> DataFrame:
 
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[97:123], _SHAPE[128:], _SHAPE[65:91], _SHAPE[48:58], _SHAPE[9:14] = 97, 97, 65, 48, 10
-SHAPES = 1 << 12  # hashed three-byte shapes
+SHAPES, WORDS = 1 << 12, 1 << 12  # hashed three-byte shapes, hashed lower-cased words
+TERMS = SHAPES + WORDS + 1
 
 
 def _term_rates(column):
-    """For each slice: rows by ``SHAPES + 1`` terms, log(1 + occurrences a thousand bytes).
+    """For each slice: rows by ``TERMS`` terms, log(1 + rate).
 
     Terms are three neighbouring byte shapes (lower-case letter, capital, digit, line end, any other
-    byte itself), and words that repeat the word before them, a thousand words.
+    byte itself) a thousand bytes, lower-cased words a thousand words (half weight), and words that repeat the word before
+    them, a thousand words.
     """
     data, offsets = string_buffers(column)
     for lo, hi in slices(offsets, _SLICE, _ROWS):
@@ -207,18 +217,23 @@ def _term_rates(column):
         h = ((q[:-2] * np.uint32(0x01000193) + q[1:-1]) * np.uint32(0x01000193) + q[2:])[: len(part)]
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x2C1B3C6D)
-        term = (h >> np.uint32(20)).astype(np.int32)
-        out = np.empty((n, SHAPES + 1), np.float32)
-        for r in range(n):
-            out[r, :SHAPES] = np.bincount(term[local[r] : max(local[r], local[r + 1] - 2)], minlength=SHAPES)
+        shape = (h >> np.uint32(20)).astype(np.int32)
         starts, ends, firsts = word_spans(part, local)
-        words, count = span_hashes(part, starts, ends), np.diff(firsts)
+        words, count = span_hashes(LOWER[part], starts, ends), np.diff(firsts)
+        word = (words >> np.uint64(52)).astype(np.int32)
+        out = np.empty((n, TERMS), np.float32)
+        for r in range(n):
+            out[r, :SHAPES] = np.bincount(shape[local[r] : max(local[r], local[r + 1] - 2)], minlength=SHAPES)
+            out[r, SHAPES : SHAPES + WORDS] = np.bincount(word[firsts[r] : firsts[r + 1]], minlength=WORDS)
         owner = np.repeat(np.arange(n), count)
         again = np.zeros(len(words), bool)
         again[1:] = (words[1:] == words[:-1]) & (owner[1:] == owner[:-1])
+        out[:, -1] = np.bincount(owner[again], minlength=n)
         out[:, :SHAPES] *= 1000 / np.maximum(sizes, 1)[:, None]
-        out[:, SHAPES] = np.bincount(owner[again], minlength=n) * 1000 / np.maximum(count, 1)
-        yield np.log1p(out)
+        out[:, SHAPES:] *= 1000 / np.maximum(count, 1)[:, None]
+        np.log1p(out, out=out)
+        out[:, SHAPES:-1] *= 0.5  # words tell topics apart first: shapes weigh more
+        yield out
 
 
 def latent_space(terms: np.ndarray, dims: int, seed: int = 1) -> np.ndarray:
@@ -246,9 +261,10 @@ def quality(
     """Every input column with ``held_out``, ``score`` (0 to 1) and ``predicted``.
 
     Nearest-neighbour voting: at most ``examples`` labelled documents outside the fold ``held`` of
-    ``crc32(id) mod folds`` (chosen by a hash of the id) become latent-semantic vectors of ``dims`` numbers, a
-    bounded table sent to every task.  Each document is projected likewise, its cosines with all examples
-    are computed in blocks, and its ``neighbours`` nearest vote with the fourth power of their similarity.
+    ``crc32(id) mod folds`` (chosen by a hash of the id) become latent-semantic vectors of ``dims`` numbers: a
+    truncated SVD of their words and byte shapes.  They are a bounded table sent to every task.  Each document is
+    projected likewise, its cosines with all examples are computed in blocks, and its ``neighbours`` nearest
+    vote with the fourth power of their similarity; equally near ones are taken in the order of their ids.
 
     Null text scores as empty.  A text near no example (an empty one) scores the examples' mean, and 0.5
     where there are no examples.  Rows with a null id are scored, never learnt from, and not held out.
@@ -276,11 +292,11 @@ def quality(
                 lo += len(x)
 
     table = sample.orderBy("_id").select("_good", "_text").mapInArrow(terms, "good int, at binary, rate binary").toPandas()
-    x = np.zeros((len(table), SHAPES + 1), np.float32)
+    x = np.zeros((len(table), TERMS), np.float32)
     for r, (at, rate) in enumerate(zip(table["at"], table["rate"], strict=True)):
         x[r, np.frombuffer(at, np.int16)] = np.frombuffer(rate, np.float32)
     good = table["good"].to_numpy().astype(np.float32)
-    space = latent_space(x, min(dims, max(len(x), 1))) if len(x) else np.zeros((SHAPES + 1, 1), np.float32)
+    space = latent_space(x, min(dims, max(len(x), 1))) if len(x) else np.zeros((TERMS, 1), np.float32)
     examples_z, usual = _project(x, space), float(good.mean()) if len(good) else 0.5
     k = min(neighbours, len(good))
 
@@ -292,6 +308,9 @@ def quality(
                 continue
             cosine = _project(block, space) @ examples_z.T
             near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+            last = np.take_along_axis(cosine, near, 1).min(1)
+            for r in np.flatnonzero((cosine >= last[:, None]).sum(1) > k):  # ties at the border: first examples first
+                near[r] = np.argsort(-cosine[r], kind="stable")[:k]
             vote = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** 4
             total = vote.sum(1)
             out.append(np.where(total > 1e-9, (vote * good[near]).sum(1) / np.maximum(total, 1e-9), usual))
