@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,31 +28,44 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROPPED = frozenset("""head title nav footer aside form dialog menu noscript template iframe object canvas svg math audio video select
 option button textarea fieldset label""".split())
 CONTENT = frozenset({"article", "main"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ITEMS = frozenset("li dt dd option".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
-# Words of class and id that name what is not the article.
+# Words that name what is not the article, and words that only say where or in what shape.
 NOT_ARTICLE = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar
 navigation menu breadcrumb breadcrumbs footer masthead comment comments reply replies disqus cookie cookies consent gdpr notice notification
 popup modal overlay newsletter subscribe subscription share sharing social related recommended recommendations widget toolbar pagination
 pager login signup search form""".split())
+SHAPES = frozenset("""site page main top bottom left right header primary secondary global section block box bar area slot unit wrap wrapper
+container inner outer list item items group panel content buttons links form posts articles policy user""".split())
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|xmp|noembed|noframes)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)",
     re.S | re.I,
 )
-# A whole name and its value, so that no name is found inside a value.
-_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)))?""")
+# A whole name and its value, so that no name is found inside a value; a value without quotes may hold them.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def _names_other(value: str) -> bool:
+    """Whether a word of a class or id names something that is not the article: all its parts do or only say where."""
+    for word in value.split():
+        parts = {p.lower() for p in _NAME_PARTS.findall(word)}
+        if parts & NOT_ARTICLE and parts <= NOT_ARTICLE | SHAPES:
+            return True
+    return False
+
+
 def _verdict(tag: str, attributes: str, in_content: bool) -> tuple[bool, bool]:
     """Whether an element is dropped, and whether its class or id names something that is not the article."""
     if tag in DROPPED or (tag == "header" and not in_content):
         return True, False
     if not attributes or tag in ("html", "body"):
         return False, False
-    doubted = False
+    named = False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -59,39 +74,48 @@ def _verdict(tag: str, attributes: str, in_content: bool) -> tuple[bool, bool]:
             return True, False
         if name == "role" and value.lower() in ROLES:
             return True, False
-        if name in ("class", "id") and tag in BLOCK:
-            words = {p.lower() for p in _NAME_PARTS.findall(value)}
-            doubted |= bool(words & ({"comment", "comments", "reply"} if tag in CONTENT else NOT_ARTICLE))
-    return False, doubted
+        named |= name in ("class", "id") and tag in BLOCK and _names_other(value)
+    return False, named
 
 
-def blocks_of(html: str) -> list[tuple[str, int, bool, frozenset[int]]]:
-    """Blocks in page order: text, characters inside links, whether an article element holds it, and doubted elements around it.
+class Block(NamedTuple):
+    """A run of text between block elements."""
 
-    An element is doubted for a word of its class or id, but not if it holds an article element.
-    """
-    out: list[tuple[str, int, bool, frozenset[int]]] = []
-    stack: list[tuple[str, bool, bool, frozenset[int]]] = []  # tag, dropped here or above, inside content, doubted here or above
-    doubts, cleared = 0, set()
+    text: str
+    linked: int  # characters inside links
+    inside: bool  # an article element holds it
+    named: int  # the innermost element around it whose name says that it is not the article (0: none)
+    heading: bool
+    item: bool  # of a list
+
+
+def blocks_of(html: str) -> list[Block]:
+    """Blocks in page order.  An element whose name says that it is not the article counts as named unless it holds the article element."""
+    out: list[Block] = []
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, dropped here or above, inside an article element, named
+    opened: Counter[str] = Counter()
+    above_of, holds = [0], set()  # of named elements: the next one around, and those that hold an article element
     parts: list[str] = []
     linked = 0
-    in_link = 0
 
     def close() -> None:
         nonlocal linked
-        if parts:
-            text = " ".join("".join(parts).split())
-            if text:
-                out.append((text, linked, *(stack[-1][2:] if stack else (False, frozenset()))))
-            parts.clear()
+        text = " ".join("".join(parts).split()) if parts else ""
+        if text:
+            inside, named = stack[-1][2:] if stack else (False, 0)
+            out.append(Block(text, linked, inside, named, any(opened[h] for h in HEADINGS), any(opened[i] for i in ITEMS)))
+        parts.clear()
         linked = 0
 
+    def pop() -> None:
+        opened[stack.pop()[0]] -= 1
+
     at = 0
     for m in _MARKUP.finditer(html):
         if m.start() > at and not (stack and stack[-1][1]):
             text = unescape(html[at : m.start()])
             parts.append(text)
-            linked += len(text) if in_link else 0
+            linked += len(text) if opened["a"] else 0
         at = m.end()
         tag = (m[3] or "").lower()
         if not tag:
@@ -101,82 +125,108 @@ def blocks_of(html: str) -> list[tuple[str, int, bool, frozenset[int]]]:
         if tag in BLOCK:
             close()
         if m[2]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            # An end tag without a start, or one from inside a table cell or list for a mere inline, is ignored.
-            if depth is not None:
-                del stack[depth:]
-            if tag == "a":
-                in_link = 0
+            if opened[tag]:  # an end without a start is ignored
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
         elif tag not in VOID:
-            if tag == "p" and stack and stack[-1][0] == "p":
-                stack.pop()
-            if tag in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == tag:
-                stack.pop()
-            above = stack[-1] if stack else ("", False, False, frozenset())
-            dropped, doubted = _verdict(tag, m[4], above[2])
-            dropped, around = dropped or above[1], above[3]
-            if doubted:
-                doubts += 1
-                around |= {doubts}
+            if tag in BLOCK and opened["p"]:  # a block ends an open paragraph, whatever inline elements it left open
+                inline = next((i for i in range(1, min(len(stack), 64) + 1) if stack[-i][0] in BLOCK), 0)
+                if inline and stack[-inline][0] == "p":
+                    for _ in range(inline):
+                        pop()
+            if stack and stack[-1][0] == tag and tag in ("a", "li", "td", "th", "tr", "dt", "dd", "option"):
+                pop()
+            _, was_dropped, in_content, around = stack[-1] if stack else ("", False, False, 0)
+            dropped, named = _verdict(tag, m[4], in_content)
+            dropped = dropped or was_dropped
+            if named:
+                above_of.append(around)
+                around = len(above_of) - 1
             elif tag in CONTENT and not dropped:
-                cleared |= around
+                while around and around not in holds:
+                    holds.add(around)
+                    around = above_of[around]
+                around = 0
             if not m[4].endswith("/") or tag in BLOCK:
-                stack.append((tag, dropped, above[2] or (tag in CONTENT and not dropped and not doubted), around))
-            if tag == "a":
-                in_link = 1
+                stack.append((tag, dropped, in_content or (tag in CONTENT and not dropped and not named), around))
+                opened[tag] += 1
     if at < len(html) and not (stack and stack[-1][1]):
         parts.append(unescape(html[at:]))
     close()
-    return [(*block[:3], block[3] - cleared) for block in out]
+    return [b._replace(named=0) if b.named in holds else b for b in out]
 
 
-def main_text(html: str | None, short: int = 70, long: int = 200, low: float = 0.1, high: float = 0.25, links: float = 0.5) -> str:
-    """Two passes over the blocks of a page.
-
-    First each block is judged alone: mostly links, or short with links: bad; long enough with many
-    stop words: good; long without any: bad; the rest stays open.  Inside an article element only links
-    make a block bad, text without stop words stays open.  Then an open block takes the label of the
-    nearest decided blocks before and after it: good if both are, or if the nearer one is; with none
-    decided, the article element decides.  Where an article element has good text, what lies outside
-    of all article elements is bad.  A block in an element whose class or id names something else is judged
-    as if outside, and the whole element is bad unless the first pass finds a good block in it.
-    """
-    blocks = blocks_of(html or "")
+def _alone(blocks: list[Block], short: int, long: int, low: float, high: float, links: float) -> list[bool | None]:
+    """First pass: good (True), bad (False) or open (None), each block by itself."""
+    words = [_LETTERS.findall(b.text.lower()) for b in blocks]
+    stops = [sum(w in STOP_WORDS for w in found) for found in words]
+    plain = [i for i, b in enumerate(blocks) if not b.named and b.linked <= links * len(b.text)]
+    # A page in a language whose function words are not listed shows hardly any: then length alone decides.
+    known = sum(stops[i] for i in plain) >= 0.02 * sum(len(words[i]) for i in plain)
+    dense = [b.linked > links * len(b.text) for b in blocks]
     labels: list[bool | None] = []
-    for text, linked, inside, doubted in blocks:
-        inside = inside and not doubted
-        words = _LETTERS.findall(text.lower())
-        stop = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
-        dense = linked / max(len(text), 1)
-        if dense > links:
+    for i, (b, found, stop) in enumerate(zip(blocks, words, stops, strict=True)):
+        share = stop / max(len(found), 1)
+        if b.named:
             labels.append(False)
-        elif len(text) < short:
-            labels.append(None if inside or not linked else False)
-        elif stop >= high and (len(text) >= long or inside):
+        elif dense[i]:  # a menu is a list of links or a run of them; a single one may stand in an article
+            labels.append(False if b.item or any(dense[max(i - 1, 0) : i]) or any(dense[i + 1 : i + 2]) else None)
+        elif len(b.text) < short or b.heading:
+            labels.append(None)
+        elif not known:
+            labels.append(True if len(b.text) >= long else None)
+        elif share >= high and (len(b.text) >= long or not b.linked):
             labels.append(True)
-        elif stop < low and not inside:
+        elif share < low and len(b.text) >= long and not b.inside:
             labels.append(False)
         else:
-            labels.append(None if inside or stop < high else True)
-    found = frozenset().union(*(b[3] for b, label in zip(blocks, labels, strict=True) if label))
-    labels = [label if b[3] <= found else False for b, label in zip(blocks, labels, strict=True)]
-    first = list(labels)
-    has_article = any(b[2] and label is not False for b, label in zip(blocks, labels, strict=True))
-    for i, (block, label) in enumerate(zip(blocks, first, strict=True)):
-        if label is not None:
-            continue
-        same = lambda j: blocks[j][2] == block[2]  # noqa: B023, E731
-        before = next((j for j in range(i - 1, -1, -1) if first[j] is not None and same(j)), None)
-        after = next((j for j in range(i + 1, len(first)) if first[j] is not None and same(j)), None)
-        near = [j for j in (before, after) if j is not None]
-        if not near:
-            labels[i] = block[2]
-        elif len({first[j] for j in near}) == 1:
-            labels[i] = first[near[0]] or block[2]
-        else:
-            labels[i] = first[min(near, key=lambda j: (abs(j - i), not first[j]))] or block[2]
-    kept = [b[0] for b, label in zip(blocks, labels, strict=True) if label and (b[2] or not has_article)]
-    return " ".join(kept)
+            labels.append(None)
+    return labels
+
+
+def _inherited(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
+    """Second pass: open blocks take the label of the nearest decided block before or after them.
+
+    A heading goes with what follows.  Equally near and different, or none decided: good.  Neighbours are
+    those of the same side of an article element's border.
+    """
+    n, first = len(blocks), list(labels)
+    before, after = [None] * n, [None] * n  # nearest decided blocks
+    for order, near in ((range(n - 1, -1, -1), after), (range(n), before)):
+        last: list[int | None] = [None, None]
+        for i in order:
+            side = blocks[i].inside
+            near[i] = last[side]
+            if first[i] is None and blocks[i].heading and near is after and near[i] is not None:
+                first[i] = first[near[i]]
+            if first[i] is not None:
+                last[side] = i
+    good = []
+    for i, label in enumerate(first):
+        if label is None:
+            reach = [(abs(j - i), not first[j]) for j in (before[i], after[i]) if j is not None]
+            label = not min(reach)[1] if reach else True
+        good.append(label)
+    return good
+
+
+def main_text(html: str | None, short: int = 70, long: int = 200, low: float = 0.1, high: float = 0.25, links: float = 0.5) -> str:
+    """Two passes over the blocks of a page.
+
+    First each block is judged alone (``_alone``): in an element named as something else, or links in a list or
+    run: bad; long enough with many stop words: good; long with hardly any: bad, but open inside an article element;
+    short ones, headings and the rest stay open.  Where a page's language has no listed stop words, length decides.
+    Then open blocks take the label of their nearest decided neighbours (``_inherited``).
+
+    Where no block is good, the open ones are all the text there is and stay.  Where an article element has good
+    text, what lies outside of all article elements is bad.  Both passes and the parser are linear in the page.
+    """
+    blocks = blocks_of(html or "")
+    labels = _alone(blocks, short, long, low, high, links)
+    good = _inherited(blocks, labels) if any(labels) else [label is not False for label in labels]
+    has_article = any(b.inside and label for b, label in zip(blocks, good, strict=True))
+    return " ".join(b.text for b, label in zip(blocks, good, strict=True) if label and (b.inside or not has_article))
 
 
 def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
