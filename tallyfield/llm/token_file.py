@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, parts, slices, span_hashes, string_buffers
+from .common import cut, parts, shared_folder, slices, span_hashes, string_buffers
 
 _LETTER, _NUMBER, _OTHER, _WHITE = 0, 1, 2, 3
 _state: dict = {}
@@ -291,10 +291,38 @@ def decode(sequence: np.ndarray, written: np.ndarray, bounds: np.ndarray, base:
     return out
 
 
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    """Ids of a few symbols, without writing out the rules that they do not use."""
+    out = symbols.astype(np.int64)
+    while (at := np.flatnonzero(out >= base)).size:
+        sizes = np.ones(len(out), np.int64)
+        sizes[at] = 2
+        first = (np.cumsum(sizes) - sizes)[at]
+        pairs, out = rules[out[at] - base], np.repeat(out, sizes)
+        out[first], out[first + 1] = pairs[:, 0], pairs[:, 1]
+    return out.astype(np.uint32)
+
+
+def ids_between(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int, lo: int, hi: int) -> np.ndarray:
+    """Ids ``lo`` to ``hi`` of a document: expansion lengths find the symbols that hold them, only those are written out."""
+    rule = symbols >= base
+    sizes = np.where(rule, np.append(lengths, 0)[np.where(rule, symbols - base, len(lengths))], 1)
+    ends = np.cumsum(sizes)
+    lo, hi = max(lo, 0), min(hi, int(ends[-1]) if len(ends) else 0)
+    if lo >= hi:
+        return np.zeros(0, np.uint32)
+    a, b = np.searchsorted(ends, lo, side="right"), np.searchsorted(ends, hi, side="left") + 1
+    begin = int(ends[a] - sizes[a])
+    return expand(symbols[a:b], rules, base)[lo - begin : hi - begin]
+
+
 FILE = "part int, shard int, doc_ids binary, named binary, firsts binary, sizes binary, rules binary, spans binary, wide boolean, sequence binary"
 
 
-def write_token_file(docs: DataFrame, path: str, tokenizer: str, base: int = 50_257, shard_bytes: int = 4 << 20, id_col: str = "doc_id", text: str = "text", added: bool = False) -> None:
+def write_token_file(
+    docs: DataFrame, path: str, tokenizer: str, base: int = 50_257, shard_bytes: int = 4 << 20,
+    id_col: str = "doc_id", text: str = "text", added: bool = False,
+) -> None:
     """Encode whole texts and write them, in ascending ``id_col`` order, as a table of Re-Pair shards.
 
     Documents are range-partitioned and sorted by id (null first; rows that repeat an id by a hash
@@ -386,7 +414,47 @@ def read_token_file(shards: DataFrame, base: int = 50_257) -> DataFrame:
     return shards.join(begins, ["part", "shard"]).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def read_ids(shards: DataFrame, wanted: DataFrame, first: int = 0, count: int = 1 << 62, base: int = 50_257) -> DataFrame:
+    """Random access: (doc_id, ids), ids ``first`` to ``first + count`` of the documents whose doc_id is in ``wanted``.
+
+    The doc_ids of all shards are read, then the shards that hold a wanted document; there only its own symbols are
+    looked at (``firsts``), and of those only the ones that the expansion lengths (``spans``) place in the
+    range are written out.  Documents not in the file give no row, those that repeat an id one each; null is no document.
+    """
+
+    def listed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for part, shard, ids, named in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                nth = np.flatnonzero(np.frombuffer(named, bool))
+                ids = np.frombuffer(ids, np.int64)[nth]
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([part] * len(nth), pa.int32()), "shard": pa.array([shard] * len(nth), pa.int32()),
+                    "nth": pa.array(nth, pa.int64()), "doc_id": pa.array(ids),
+                })
+
+    def cut_out(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                rules = np.frombuffer(row["rules"], np.uint32).astype(np.int64).reshape(-1, 2)
+                lengths = np.frombuffer(row["spans"], np.uint32).astype(np.int64)
+                sequence = np.frombuffer(row["sequence"], np.uint32 if row["wide"] else np.uint16)
+                firsts, doc_ids = np.frombuffer(row["firsts"], np.uint32).astype(np.int64), np.frombuffer(row["doc_ids"], np.int64)
+                for nth in row["found"]:
+                    symbols = sequence[firsts[nth] : firsts[nth + 1]].astype(np.int64)
+                    ids = ids_between(symbols, rules, lengths, base, first, first + count)
+                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array([int(doc_ids[nth])]), "ids": pa.array([ids.astype(np.int64)], pa.list_(pa.int64()))})
+
+    places = shards.select("part", "shard", "doc_ids", "named").mapInArrow(listed, "part int, shard int, nth long, doc_id long")
+    asked = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    found = places.join(asked, "doc_id", "left_semi").groupBy("part", "shard").agg(F.collect_list("nth").alias("found"))
+    columns = ["doc_ids", "firsts", "rules", "spans", "wide", "sequence", "found"]
+    return shards.join(found, ["part", "shard"]).select(*columns).mapInArrow(cut_out, "doc_id long, ids array<long>")
+
+
 def token_path(spark) -> str:
     """A fresh place for a token file in the shared checkpoint folder."""
-    cut(spark.range(0))  # names the folder where it is unset
-    return f"{spark.sparkContext.getCheckpointDir()}/tokens-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
