@@ -12,6 +12,8 @@ from .common import LOWER, cut, mix64, pack, slices, span_hashes, string_buffers
 _END, _START = np.uint64(0xE4D0E4D0E4D0E4D1), np.uint64(0x57A2757A2757A275)
 _BINS, _STEP = 241, 0.05  # probability grid of the sufficient statistics: decades of 0.05, the last bin is 0
 _BUCKETS = 24  # context frequencies by powers of two
+BLOCK = 8 << 20  # bytes of text that are counted and looked up together
+RANGE = 32 << 20  # bytes of text whose n-grams a range of the hash sums
 
 
 def _tokens(column) -> tuple[np.ndarray, np.ndarray]:
@@ -79,11 +81,13 @@ def score_texts(
     of two).  The weights come from expectation-maximisation on the counts of fold ``tuning``, held out from
     counts of the other folds; the final counts take in every learnable text.
 
-    Counting and looking up is one exchange: blocks of texts, as Arrow batches come from the scan, are packed
-    and cut to the shared folder; each sends its distinct n-grams with its own counts to ranges of the hash,
-    each range sums and answers with totals.  What moves
-    grows with the distinct n-grams of the batches, no vocabulary is gathered or broadcast.  The driver sees
-    N, V, the number of texts, and held-out statistics on a fixed grid.
+    Counting and looking up is one exchange: blocks of texts (``BLOCK`` bytes; a longer text is one by itself) are
+    packed and cut to the shared folder; each sends its distinct n-grams with its own counts to ranges of the hash,
+    each range sums and answers with totals.  A message holds the n-grams of one block in one range and there is none
+    where a block has none, so messages never outnumber a block's distinct n-grams: what moves grows with those,
+    in proportion to the texts.  No vocabulary is gathered or broadcast.  The driver sees N, V, the number of texts,
+    and held-out statistics on a fixed grid.  (A row for every distinct n-gram of a block instead of a
+    packed message moves several times the bytes; the README has the figures.)
 
     One row per document: ``id_col``, held_out, n_tokens, n_known, train_tokens, base_score (add-0.1
     unigrams), score.  Null text counts as empty: one end token.  Rows with a null id are scored, never
@@ -94,25 +98,30 @@ def score_texts(
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.pmod(crc_of(id_col), F.lit(folds)).cast("int").alias("fold"))
     rows = rows.withColumn("fold", F.coalesce("fold", F.lit(held)))
-    facts = rows.agg(F.count("*").alias("n"), F.count_if(F.col("fold") != held).alias("all"), F.count_if(F.col("fold") == tuning).alias("tune")).first()
-    buckets = max(1, -(-facts.n // 8192))
+    facts = rows.agg(
+        F.count_if(F.col("fold") != held).alias("all"), F.count_if(F.col("fold") == tuning).alias("tune"),
+        F.sum(F.octet_length("text")).alias("bytes"),
+    ).first()
+    buckets = max(1, -(-(facts.bytes or 0) // RANGE))
     block = pa.schema([("batch", pa.string()), ("tune", pa.bool_()), ("texts", pa.binary())])
 
     def gather(batches):
         import zstandard
         from pyspark import TaskContext
 
-        name = f"{TaskContext.get().partitionId()}.{TaskContext.get().taskAttemptId()}"
-        for i, batch in enumerate(batches):
-            fold = batch.column(2).to_numpy()
+        name, nth = f"{TaskContext.get().partitionId()}.{TaskContext.get().taskAttemptId()}", 0
+        for batch in batches:
+            fold, (_, offsets) = batch.column(2).to_numpy(), string_buffers(batch.column(1))
             for tune in (False, True):
-                part = pa.Table.from_batches([batch]).filter(pa.array((fold == tuning) == tune))
-                if len(part):
+                mine = np.flatnonzero((fold == tuning) == tune)
+                part = batch.take(pa.array(mine))
+                for lo, hi in slices(np.concatenate([[0], np.cumsum(np.diff(offsets)[mine])]), BLOCK):
                     sink = pa.BufferOutputStream()
                     with pa.ipc.new_stream(sink, part.schema) as out:
-                        out.write_table(part)
+                        out.write_batch(part.slice(lo, hi - lo))
                     packed = zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())
-                    yield pa.RecordBatch.from_pylist([{"batch": f"{name}.{i}", "tune": tune, "texts": packed}], schema=block)
+                    nth += 1
+                    yield pa.RecordBatch.from_pylist([{"batch": f"{name}.{nth}", "tune": tune, "texts": packed}], schema=block)
 
     def texts_of(blob):
         import zstandard
@@ -121,7 +130,10 @@ def score_texts(
 
     # Blocks are written once, so their names hold even if a task that made them ran twice.
     blocks = cut(rows.mapInArrow(gather, "batch string, tune boolean, texts binary"))
-    ask_schema = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("batch", pa.string()), ("tune", pa.bool_()), ("size", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+    ask_schema = pa.schema([
+        ("kind", pa.int32()), ("bucket", pa.int32()), ("batch", pa.string()), ("tune", pa.bool_()),
+        ("size", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()),
+    ])
 
     def ask(batches):
         for batch in batches:
@@ -137,7 +149,10 @@ def score_texts(
                     for b in np.flatnonzero(np.diff(bounds)):
                         keys_b, counts_b = distinct[bounds[b] : bounds[b + 1]], counts[bounds[b] : bounds[b + 1]]
                         steps = np.diff(keys_b, prepend=np.uint64(0))
-                        out.append({"kind": kind_, "bucket": int(b), "batch": row["batch"], "tune": row["tune"], "size": len(keys_b), "keys": pack(steps), "counts": pack(counts_b)})
+                        out.append({
+                            "kind": kind_, "bucket": int(b), "batch": row["batch"], "tune": row["tune"],
+                            "size": len(keys_b), "keys": pack(steps), "counts": pack(counts_b),
+                        })
                     yield pa.RecordBatch.from_pylist(out, schema=ask_schema)
 
     reply = pa.schema([("batch", pa.string()), ("tune", pa.bool_()), ("kind", pa.int32()), ("bucket", pa.int32()), ("total", pa.binary()), ("early", pa.binary()),
@@ -156,9 +171,13 @@ def score_texts(
         rows = []
         for i, (name, held_back) in enumerate(zip(names, tune.tolist(), strict=True)):
             mine = which[ends[i] : ends[i + 1]]
-            rows.append({"batch": name, "tune": held_back, "kind": kind_, "bucket": bucket, "total": pack(total[mine]), "early": pack(early[mine]) if held_back else None})
+            answered = {"total": pack(total[mine]), "early": pack(early[mine]) if held_back else None}
+            rows.append({"batch": name, "tune": held_back, "kind": kind_, "bucket": bucket, **answered})
         if kind_ == 0:
-            rows.append({"kind": 0, "bucket": bucket, "n": int(total.sum()), "v": int((total > 0).sum()), "n0": int(early.sum()), "v0": int((early > 0).sum())})
+            rows.append({
+                "kind": 0, "bucket": bucket, "n": int(total.sum()), "v": int((total > 0).sum()),
+                "n0": int(early.sum()), "v0": int((early > 0).sum()),
+            })
         return pa.Table.from_pylist(rows, schema=reply)
 
     asked = blocks.mapInArrow(ask, "kind int, bucket int, batch string, tune boolean, size long, keys binary, counts binary")
