@@ -1,7 +1,8 @@
 """A training-corpus pipeline: filter, deduplicate, mix and encode ``documents``.
 
 Every stage takes the rows its predecessor kept, as Parquet; all but the last return the columns of
-``documents``.
+``documents``, whatever their names.  Null and empty texts and rows with a null id are judged like others; rows that
+repeat are rows of their own until near copies go; an empty table gives empty stages.
 """
 
 from __future__ import annotations
@@ -12,22 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.llm.classifiers import quality, toxicity
-from tallyfield.llm.common import cut
+from tallyfield.llm.common import shared_folder
 from tallyfield.llm.mixing import mix_sources
 from tallyfield.llm.ngram_join import drop_near_copies
 from tallyfield.llm.queries import segmentation_digest
 
 
+def _whole(docs: DataFrame, *inputs: str) -> DataFrame:
+    """The columns that an operator reads, next to the whole row: no name of ``docs`` meets one that it adds."""
+    return docs.select(F.struct("*").alias("_whole"), *inputs)
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the toxicity classifier predicts toxic."""
-    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where("predicted = 0").select(*docs.columns)
+    scored = toxicity(_whole(docs, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("predicted = 0").select("_whole.*")
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the quality classifier does not predict good."""
-    scored = quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where("predicted = 1").select(*docs.columns)
+    scored = quality(_whole(docs, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("predicted = 1").select("_whole.*")
 
 
 def reject_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +42,12 @@ def reject_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat each document as often as the mix of sources takes it: not at all, once or twice."""
-    mixed = mix_sources(docs).where("copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    """Repeat each document as often as the mix of sources takes it: not at all, once or twice.
+
+    Its rows are equal then, and the next stage gives them equal samples: what is taken twice is trained on twice.
+    """
+    mixed = mix_sources(_whole(docs, "doc_id", "text", "source"), carry=["_whole"]).where("copies > 0")
+    return mixed.select(F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))), "_whole").select("_whole.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +69,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each returns is written to the shared checkpoint folder."""
-    cut(spark.range(0))  # names the folder where it is unset
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
