@@ -60,3 +60,29 @@ def parse_day(c: Column) -> Column:
 def filing_deadline(day: Column) -> Column:
     """Hours after the day's start until a report is late: 61 on a Friday, else 49."""
     return F.when(F.dayofweek(day) == 6, 61).otherwise(49)
+
+
+def period_end(day: Column) -> Column:
+    """Last day of the half month: the 15th or the month's last."""
+    return F.when(F.dayofmonth(day) <= 15, F.make_date(F.year(day), F.month(day), F.lit(15))).otherwise(F.last_day(day))
+
+
+def hours(c: Column) -> Column:
+    """A number as hours, else the first number in the text; null without one."""
+    return F.coalesce(F.trim(c).try_cast("double"), F.regexp_extract(c, r"(\d+\.?\d*)", 1).try_cast("double"))
+
+
+# Fixed value: the 64 signs of chronological push ids, in the order of their values.
+PUSH_SIGNS = "-0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"
+
+
+def push_time(c: Column) -> Column:
+    """Time in milliseconds that the first eight signs of a push id encode; null where one is no such sign."""
+    value = F.aggregate(F.sequence(F.lit(1), F.lit(8)), F.lit(0).cast("long"), lambda s, i: s * 64 + F.instr(F.lit(PUSH_SIGNS), F.substr(c, i, F.lit(1))) - 1)
+    return F.when(c.rlike(r"^[-0-9A-Z_a-z]{8}"), value)
+
+
+def event_span(first: Column, end: Column, all_day: Column) -> tuple[Column, Column]:
+    """Last day (an all-day event's end is exclusive) and number of days, one at least."""
+    days = F.date_diff(end, first)
+    return F.when(all_day & (days > 0), F.date_sub(end, 1)).otherwise(end), F.greatest(days, F.lit(1))

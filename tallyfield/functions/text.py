@@ -76,3 +76,67 @@ def display_name(name: Column, emp_id: Column) -> Column:
     """The name without ``_id`` at its end."""
     tail = F.concat(F.lit("_"), emp_id)
     return F.when(F.endswith(name, tail), F.substr(name, F.lit(1), F.length(name) - F.length(tail))).otherwise(name)
+
+
+def path_parts(df, path: str, markets: list[str]):
+    """Host, market (first segment that is one of ``markets``) and number (first segment that begins with digits) of a path."""
+    parts = F.split(path, "/")
+    number = F.nullif(F.regexp_extract(path, "/([0-9]+)", 1), F.lit("")).try_cast("int")
+    return df.withColumns({
+        "host": F.get(parts, F.lit(0)), "market": F.get(F.filter(parts, lambda x: x.isin(markets)), F.lit(0)), "number": number,
+    })
+
+
+def leave_label(code: Column, labels: dict[str, str]) -> Column:
+    """Label of a leave code, whatever its case; parts of a code with a slash are joined by `` + ``; unknown codes stand for themselves."""
+    known = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    key = F.upper(F.regexp_replace(F.trim(code), " ", ""))
+    one = lambda p: F.coalesce(F.try_element_at(known, p), p)
+    parts = F.filter(F.split(key, "/"), lambda p: p != "")
+    label = F.when(F.contains(key, F.lit("/")), F.array_join(F.transform(parts, one), " + ")).otherwise(F.coalesce(F.try_element_at(known, key), F.trim(code)))
+    return F.when(F.trim(code) != "", label)
+
+
+def calendar_summary(summary: Column, codes: list[str], teams: list[str]) -> Column:
+    """A calendar entry's text as (kind, code, team, person, note, needs_review).
+
+    Holidays, birthdays (a birthday leave is none) and trainings are told by their words.  Else ``code - team - person (note)``:
+    a leave if its code is known or names several; one that is not of three parts, or whose code or team is unknown, needs review.
+    """
+    s, low = F.trim(summary), F.lower(F.trim(summary))
+    has = lambda *words: F.greatest(*[F.contains(low, F.lit(w)) for w in words]) if len(words) > 1 else F.contains(low, F.lit(words[0]))
+    parts = F.split(F.regexp_replace(s, r"\s*[-–—]\s+|\s+[-–—]\s*", " - "), " - ")
+    full = F.size(parts) >= 3
+    code, team = F.trim(F.get(parts, F.lit(0))), F.trim(F.get(parts, F.lit(1)))
+    raw = F.array_join(F.slice(parts, 3, 100), " - ")
+    known = F.regexp_replace(F.upper(code), "/", "").isin(codes) | F.contains(code, F.lit("/"))
+    told = (
+        F.when(has("holiday") | s.rlike("^(PH|US):"), "holiday")
+        .when(has("birthday", "bday", "b-day", "anniversary") & ~has("birthday leave", "bday leave"), "birthday")
+        .when(has("refresher", "training", "walkthrough", "course", "webinar"), "training")
+    )
+    kind = F.coalesce(told, F.when(full & known, "leave").otherwise("other"))
+    leave = told.isNull() & full
+    only = lambda c: F.when(leave, c)
+    review = F.coalesce(told.isNull() & (s != "") & ~(full & known & F.upper(team).isin(teams)), F.lit(False))
+    return F.struct(
+        kind.alias("kind"), only(code).alias("code"), only(team).alias("team"), only(F.trim(F.regexp_replace(raw, r"\(.*\)\s*$", ""))).alias("person"),
+        only(F.nullif(F.regexp_extract(raw, r"\((.*)\)\s*$", 1), F.lit(""))).alias("note"), review.alias("needs_review"),
+    )
+
+
+def path_fields(path: Column, carriers: str, end: str) -> Column:
+    """Fields of a folder path around its carrier segment: (subcon, gc, carrier, market, project, needs_review).
+
+    The carrier is the first segment that matches ``carriers``; the one before it is the contractor, the one before that its
+    sub-contractor, the ones after it market and project.  Without a carrier, what follows a segment ``end`` is the market.
+    """
+    parts = F.filter(F.transform(F.split(path, "/"), lambda p: F.trim(p)), lambda p: p != "")
+    place = lambda p: F.array_position(F.transform(parts, lambda s: s.rlike(f"(?i){p}")), True).cast("int")
+    at, other = place(carriers), place(end)
+    get = lambda i: F.when(i > 0, F.get(parts, i - 1))
+    market = F.when(at > 0, get(at + 1)).when(other > 0, get(other + 1))
+    return F.struct(
+        F.when(at > 0, get(at - 2)).alias("subcon"), F.when(at > 0, get(at - 1)).alias("gc"), F.when(at > 0, get(at)).alias("carrier"),
+        market.alias("market"), F.when(at > 0, get(at + 2)).alias("project"), market.isNull().alias("needs_review"),
+    )

@@ -47,9 +47,30 @@ def conflicts(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def content_hash(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """md5 of each key's rows, in the order of their joined values: order of input does not matter.
+    """md5 of each key's rows (of all rows, without keys): the order of input does not matter.
 
-    Row digests are sorted, so what one group gathers is 32 characters a row.
+    Hashed in two levels: sorted row digests that share their first four signs, then those hashes in order.  What one
+    task gathers is a 65,536th of a group, so groups of billions of rows can be hashed.
     """
     row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
-    return df.groupBy(*keys).agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list(row)), ",")).alias("content_hash"))
+    digest = lambda c: F.md5(F.array_join(c, ","))
+    parts = df.select(*keys, row.alias("_h")).groupBy(*keys, F.substring("_h", 1, 4).alias("_p"))
+    parts = parts.agg(F.count("*").alias("_n"), digest(F.array_sort(F.collect_list("_h"))).alias("_d"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_p", "_d"))), lambda x: x["_d"])
+    return parts.groupBy(*keys).agg(F.sum("_n").alias("n"), digest(ordered).alias("content_hash"))
+
+
+def bundled(df: DataFrame, key: str, cents: str, is_a: Column, approved: Column) -> DataFrame:
+    """Revenue of paired tasks A and B of a key: while no B is approved, A earns both and B nothing.
+
+    ``pricing_status``: priced, bundled (A earns for B too) or unpriced (no A).
+    """
+    sums = df.groupBy(key).agg(
+        F.sum(F.when(is_a, F.col(cents))).alias("a"), F.sum(F.when(~is_a, F.col(cents))).alias("b"), F.bool_or(~is_a & approved).alias("ok")
+    )
+    joined = F.col("a").isNotNull() & F.col("b").isNotNull() & ~F.col("ok")
+    status = F.when(F.col("a").isNull(), "unpriced").when(joined, "bundled").otherwise("priced")
+    return sums.select(
+        key, status.alias("pricing_status"), F.when(joined, F.col("a") + F.col("b")).otherwise(F.coalesce("a", F.lit(0))).alias("a_cents"),
+        F.when(joined | F.col("b").isNull(), 0).otherwise(F.col("b")).alias("b_cents"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -48,3 +48,24 @@ def gaps(merged: DataFrame, keys: list[str], anchor: str, cap: str, least: int)
         F.count_if(long).alias("gap_count"), F.coalesce(F.sum(F.when(long, F.col("pause"))), F.lit(0)).alias("gap_total"),
         F.coalesce(F.max(F.when(long, F.col("pause"))), F.lit(0)).alias("longest_gap"),
     )
+
+
+def day_blocks(merged: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the union's length and its block starts and ends as aligned lists, written with commas."""
+    pairs = F.array_sort(F.collect_list(F.struct("block_start", "block_end")))
+    listed = lambda c: F.array_join(F.transform("_pairs", lambda p: p[c].cast("string")), ",")
+    grouped = merged.groupBy(*keys).agg(F.sum(F.col("block_end") - F.col("block_start")).alias("union_seconds"), pairs.alias("_pairs"))
+    return grouped.withColumns({"starts": listed("block_start"), "ends": listed("block_end")}).drop("_pairs")
+
+
+def current_row(df: DataFrame, keys: list[str], since: str, until: str, today: Column, order: list[Column]) -> DataFrame:
+    """``is_current``: of a key's rows that cover ``today`` (open ends count) the first by ``order``."""
+    covers = F.coalesce(F.col(since) <= today, F.lit(True)) & F.coalesce(F.col(until) >= today, F.lit(True))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_covers").orderBy(*order))
+    return df.withColumn("_covers", covers).withColumn("is_current", F.col("_covers") & (rank == 1)).drop("_covers")
+
+
+def close_by_next(df: DataFrame, keys: list[str], order: list[str], start: str, to: str = "closes") -> DataFrame:
+    """An interval is open until the key's next one begins: ``to`` is that time, ``is_open`` where there is none yet."""
+    after = F.lead(start).over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn(to, after).withColumn("is_open", F.col(to).isNull())

@@ -68,9 +68,23 @@ def or_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], lef
     return reduce(DataFrame.union, found).distinct()
 
 
-def band_join(df: DataFrame, value: str, bands: DataFrame, low: str, high: str) -> DataFrame:
-    """Each row with the bands [low, high) that hold its value; the band table is broadcast only while small."""
-    return df.join(bounded(bands, 1000), (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high)))
+def band_join(df: DataFrame, value: str, bands: DataFrame, low: str, high: str, width: float | None = None, most: int = 1000) -> DataFrame:
+    """Each row with the bands [low, high) that hold its value.
+
+    Up to ``most`` bands go to every task.  More meet by equality on cells of the value range: a band lies in every cell that it
+    touches, a value in one; ``width`` is the cells', by default the bands' mean width.  A band of several thousand cells (an open
+    end, say) would be copied as often, so such wide ones, if few, go to every task as well.
+    """
+    inside = (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
+    if bands.limit(most + 1).count() <= most:
+        return df.join(F.broadcast(bands), inside)
+    size = width or max(float(bands.agg(F.expr(f"percentile_approx({high} - {low}, 0.5)")).first()[0] or 1.0), 1e-12)
+    cell = lambda c: F.floor(F.col(c).cast("double") / size)
+    cells = cell(high) - cell(low) + 1
+    narrow = bands.where(cells <= 1000).withColumn("_cell", F.explode(F.sequence(cell(low), cell(high))))
+    met = df.withColumn("_cell", cell(value)).join(narrow, "_cell").where(inside).drop("_cell")
+    wide = bands.where(F.coalesce(cells > 1000, F.lit(True)))
+    return met.unionByName(df.join(bounded(wide), inside))
 
 
 def pattern_case(column: Column, rules: list[tuple[str, str]], otherwise: str | None = None) -> Column:
@@ -87,3 +101,38 @@ def containment_match(df: DataFrame, text: Column, terms: list[str], to: str = "
     ordered = sorted(terms, key=lambda t: (-len(t), t))
     hits = [F.when(F.contains(padded, F.lit(f" {t} ")), F.lit(t)) for t in ordered]
     return df.withColumn(to, F.coalesce(*hits))
+
+
+def json_anti(df: DataFrame, key: str, lists: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``key`` is in none of the JSON arrays of ``lists``."""
+    kind = df.schema[key].dataType.simpleString()
+    named = lists.select(F.explode(F.from_json(column, f"array<{kind}>")).alias(key)).where(F.col(key).isNotNull()).distinct()
+    return df.join(named, key, "left_anti")
+
+
+def rule_join(df: DataFrame, column: str, rules: DataFrame, order: str, pattern: str, value: str, otherwise=None) -> DataFrame:
+    """First rule by ``order`` of a rule table whose LIKE pattern matches.
+
+    The distinct values of the column meet the rules, not the rows; the table of rules goes to every task while small.
+    """
+    kinds = df.select(column).distinct()
+    met = kinds.join(bounded(rules, 10_000), F.expr(f"`{column}` LIKE `{pattern}`"))
+    first = met.groupBy(column).agg(F.min_by(value, F.struct(order, pattern)).alias(value))
+    return df.join(first, column, "left").withColumn(value, F.coalesce(value, F.lit(otherwise)))
+
+
+def key_containment(df: DataFrame, row: str, path: str, keys: DataFrame, key: str, order: list[str], words: int = 8) -> DataFrame:
+    """For each row the best key that its path holds as whole words: an equal path first, then ``order``, the longest, its spelling.
+
+    Keys of up to ``words`` words meet the path's word sequences by equality, so no row is held against every key; longer
+    keys are held against paths by containment, with the keys sent to every task while few.
+    """
+    keys = keys.withColumn("_n", F.size(F.split(key, " ")))
+    parts, at = F.split(path, " "), F.sequence(F.lit(1), F.size(F.split(path, " ")))
+    runs = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(words), F.size(parts) - i + 1)), lambda n: F.array_join(F.slice(parts, i, n), " "))))
+    short = df.select(row, path, F.explode(F.array_distinct(runs)).alias(key)).join(keys.where(F.col("_n") <= words), key)
+    padded = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    long = df.select(row, path).join(bounded(keys.where(F.col("_n") > words), 10_000), F.contains(padded(F.col(path)), padded(F.col(key))))
+    found = short.unionByName(long)
+    best = F.min_by(key, F.struct((F.col(path) != F.col(key)).alias("o"), *order, (-F.length(key)).alias("l"), F.col(key).alias("k")))
+    return df.join(found.groupBy(row).agg(best.alias(key)), row, "left")

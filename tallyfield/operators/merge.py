@@ -94,3 +94,137 @@ def changes(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str])
     both = old.alias("o").join(new.alias("n"), keys)
     changed = F.filter(F.array(*pairs), lambda x: ~x["old"].eqNullSafe(x["new"]))
     return both.select(*keys, F.explode(changed).alias("_c")).select(*keys, "_c.*")
+
+
+def action_counts(target: DataFrame, source: DataFrame, keys: list[str], ignore: tuple[str, ...] = (), delete: bool = True) -> DataFrame:
+    """What a merge would report: rows afterwards, and rows inserted, updated, deleted and kept."""
+    n = lambda action: F.count_if(F.col("action") == action).alias(action)
+    came = F.count_if(F.col("action").isin("insert", "update") | (F.col("action") == "keep")).alias("total")
+    return snapshot_actions(target, source, keys, ignore, delete).agg(came, n("insert"), n("update"), n("delete"), n("keep"))
+
+
+def merge_batch(
+    target: DataFrame, batch: DataFrame, keys: list[str], sequence: str, ignore: tuple[str, ...] = (), insert_only: tuple[str, ...] = (),
+) -> DataFrame:
+    """Change-only merge of a batch that brings some keys: nothing is deleted.
+
+    Of rows that repeat a key the last by ``sequence`` wins.  ``ignore`` columns (bookkeeping) follow the batch only when
+    something else changed; ``insert_only`` columns are set when a key is new and never again.
+    """
+    last = last_in_batch(batch, keys, sequence)
+    kept = target.select(*keys, *[F.col(c).alias(f"_first_{c}") for c in insert_only])
+    source = last.join(kept, keys, "left").withColumns({c: F.coalesce(f"_first_{c}", c) for c in insert_only}) if insert_only else last
+    return merge_snapshot(target, source.select(*target.columns), keys, ignore, delete=False)
+
+
+def merge_capped(
+    target: DataFrame, batch: DataFrame, keys: list[str], window: Column, rows: int = 10, percent: float = 20.0
+) -> tuple[DataFrame, bool]:
+    """Upsert a batch that should list all of a window; rows of the window that it leaves out go, if they are few.
+
+    They go only if there are at most ``rows`` of them or ``percent`` of the window's rows, whichever is more; else none goes.
+    Returns the merged table and whether deletions took place.
+    """
+    inside = target.where(window)
+    gone = inside.join(batch.select(*keys).distinct(), keys, "left_anti")
+    counted = inside.agg(F.count("*")).first()[0], gone.agg(F.count("*")).first()[0]
+    allowed = counted[1] <= max(rows, counted[0] * percent / 100)
+    left = target.join(gone.select(*keys), keys, "left_anti") if allowed else target
+    return merge_snapshot(left, batch, keys, delete=False), allowed
+
+
+def refresh_window(table: DataFrame, rebuilt: DataFrame, keys: list[str], window: Column, owner: str, rows: int = 10, percent: float = 5.0) -> DataFrame:
+    """Replace a window of a table by its rebuilt rows, change by change; refused where too much would be lost.
+
+    Lost are rows (``guard_shrink``) and owners: rows whose ``owner`` was known and no longer is, by the same bounds.
+    """
+    size = lambda df: df.agg(F.count("*").alias("n"), F.count(owner).alias("owned")).first()
+    before, after = size(table.where(window)), size(rebuilt)
+    guard_shrink(before.n, after.n, rows, percent)
+    guard_shrink(before.owned, after.owned, rows, percent)
+    return table.where(~F.coalesce(window, F.lit(False))).unionByName(merge_snapshot(table.where(window), rebuilt, keys))
+
+
+def replace_if_enough(table: DataFrame, batch: DataFrame, part: str, percent: float = 90.0) -> DataFrame:
+    """Per value of ``part``: the batch's rows if there are at least ``percent`` of the table's, else the table's."""
+    count = lambda df, to: df.groupBy(part).agg(F.count("*").alias(to))
+    sizes = count(table, "_old").join(count(batch, "_new"), part, "full")
+    enough = sizes.select(part, (F.coalesce("_new", F.lit(0)) * 100 >= F.coalesce("_old", F.lit(0)) * percent).alias("_enough"))
+    new = batch.join(enough.where("_enough").select(part), part, "left_semi")
+    return table.join(enough.where("NOT _enough").select(part), part, "left_semi").unionByName(new.select(*table.columns))
+
+
+def enrich_changed(df: DataFrame, lookup: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Columns taken from a lookup where it knows the key and differs; ``changed`` tells which rows that made different."""
+    known = lookup.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_known"))
+    both = df.join(known, keys, "left")
+    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in columns])
+    changed = F.coalesce(F.col("_known"), F.lit(False)) & differs
+    return both.withColumn("changed", changed).withColumns({c: F.when(F.col("changed"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}).select(*df.columns, "changed")
+
+
+def seed_unknown(found: DataFrame, known: DataFrame, key: str, classify: Column) -> DataFrame:
+    """Keys that no table row has yet, each once, with a first class."""
+    return found.where(F.col(key).isNotNull()).select(key).distinct().join(known.select(key), key, "left_anti").withColumn("class", classify)
+
+
+def not_blank(old: DataFrame, new: DataFrame) -> DataFrame:
+    """A refreshed table, or the old one where the refresh came out empty: stale is better than blank."""
+    return old if new.isEmpty() else new
+
+
+def changed_groups(hashes: DataFrame, state: DataFrame, keys: list[str], column: str = "content_hash") -> DataFrame:
+    """Groups whose content hash is not the one of the last load, with what happened: new or changed."""
+    then = state.select(*keys, F.col(column).alias("_then"))
+    both = hashes.join(then, keys, "left").where(~F.col(column).eqNullSafe(F.col("_then")))
+    return both.select(*keys, F.when(F.col("_then").isNull(), "new").otherwise("changed").alias("state"))
+
+
+def roster_diff(old: DataFrame, new: DataFrame, keys: list[str], tracked: list[str], simple: list[str]) -> DataFrame:
+    """Keys that are new, removed, changed in a ``tracked`` field (worth a history row) or only in a ``simple`` one.
+
+    ``fields`` names the changed fields, tracked ones first.
+    """
+    both = old.withColumn("_o", F.lit(True)).alias("o").join(new.withColumn("_n", F.lit(True)).alias("n"), keys, "full")
+    names = F.array_compact(F.array(*[F.when(~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")), F.lit(c)) for c in [*tracked, *simple]]))
+    is_tracked = F.arrays_overlap(names, F.array(*[F.lit(c) for c in tracked]))
+    change = (
+        F.when(F.col("_o").isNull(), "new").when(F.col("_n").isNull(), "removed")
+        .when(is_tracked, "tracked").when(F.size(names) > 0, "simple").otherwise("same")
+    )
+    both_sides = change.isin("tracked", "simple")
+    return both.select(*keys, change.alias("change"), F.when(both_sides, F.array_join(names, ",")).alias("fields"))
+
+
+def rebuilt_entries(
+    raw: DataFrame, corrections: DataFrame, rejected: DataFrame, removed: DataFrame, additions: DataFrame,
+    keys: list[str], order: list[Column], value: str, most: float,
+) -> DataFrame:
+    """A clean table from raw entries and what people decided about them.
+
+    Raw rows are deduplicated by ``keys`` (the first of ``order``); rejected ones go, removed ones too unless a correction
+    came for them (null-safe keys).  Corrections replace ``value`` of the rows they name; those that name none are rows
+    of their own (orphans), as are additions.  Rows whose value exceeds ``most`` go at last unless a person gave it.
+    ``provenance`` tells where a row came from.
+    """
+    from .joins import anti_unless, null_safe_anti
+
+    first = dedup_latest(raw, keys, order)
+    left = anti_unless(null_safe_anti(first, rejected, keys), removed, corrections, keys)
+    fixes = corrections.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(value).alias("_value"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    applied = left.join(fixes, same, "left")
+    fixed = applied.select(
+        *keys, F.coalesce("_value", value).alias(value), F.when(F.col("_value").isNotNull(), "corrected").otherwise("raw").alias("provenance")
+    )
+    orphans = null_safe_anti(corrections, left, keys).select(*keys, value, F.lit("orphan").alias("provenance"))
+    added = additions.select(*keys, value, F.lit("added").alias("provenance"))
+    return fixed.unionByName(orphans).unionByName(added).where((F.col("provenance") != "raw") | F.col(value).isNull() | (F.col(value) <= most))
+
+
+def alias_table(snapshots: list[DataFrame], key: str, email: str) -> DataFrame:
+    """Every address a key has had in any snapshot, lower-cased; ``is_current`` where the last snapshot has it."""
+    last = len(snapshots) - 1
+    tagged = [df.select(F.lower(F.trim(F.col(email))).alias(email), key, F.lit(i == last).alias("_now")) for i, df in enumerate(snapshots)]
+    both = reduce(DataFrame.unionByName, tagged).where(F.col(email).isNotNull() & (F.col(email) != ""))
+    return both.groupBy(email, key).agg(F.bool_or("_now").alias("is_current"))

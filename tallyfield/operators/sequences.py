@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .joins import bounded
+
 
 def fill_spine(counted: DataFrame, keys: list[str], at: str, step: str, columns: list[str]) -> DataFrame:
     """Every step from each key's first to its last with zeros for steps without a row."""
@@ -28,8 +30,9 @@ def snapshot_flow(df: DataFrame, key: str, snapshot: str) -> DataFrame:
     before = F.lag(snapshot).over(Window.orderBy(snapshot))  # distinct dates only: few rows
     follows = dates.withColumn("_prev", before).where("_prev IS NOT NULL")
     rows = df.select(key, snapshot).distinct()
-    now = rows.join(F.broadcast(follows.select(snapshot)), snapshot).withColumn("_now", F.lit(True))
-    then = rows.withColumnRenamed(snapshot, "_prev").join(F.broadcast(follows), "_prev").select(key, snapshot).withColumn("_then", F.lit(True))
+    follows = bounded(follows)
+    now = rows.join(follows.select(snapshot), snapshot).withColumn("_now", F.lit(True))
+    then = rows.withColumnRenamed(snapshot, "_prev").join(follows, "_prev").select(key, snapshot).withColumn("_then", F.lit(True))
     both = now.join(then, [key, snapshot], "full")
     return both.groupBy(snapshot).agg(
         F.count_if(F.col("_then").isNull()).alias("new"), F.count_if(F.col("_then") & F.col("_now")).alias("carried"),
@@ -62,3 +65,20 @@ def page(df: DataFrame, sort: list[tuple[str, bool]], tie: str, offset: int, lim
     """Rows in the order of ``sort`` (column, descending), nulls last, then ``tie``; the limit is kept within 0 to 1000."""
     order: list[Column] = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in sort]
     return df.orderBy(*order, tie).offset(max(0, offset)).limit(min(1000, max(0, limit)))
+
+
+def effective_date(df: DataFrame, due: str, planned: str, stale_days: int, to: str = "effective") -> DataFrame:
+    """A planned date overrides the due one unless it is an anomaly, which ``anomaly`` names.
+
+    none: nothing planned; same: no change; ghost: planned before it was due; stale: too far ahead to be believed; moved: taken.
+    """
+    anomaly = (
+        F.when(F.col(planned).isNull(), "none").when(F.col(planned).eqNullSafe(F.col(due)), "same").when(F.col(planned) < F.col(due), "ghost")
+        .when(F.date_diff(planned, due) > stale_days, "stale").otherwise("moved")
+    )
+    return df.withColumn("anomaly", anomaly).withColumn(to, F.when(F.col("anomaly") == "moved", F.col(planned)).otherwise(F.col(due)))
+
+
+def options(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Distinct values of a column that are not blank, under the name of their list."""
+    return df.where(F.trim(F.coalesce(column, F.lit(""))) != "").select(F.lit(name).alias("list"), F.col(column).alias("option")).distinct()

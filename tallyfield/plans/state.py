@@ -78,9 +78,13 @@ def snapshot_merge_actions(t):
     return merge.snapshot_actions(*_snapshots(t), ["o_orderkey"])
 
 
-@query(f"SELECT * FROM ({SOURCE})")
+@query(f"""SELECT o_orderkey, CASE WHEN written THEN new_status ELSE old_status END AS o_orderstatus, CASE WHEN written THEN new_cents ELSE old_cents END AS cents, CASE WHEN written THEN 'r1' ELSE 'r0' END AS run FROM (
+SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey, t.o_orderstatus AS old_status, s.o_orderstatus AS new_status, t.cents AS old_cents, s.cents AS new_cents,
+  t.o_orderkey IS NULL OR (s.o_orderkey IS NOT NULL AND (t.o_orderstatus IS DISTINCT FROM s.o_orderstatus OR t.cents IS DISTINCT FROM s.cents)) AS written
+FROM ({TARGET}) t FULL JOIN ({SOURCE}) s ON t.o_orderkey = s.o_orderkey)""")
 def snapshot_merged(t):
-    return merge.merge_snapshot(*_snapshots(t), ["o_orderkey"])
+    old, new = _snapshots(t)
+    return merge.merge_snapshot(old.withColumn("run", F.lit("r0")), new.withColumn("run", F.lit("r1")), ["o_orderkey"], ignore=("run",), delete=False)
 
 
 @query(f"""SELECT t.o_orderkey, t.o_orderstatus FROM ({TARGET}) t LEFT JOIN ({SOURCE}) s ON t.o_orderkey = s.o_orderkey WHERE s.o_orderkey IS NULL OR s.o_orderstatus IS DISTINCT FROM t.o_orderstatus""")
@@ -132,12 +136,12 @@ def lag_snapshot_flow(t):
 
 
 @query("""
-WITH c AS (SELECT event_type, CAST(date_trunc('week', ts - INTERVAL 1 DAY) AS DATE) + 1 AS week, count(*) AS n FROM events WHERE user_id % 50 = 1 GROUP BY 1, 2),
+WITH c AS (SELECT event_type, CAST(date_trunc('week', ts - INTERVAL 1 DAY) AS DATE) + 1 AS week, count(*) AS n FROM events GROUP BY 1, 2),
 s AS (SELECT event_type, CAST(unnest(generate_series(min(week), max(week), INTERVAL 7 DAY)) AS DATE) AS week FROM c GROUP BY 1)
 SELECT s.event_type, s.week, COALESCE(n, 0) AS n FROM s LEFT JOIN c ON s.event_type = c.event_type AND s.week = c.week""")
 def week_spine_zero_fill(t):
     tuesday = F.date_add(F.to_date(F.date_trunc("week", F.col("ts") - F.expr("INTERVAL 1 DAY"))), 1)
-    counted = t.events.where("user_id % 50 = 1").groupBy("event_type", tuesday.alias("week")).agg(F.count("*").alias("n"))
+    counted = t.events.groupBy("event_type", tuesday.alias("week")).agg(F.count("*").alias("n"))
     return sequences.fill_spine(counted, ["event_type"], "week", "7 days", ["n"])
 
 

@@ -71,7 +71,8 @@ def aging_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells:
 
     The header is the first row that holds a date, a customer and an amount column, under any of their names;
     it tells where the columns are.  A row with only a first cell names the bucket of the rows below, ``Total`` rows
-    do not count, and a data row has an empty first cell and a date.  A sheet without a header gives no rows.
+    do not count, and a data row has an empty first cell and a date.  A sheet without a header gives no rows;
+    ``require_header`` refuses it.
     """
     names = aliases or {
         "date": ["date"], "transaction_type": ["transaction type", "type"], "num": ["num", "no.", "number"], "customer": ["customer", "name"],
@@ -101,3 +102,137 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], kind: str = "parq
 def count_snapshot(tables: dict[str, DataFrame]) -> DataFrame:
     """Row counts by table, for a report before and after a run."""
     return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n") for name, df in tables.items()])
+
+
+class SheetError(ValueError):
+    """A sheet that lacks what its rows cannot be read without."""
+
+
+def require_header(grid: DataFrame, columns: list[str], sheet: str = "sheet", cells: str = "cells") -> DataFrame:
+    """``grid`` if every sheet has a row that names all of ``columns``; else ``SheetError`` with the sheets that do not."""
+    lowered = F.transform(cells, lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))))
+    named = reduce(lambda a, b: a & b, [F.array_contains(lowered, c) for c in columns])
+    bad = [r[0] for r in grid.groupBy(sheet).agg(F.bool_or(named).alias("ok")).where("NOT ok").orderBy(sheet).limit(20).select(sheet).collect()]
+    if bad:
+        raise SheetError(f"no header with {', '.join(columns)} in: {', '.join(map(str, bad))}")
+    return grid
+
+
+MONTH_FORMATS = ("MMMM d, yyyy", "MMM d, yyyy")
+
+
+def header_day(c: Column) -> Column:
+    """Day that a sheet's heading names: a single day, the last of a range (in one month or over two), or a month's last."""
+    c = F.trim(c)
+    named = lambda text: F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in MONTH_FORMATS])
+    part = lambda pattern, *at: F.when(c.rlike(pattern), F.concat(*[F.regexp_extract(c, pattern, i) if isinstance(i, int) else F.lit(i) for i in at]))
+    crossing = part(r"^[A-Za-z]+\s+\d+\s*[-–]\s*([A-Za-z]+)\s+(\d+),?\s+(\d{4})", 1, " ", 2, ", ", 3)
+    inside = part(r"^([A-Za-z]+)\s+\d+\s*-\s*(\d+),?\s+(\d{4})", 1, " ", 2, ", ", 3)
+    month = F.last_day(named(part(r"^([A-Za-z]+)\s+(\d{4})$", 1, " 1, ", 2)))
+    slashed = F.when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.to_date(F.try_to_timestamp(c, F.lit("M/d/yyyy"))))
+    return F.coalesce(named(crossing), named(inside), month, named(c), slashed)
+
+
+def sales_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells: str = "cells") -> DataFrame:
+    """Sales by product from the grid of a sheet, with the day its heading names (``as_of``).
+
+    Rows 0 to 4 are the heading, row 4 names the columns.  Below, ``Total`` rows, the footer's time stamp and rows that name a group
+    (a first cell and no second) do not count; a data row has an empty first cell and a second one.
+    """
+    names = {"date": "date", "customer": "customer", "num": "num", "qty": "qty", "amount": "amount", "po_number": "p.o. number"}
+    whole = Window.partitionBy(sheet)
+    lowered = F.transform(cells, lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))))
+    place = F.struct(*[F.array_position(lowered, v).cast("int").alias(k) for k, v in names.items()])
+    days = F.array_compact(F.transform(F.slice(cells, 1, 3), header_day))
+    heading = F.when(F.col(row) < 5, F.try_element_at(days, F.lit(1)))
+    as_of = F.min_by(heading, F.when(heading.isNotNull(), F.col(row))).over(whole)
+    marked = grid.withColumns({"as_of": as_of, "_head": F.max(F.when(F.col(row) == 4, place)).over(whole)})
+    filled = lambda i: F.nullif(F.trim(F.try_element_at(F.col(cells), F.lit(i))), F.lit(""))
+    cell = lambda k: F.when(F.col(f"_head.{k}") > 0, F.nullif(F.trim(F.try_element_at(F.col(cells), F.col(f"_head.{k}"))), F.lit("")))
+    rows = marked.where((F.col(row) >= 5) & filled(1).isNull() & filled(2).isNotNull())
+    typed = {"date": parse_day(cell("date")), "qty": cell("qty").try_cast("double").cast("int"), "amount": money(cell("amount"))}
+    return rows.select(sheet, "as_of", *[typed.get(k, cell(k)).alias(k) for k in names])
+
+
+def sheet_day(c: Column, year: Column) -> Column:
+    """``Mar-9``, ``Jan 16``, ``3/9`` or ``3/9/2026``; a year in the text wins over ``year``.  Anything else is null."""
+    named = r"^\s*([A-Za-z]{3})[A-Za-z]*[- ]+(\d{1,2})(?:[-, ]+(\d{4}))?\s*$"
+    slashed = r"^\s*(\d{1,2})/(\d{1,2})(?:/(\d{2}|\d{4}))?\s*$"
+    number = lambda p, i: F.regexp_extract(c, p, i).try_cast("int")
+    of = lambda p: F.coalesce(F.when(number(p, 3) < 100, number(p, 3) + 2000).otherwise(number(p, 3)), year)
+    month = F.array_position(F.array(*[F.lit(m) for m in "jan feb mar apr may jun jul aug sep oct nov dec".split()]), F.lower(F.regexp_extract(c, named, 1)))
+    made = lambda y, m, d: F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0")).try_cast("date")
+    first = F.when(c.rlike(named) & (month > 0) & of(named).isNotNull(), made(of(named), month, number(named, 2)))
+    return F.coalesce(first, F.when(c.rlike(slashed) & of(slashed).isNotNull(), made(of(slashed), number(slashed, 1), number(slashed, 2))))
+
+
+def schedule_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells: str = "cells", scan: int = 10) -> DataFrame:
+    """Schedule changes from a workbook of tabs: (sheet, row, id_number, name, shift, start_date, end_date, kind, row_hash).
+
+    A tab counts if one of its first ``scan`` rows begins with ``ID Number`` and has ``Names``; its cells tell where the columns are.
+    A tab whose heading begins with ``Cluster`` repeats the others and does not.  A data row has a whole number as its id, or none and
+    a name and a shift of DS or NS.  An end before the start lies in the next year; no end is ``ongoing``, the same day ``one_day``,
+    else ``temporary``.  Rows without a start are left out.
+    """
+    names = {"id_number": "ID Number", "name": "Names", "shift": "Shift", "year": "Year", "start": "Start", "end": "End"}
+    first = F.trim(F.coalesce(F.try_element_at(F.col(cells), F.lit(1)), F.lit("")))
+    trimmed = F.transform(cells, lambda c: F.trim(F.coalesce(c, F.lit(""))))
+    head = (F.col(row) < scan) & (first == "ID Number") & F.array_contains(trimmed, "Names")
+    whole, place = Window.partitionBy(sheet), F.struct(F.col(row).alias("at"), *[F.array_position(trimmed, v).cast("int").alias(k) for k, v in names.items()])
+    marked = grid.withColumns({"_c": trimmed, "_head": F.min(F.when(head, place)).over(whole), "_other": F.min(F.when((F.col(row) < scan) & (first == "Cluster"), F.col(row))).over(whole)})
+    below = marked.where((F.col(row) > F.col("_head.at")) & (F.col("_other").isNull() | (F.col("_other") > F.col("_head.at"))))
+    cell = lambda k: F.coalesce(F.when(F.col(f"_head.{k}") > 0, F.try_element_at(F.col("_c"), F.col(f"_head.{k}"))), F.lit(""))
+    is_data = cell("id_number").rlike(r"^\d+$") | ((cell("id_number") == "") & (cell("name") != "") & cell("shift").isin("DS", "NS"))
+    start = sheet_day(cell("start"), F.when(cell("year").rlike(r"^\d+$"), cell("year")).try_cast("int"))
+    rows = below.where(is_data).withColumn("start_date", start).where("start_date IS NOT NULL").withColumn("_end", sheet_day(cell("end"), F.year("start_date")))
+    crossed = F.when(F.col("_end") < F.col("start_date"), F.make_date(F.year("start_date") + 1, F.month("_end"), F.dayofmonth("_end"))).otherwise(F.col("_end"))
+    rows = rows.withColumn("end_date", crossed)
+    kind = F.when(F.col("end_date").isNull(), "ongoing").when(F.col("end_date") == F.col("start_date"), "one_day").otherwise("temporary")
+    blank = lambda c: F.nullif(F.nullif(c, F.lit("")), F.lit("-"))
+    return rows.select(
+        sheet, row, cell("id_number").alias("id_number"), cell("name").alias("name"), blank(cell("shift")).alias("shift"), "start_date", "end_date",
+        kind.alias("kind"), F.sha2(F.array_join("_c", "\x1f"), 256).alias("row_hash"),
+    )
+
+
+def fetch_timers(status: Column, requirements: Column, day: Column, today: Column, lookback: int = 2) -> Column:
+    """Whether a task's timers are pulled: decided ones and those with requirements always, a pending one only while its day is fresh."""
+    fresh = (status == "pending") & F.coalesce(day.between(F.date_sub(today, lookback), today), F.lit(False))
+    return ~status.isin("pending", "cancelled") | (F.coalesce(requirements, F.lit(0)) > 0) | fresh
+
+
+def pull_window(today: str, days: int, since: str | None = None) -> tuple[str, str]:
+    """First and last day of a pull: from ``since`` or ``days`` back to tomorrow, as a night shift's day may run ahead."""
+    from datetime import date, timedelta
+
+    now = date.fromisoformat(today)
+    first, last = date.fromisoformat(since) if since else now - timedelta(days=days - 1), now + timedelta(days=1)
+    if first > last:
+        raise ValueError(f"window begins on {first}, after its end {last}")
+    return first.isoformat(), last.isoformat()
+
+
+def forward_cap(today: Column) -> Column:
+    """Twelve months ahead, on the 28th at the latest: no event beyond is pulled."""
+    return F.make_date(F.year(today) + 1, F.month(today), F.least(F.dayofmonth(today), F.lit(28)))
+
+
+def pull_ranges(spark: SparkSession, now: str, zone: str, through_today: bool) -> DataFrame:
+    """Days to pull on a clock: from the month's first day of the day before to yesterday, or to today; with their month bucket."""
+    today = F.to_date(F.from_utc_timestamp(F.lit(now).cast("timestamp"), zone))
+    last = today if through_today else F.date_sub(today, 1)
+    days = spark.range(1).select(F.explode(F.sequence(F.trunc(last, "month"), last)).alias("day"))
+    return days.withColumn("month", F.trunc("day", "month"))
+
+
+def exploded_records(df: DataFrame, json_column: str, schema: str, keys: list[str]) -> DataFrame:
+    """Records of a JSON array as rows with their place (from 1); an array that was encoded twice is decoded twice."""
+    twice = F.when(F.trim(F.col(json_column)).startswith('"'), F.get_json_object(F.concat(F.lit('{"a":'), F.col(json_column), F.lit("}")), "$.a")).otherwise(F.col(json_column))
+    found = df.withColumn("_r", F.from_json(twice, f"array<struct<{schema}>>"))
+    return found.select(*keys, F.posexplode("_r").alias("_p", "_v")).select(*keys, (F.col("_p") + 1).alias("ordinality"), "_v.*")
+
+
+def run_log(runs: DataFrame, at: str = "started") -> DataFrame:
+    """Latest run of each pipeline with its counts, and whether what depends on it may go on."""
+    top = F.max_by(F.struct("status", "rows", at), F.col(at)).alias("t")
+    return runs.groupBy("pipeline").agg(top, F.count("*").alias("runs")).select("pipeline", "t.*", "runs", (F.col("t.status") == "success").alias("may_go_on"))

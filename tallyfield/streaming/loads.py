@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import pandas as pd
@@ -9,15 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_by
+from ..operators.joins import bounded
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder under the session's checkpoint directory (a local one only where none is set)."""
+    """A fresh folder under the session's checkpoint directory; a local one only where none is set and Spark runs on one machine."""
     import tempfile
 
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyfield-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyfield-"))
     return f"{context.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
 
 
@@ -27,23 +32,34 @@ def file_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", name).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
-def upsert(stream: DataFrame, keys: list[str], by: list[str], columns: list[str], folder: str, trigger: dict | None = None) -> str:
-    """Keep the latest row of each key in a versioned table; returns the folder of the last version.
+def upserted(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
+    """The table that ``upsert`` keeps in ``folder``: of every bucket its latest version (of those before ``before``)."""
+    written = spark.read.option("basePath", f"{folder}/table").parquet(f"{folder}/table/version=*")
+    if before is not None:
+        written = written.where(F.col("version") < before)
+    latest = written.groupBy("bucket").agg(F.max("version").alias("version"))
+    return written.join(bounded(latest), ["bucket", "version"])
 
-    Every micro-batch is reduced to its latest row a key, merged with the current version and written as the
-    next one: a batch that runs twice writes the same version again.
+
+def upsert(
+    stream: DataFrame, keys: list[str], by: list[str], columns: list[str], folder: str, trigger: dict | None = None, buckets: int = 64,
+) -> DataFrame:
+    """Keep the latest row of each key in a table of hash buckets; returns the table when the stream has stopped.
+
+    Every micro-batch is reduced to its latest row a key, merged with the buckets that those keys lie in, and only these are
+    written, as a version of the batch's number: a batch that runs twice writes the same version again.
     """
-    versions = f"{folder}/versions"
 
     def merge(batch: DataFrame, number: int) -> None:
-        new = latest_by(batch, keys, by, columns)
+        new = latest_by(batch, keys, by, columns).withColumn("bucket", F.pmod(F.hash(*keys), F.lit(buckets)))
         if number > 0:
-            new = latest_by(batch.sparkSession.read.parquet(f"{versions}/{number - 1}").unionByName(new), keys, by, columns)
-        new.write.mode("overwrite").parquet(f"{versions}/{number}")
+            held = upserted(batch.sparkSession, folder, number).join(bounded(new.select("bucket").distinct()), "bucket", "left_semi")
+            new = latest_by(held.drop("version").unionByName(new), [*keys, "bucket"], by, columns)
+        new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/table/version={number}")
 
     job = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/state").trigger(**(trigger or {"availableNow": True})).start()
     job.awaitTermination()
-    return f"{versions}/{job.lastProgress['batchId']}" if job.lastProgress else versions
+    return upserted(stream.sparkSession, folder).drop("bucket", "version")
 
 
 def windowed(stream: DataFrame, at: str, delay: str, length: str, keys: list[str]) -> DataFrame:
@@ -62,19 +78,22 @@ def deduplicated(stream: DataFrame, at: str, delay: str, keys: list[str]) -> Dat
 
 
 def alerts(stream: DataFrame, key: str, failed: str, remind_every: int) -> DataFrame:
-    """Per key and batch: alert at the first failure, remind at every ``remind_every``-th, recover after one, else none."""
+    """Per row of a key, in the order of ``seq``: alert at the first failure, remind at every ``remind_every``-th, recover after one, else none."""
 
     def step(keys, frames, state):
         failures = state.get[0] if state.exists else 0
+        kinds, counts = [], []
         for frame in frames:
             for bad in frame.sort_values("seq")[failed]:
                 if bad:
                     failures += 1
-                    kind = "alert" if failures == 1 else "remind" if (failures - 1) % remind_every == 0 else "none"
+                    kinds.append("alert" if failures == 1 else "remind" if (failures - 1) % remind_every == 0 else "none")
                 else:
-                    kind, failures = ("recover" if failures else "none"), 0
-                yield pd.DataFrame({key: [keys[0]], "state": [kind], "failures": [failures]})
+                    kinds.append("recover" if failures else "none")
+                    failures = 0
+                counts.append(failures)
         state.update((failures,))
+        yield pd.DataFrame({key: [keys[0]] * len(kinds), "state": kinds, "failures": counts})
 
     kind = stream.schema[key].dataType.simpleString()
     return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, state string, failures long", "failures long", "append", "NoTimeout")
