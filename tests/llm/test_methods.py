@@ -84,7 +84,7 @@ def test_search_keeps_dimensions_apart_and_ignores_other_columns(spark):
     assert got == [(0, 1, 1, 2.0), (20, 1, 3, 3.0)]
 
 
-@pytest.mark.parametrize("share", [0.25])
+@pytest.mark.parametrize("share", [0.2])
 def test_search_recall_at_the_shipped_settings(spark, share):
     df = spark.read.parquet(f"{TENTH}/embeddings.parquet")
     rows = df.collect()
