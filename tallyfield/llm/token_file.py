@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, parts, shared_folder, slices, span_hashes, string_buffers
+from .common import cut, parts, shared_folder, slices, small, span_hashes, string_buffers
 
 _LETTER, _NUMBER, _OTHER, _WHITE = 0, 1, 2, 3
+SLICE = 1 << 20  # bytes of text that are encoded at once
 _state: dict = {}
 
 
@@ -99,15 +100,25 @@ class Encoder:
 
     def _forget(self) -> None:
         self.places = np.full((2, 1 << 22), -1, np.int32)  # two places for a key; the second may be overwritten
-        self.known = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint16)
+        self.count = self.total = 0  # entries, and ids in all of them; the arrays have room for more
+        self.known = np.zeros(1 << 12, np.uint64)
+        self.first = np.zeros(1 << 12, np.int32)
+        self.size = np.zeros(1 << 12, np.int32)
+        self.ids = np.zeros(1 << 14, np.uint16)
+
+    def _put(self, name: str, at: int, values: np.ndarray) -> None:
+        """Write ``values`` into an array from ``at`` on; it grows by half where it is too short."""
+        held = getattr(self, name)
+        if at + len(values) > len(held):
+            grown = np.zeros(max(at + len(values), len(held) * 3 // 2), held.dtype)
+            grown[:at] = held[:at]
+            setattr(self, name, grown)
+        getattr(self, name)[at : at + len(values)] = values
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Entry of each key, -1 for those not remembered."""
         entry = self.places[0][keys >> np.uint64(42)]
-        if not len(self.known):
+        if not self.count:
             return entry
         miss = np.flatnonzero((entry < 0) | (self.known[entry] != keys))
         second = self.places[1][(keys[miss] >> np.uint64(20)) & np.uint64(0x3FFFFF)]
@@ -125,10 +136,13 @@ class Encoder:
         breaks = np.flatnonzero(flat == self.line_break)
         keys = np.concatenate([keys[~solid], keys[solid]])
         sizes = np.concatenate([np.fromiter(map(len, encoded[: len(alone)]), np.int64), np.diff(breaks, prepend=-1) - 1])
-        first = len(self.ids) + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        self.ids = np.concatenate([self.ids, blank, flat[flat != self.line_break]])
-        entry = np.arange(len(self.known), len(self.known) + len(keys), dtype=np.int32)
-        self.known, self.first, self.size = np.concatenate([self.known, keys]), np.concatenate([self.first, first]), np.concatenate([self.size, sizes])
+        ids = np.concatenate([blank, flat[flat != self.line_break]])
+        entry = np.arange(self.count, self.count + len(keys), dtype=np.int32)
+        self._put("ids", self.total, ids)
+        self._put("first", self.count, self.total + np.cumsum(sizes) - sizes)
+        self._put("size", self.count, sizes)
+        self._put("known", self.count, keys)
+        self.count, self.total = self.count + len(keys), self.total + len(ids)
         slot = keys >> np.uint64(42)
         free = self.places[0][slot] < 0
         self.places[0][slot[free]] = entry[free]
@@ -153,34 +167,59 @@ class Encoder:
         ends = np.append(starts[1:], len(points))
         byte = np.append(place, len(data))
         keys = span_hashes(data, byte[starts], byte[ends])
-        if len(self.known) > self.most:
+        if self.count > self.most:
             self._forget()
         entry = self._find(keys)
         miss = np.flatnonzero(entry < 0)
         if len(miss):
             new, where, which = np.unique(keys[miss], return_index=True, return_inverse=True)
-            begin, at = len(self.known), miss[where]
+            begin, at = self.count, miss[where]
             solid = _classes()[points[ends[at] - 1]] != _WHITE
             self._learn(new, solid, [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             order = np.argsort(solid, kind="stable")  # as learnt: white space first
             rank = np.empty_like(order)
             rank[order] = np.arange(len(order))
             entry[miss] = begin + rank[which]
-        sizes, source = self.size[entry], self.first[entry]
+        sizes, source = self.size[entry].astype(np.int64), self.first[entry]
         total = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.arange(total[-1]) + np.repeat(source - total[:-1], sizes)].astype(np.uint32)
         per_text = total[np.searchsorted(starts, bounds)]
         return np.insert(ids, per_text[1:], 0), np.diff(per_text) + 1
 
 
+def _grouped(left: np.ndarray, right: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs in ascending order, each with its places together: places, and each pair's first place among them and code."""
+    sign, place = int(max(left.max(initial=0), right.max(initial=0))).bit_length(), int(at.max(initial=0)).bit_length()
+    if 2 * sign + place <= 64:  # pair and place in one number: sorting it is faster than sorting by it
+        key = left.astype(np.uint64)
+        for value, bits in ((right, sign), (at.view(np.uint32), place)):
+            key <<= np.uint64(bits)
+            key |= value
+        key.sort()
+        at = (key & np.uint64((1 << place) - 1)).astype(np.int32)
+        first = np.flatnonzero(np.append(len(key) > 0, (key[1:] ^ key[:-1]) >> np.uint64(place)))
+        key = key[first] >> np.uint64(place)
+        return at, first, ((key >> np.uint64(sign)) << np.uint64(32) | key & np.uint64((1 << sign) - 1)).astype(np.int64)
+    pair = left.astype(np.int64) << 32 | right
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    first = np.flatnonzero(np.append(len(pair) > 0, np.diff(pair)))
+    return at[order], first, pair[first]
+
+
+def _slices_of(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Several stretches of an array, one after the other."""
+    return pool[np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)]
+
+
 def repair(ids: np.ndarray, docs: np.ndarray, base: int, least: int = 24):
     """Re-Pair: rules (left, right), the sequence rewritten with them, and each document's first symbol in it.
 
     A round replaces the most frequent pairs of neighbours that do not touch each other, leftmost first;
     rounds go on until no pair is left that occurs ``least`` times without overlap.  All counts are exact:
     a pair only arises in the round that makes its younger symbol and only loses occurrences after that, so
-    its places are found once and a pair under ``least`` is let go for good.  Pairs never reach across the
-    end of a document, so documents decode alone.
+    its places are found once, its count is lowered as places change, and a pair under ``least`` is let go for
+    good.  Pairs never reach across the end of a document, so documents decode alone.
     """
     n, rules = len(ids), []
     symbols = np.append(ids, 0).astype(np.uint32)
@@ -188,72 +227,66 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, least: int = 24):
     after[docs[1:] - 1], before[docs[:-1]] = n, n
     alive = np.ones(n, bool)
     kind = np.full(n + 1, -1, np.int32)  # the pair that begins at a place, of those that occur often enough
-    codes = tally = np.zeros(0, np.int64)
-    active = np.zeros(0, np.int32)
+    pool, codes, tally, first, size = np.zeros(0, np.int32), *(np.zeros(0, np.int64) for _ in range(4))
     new = np.flatnonzero(after[:n] != n).astype(np.int32)
     while True:
-        # Name the pairs that arose; a bucket under ``least`` holds none that occurs often enough.
-        left, right = symbols[new], symbols[after[new]]
-        hashed = ((left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(12)).astype(np.intp)
-        full = np.flatnonzero((np.bincount(hashed, minlength=1 << 20) >= least).take(hashed))
-        new, pair = new[full], left[full].astype(np.int64) << 32 | right[full]
-        found, which, counts = np.unique(pair, return_inverse=True, return_counts=True)
-        enough = counts >= least
-        name = np.where(enough, len(codes) + np.cumsum(enough) - 1, -1)[which].astype(np.int32)
-        kind[new] = name
-        active = np.concatenate([active, new[name >= 0]])
-        codes = np.concatenate([codes, found[enough]])
-        tally = np.bincount(kind[active], minlength=len(codes))
-        # Let go of pairs that have become rare.
-        kept = tally >= least
-        if not kept.all():
-            fresh = np.where(kept, np.cumsum(kept) - 1, -1).astype(np.int32)
-            kind[active] = fresh[kind[active]]
-            active, codes, tally = active[kind[active] >= 0], codes[kept], tally[kept]
-        if not len(codes):
+        # Name the pairs that arose often enough; their places lie together in the pool.
+        at, begin, pair = _grouped(symbols[new], symbols[after[new]], new)
+        count = np.diff(np.append(begin, len(at)))
+        enough = np.flatnonzero(count >= least)
+        at = _slices_of(at, begin[enough], count[enough])
+        kind[at] = np.repeat(np.arange(len(codes), len(codes) + len(enough), dtype=np.int32), count[enough])
+        first = np.concatenate([first, len(pool) + np.cumsum(count[enough]) - count[enough]])
+        pool, codes, size = np.concatenate([pool, at]), np.concatenate([codes, pair[enough]]), np.concatenate([size, count[enough]])
+        tally = np.concatenate([tally, count[enough]])
+        often = np.flatnonzero(tally >= least)
+        if not len(often):
             break
+        often = often[np.argsort(-tally[often], kind="stable")]
         lefts, rights, chosen = set(), set(), []
-        often = np.argsort(-tally, kind="stable")
-        for at, code in zip(often.tolist(), codes[often].tolist(), strict=True):
+        for which, code in zip(often.tolist(), codes[often].tolist(), strict=True):
             a, b = code >> 32, code & 0xFFFFFFFF
             if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
                 continue
             lefts.add(a)
             rights.add(b)
-            chosen.append(at)
+            chosen.append(which)
         chosen = np.array(chosen)
-        slot = np.full(len(codes), -1, np.int32)
-        slot[chosen] = np.arange(len(chosen))
-        where = active[slot[kind[active]] >= 0]
+        places = _slices_of(pool, first[chosen], size[chosen])
+        slot = np.repeat(np.arange(len(chosen)), size[chosen])
+        still = kind[places] == chosen[slot]
+        where, slot = places[still], slot[still]
         twin = (codes[chosen] >> 32) == (codes[chosen] & 0xFFFFFFFF)
         if twin.any():  # within a run of one sign: every second pair
-            double = twin[slot[kind[where]]]
-            runs, where = np.sort(where[double]), where[~double]
+            double = twin[slot]
+            order = np.argsort(where[double], kind="stable")
+            runs, own = where[double][order], slot[double][order]
             apart = np.ones(len(runs), bool)
             apart[1:] = after[runs[:-1]] != runs[1:]
-            place = np.arange(len(runs))
-            runs = runs[(place - np.maximum.accumulate(np.where(apart, place, 0))) % 2 == 0]
-            alone = np.bincount(slot[kind[runs]], minlength=len(chosen))
-            rare = twin & (alone < least)  # never again often enough
-            where = np.concatenate([where, runs[~rare[slot[kind[runs]]]]])
-            gone = np.zeros(len(codes), bool)
-            gone[chosen[rare]] = True
-            kind[active[gone[kind[active]]]] = -1
+            nth = np.arange(len(runs))
+            second_ones = (nth - np.maximum.accumulate(np.where(apart, nth, 0))) % 2 == 0
+            runs, own = runs[second_ones], own[second_ones]
+            rare = twin & (np.bincount(own, minlength=len(chosen)) < least)  # never again often enough
+            tally[chosen[rare]] = -1
+            runs, own = runs[~rare[own]], own[~rare[own]]
+            where, slot = np.concatenate([where[~double], runs]), np.concatenate([slot[~double], own])
+            slot = (np.cumsum(~rare) - 1)[slot]
             chosen = chosen[~rare]
-            slot[:] = -1
-            slot[chosen] = np.arange(len(chosen))
         first_made = base + len(rules)
-        made = (first_made + slot[kind[where]]).astype(np.uint32)
         rules += [(code >> 32, code & 0xFFFFFFFF) for code in codes[chosen].tolist()]
         second = after[where]
         onward = after[second]
-        symbols[where] = made
+        symbols[where] = (first_made + slot).astype(np.uint32)
         alive[second] = False
         after[where] = onward
         before[onward] = where
         ahead = before[where]
-        kind[where] = kind[second] = kind[ahead] = -1
-        active = active[kind[active] >= 0]
+        lost = []
+        for changed in (where, second, ahead):
+            lost.append(kind[changed])
+            kind[changed] = -1
+        lost = np.concatenate(lost)
+        tally -= np.bincount(lost[lost >= 0], minlength=len(tally))
         ahead = ahead[ahead != n]
         new = np.concatenate([where[onward != n], ahead[symbols[ahead] < first_made]])
     begins = np.concatenate([[0], np.cumsum(alive)])[docs]
@@ -346,7 +379,11 @@ def write_token_file(
             named = np.asarray(batch.column(0).is_valid())
             doc_ids = batch.column(0).fill_null(0).to_numpy()
             for lo, hi in slices(offsets, shard_bytes):
-                ids, sizes = encoder.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                # Smaller slices than shards: what encoding needs at once is some 40 bytes a byte of text.
+                coded = [encoder.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in
+                         ((lo + a, lo + b) for a, b in slices(offsets[lo : hi + 1], SLICE))]
+                ids, sizes = (np.concatenate(parts_) for parts_ in zip(*coded, strict=True))
+                del coded
                 rules, sequence, firsts = repair(ids, np.concatenate([[0], np.cumsum(sizes)]), base)
                 wide = base + len(rules) >= 1 << 16
                 row = {
@@ -411,7 +448,8 @@ def read_token_file(shards: DataFrame, base: int = 50_257) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return shards.join(begins, ["part", "shard"]).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # A row a shard: while few they go to every task, and the shards themselves are not shuffled.
+    return shards.join(small(begins, 200_000), ["part", "shard"]).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_ids(shards: DataFrame, wanted: DataFrame, first: int = 0, count: int = 1 << 62, base: int = 50_257) -> DataFrame:
