@@ -75,44 +75,66 @@ class Lattice:
     """All segmentations of many units (a space and the word after it), as edges; those of one start lie together.
 
     ``log`` is the log of an edge's probability given its start when whole segmentations are drawn from the model.
-    Units are remembered between batches, as words recur; all are forgotten before they exceed ``most`` characters,
-    some 60 bytes each.
+    Units are remembered between batches from their second time on, as words recur and most others never do; those
+    that come first stay until the next call.  All are forgotten before they exceed ``most`` characters, some 60 bytes each.
     """
 
     EDGES = {"start": np.int32, "after": np.int32, "id": np.int32, "log": np.float64}
     POINTS = {"first": np.int32, "size": np.int32}
 
-    def __init__(self, vocab: Vocabulary, most: int = 300_000):
+    def __init__(self, vocab: Vocabulary, most: int = 800_000):
         self.vocab, self.most = vocab, most
         self.forget()
 
     def forget(self) -> None:
         """Give back all memory."""
-        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.known, self.place, self.met = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 22, bool)
         self.edges = self.points = 0
+        self.kept = (0, 0)  # edges and points of remembered units
         for name, kind in (self.EDGES | self.POINTS).items():
             setattr(self, name, np.zeros(0, kind))
 
     def places(self, keys: np.ndarray, points: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """First characters, in this lattice, of distinct units: spans of ``points`` with sorted hashes ``keys``."""
-        at = np.searchsorted(self.known, keys)
-        new = np.flatnonzero(np.append(self.known, np.uint64(0))[at] != keys) if len(self.known) else np.arange(len(keys))
-        if self.points + (ends - begins)[new].sum() > self.most:
-            self.forget()
-            at, new = np.zeros(len(keys), np.int64), np.arange(len(keys))
-        if len(new):
-            sizes = (ends - begins)[new]
-            bounds = np.concatenate([[0], np.cumsum(sizes)])
-            place = self.points + bounds[:-1]
-            self._add(points[np.arange(bounds[-1]) + np.repeat(begins[new] - bounds[:-1], sizes)], bounds)
-            self.known, self.place = np.insert(self.known, at[new], keys[new]), np.insert(self.place, at[new], place)
-        return self.place[np.searchsorted(self.known, keys)]
+        self.edges, self.points = self.kept
+        sizes, mark = ends - begins, keys >> np.uint64(42)
+        again = self.met[mark]
+        self.met[mark] = True
+        new = self._unknown(keys)
+        if self.points + sizes[new[again[new]]].sum() > self.most:
+            self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            self.edges, self.points = self.kept = (0, 0)
+            new = self._unknown(keys)
+            if sizes[again].sum() > self.most:
+                again = np.zeros(len(keys), bool)
+        out = np.zeros(len(keys), np.int64)
+        old = np.ones(len(keys), bool)
+        old[new] = False
+        if old.any():
+            out[old] = self.place[np.searchsorted(self.known, keys[old])]
+        for which in (new[again[new]], new[~again[new]]):
+            if len(which):
+                bounds = np.concatenate([[0], np.cumsum(sizes[which])])
+                out[which] = self.points + bounds[:-1]
+                self._add(points[np.arange(bounds[-1]) + np.repeat(begins[which] - bounds[:-1], sizes[which])], bounds)
+                if again[which[0]]:
+                    self.kept = (self.edges, self.points)
+                    at = np.searchsorted(self.known, keys[which])
+                    self.known, self.place = np.insert(self.known, at, keys[which]), np.insert(self.place, at, out[which])
+        return out
+
+    def _unknown(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.arange(len(keys))
+        at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+        return np.flatnonzero(self.known[at] != keys)
 
     def _append(self, total: int, values: dict) -> None:
         for name, new in values.items():
             old = getattr(self, name)
-            if total + len(new) > len(old):
-                more = np.empty(max(total + len(new), len(old) * 3 // 2), old.dtype)
+            if total + len(new) > len(old):  # room for three edges a character: pages that are never written cost nothing
+                room = (self.most + (1 << 19)) * (3 if name in self.EDGES else 1)
+                more = np.empty(max(total + len(new), room, len(old) * 3 // 2), old.dtype)
                 more[:total] = old[:total]
                 setattr(self, name, more)
             getattr(self, name)[total : total + len(new)] = new
