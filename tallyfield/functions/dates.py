@@ -44,7 +44,8 @@ def shift_minutes(c: Column) -> Column:
 def epoch_or_iso(c: Column) -> Column:
     """Epoch milliseconds (beyond 9999999999), epoch seconds, or ISO text as a timestamp."""
     number = F.when(c.rlike(r"^\d+$"), c).try_cast("bigint")
-    return F.when(number > 9_999_999_999, F.timestamp_millis(number)).when(number.isNotNull(), F.timestamp_seconds(number)).otherwise(F.try_to_timestamp(c))
+    return F.when(number > 9_999_999_999, F.timestamp_millis(number)).when(number.isNotNull(),
+        F.timestamp_seconds(number)).otherwise(F.try_to_timestamp(c))
 
 
 def parse_day(c: Column) -> Column:
@@ -52,7 +53,8 @@ def parse_day(c: Column) -> Column:
     serial = F.when(c.rlike(r"^\d{5}(\.0+)?$"), F.regexp_extract(c, r"^(\d+)", 1)).try_cast("int")
     slashed = lambda p, f: F.when(c.rlike(p), F.to_date(F.try_to_timestamp(c, F.lit(f))))
     return F.coalesce(
-        slashed(r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"), slashed(r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"), F.date_add(F.lit("1899-12-30").cast("date"), serial),
+        slashed(r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"), slashed(r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
+            F.date_add(F.lit("1899-12-30").cast("date"), serial),
         F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(c, 1, 10)).try_cast("date"),
     )
 
@@ -78,7 +80,8 @@ PUSH_SIGNS = "-0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"
 
 def push_time(c: Column) -> Column:
     """Time in milliseconds that the first eight signs of a push id encode; null where one is no such sign."""
-    value = F.aggregate(F.sequence(F.lit(1), F.lit(8)), F.lit(0).cast("long"), lambda s, i: s * 64 + F.instr(F.lit(PUSH_SIGNS), F.substr(c, i, F.lit(1))) - 1)
+    value = F.aggregate(F.sequence(F.lit(1), F.lit(8)), F.lit(0).cast("long"), lambda s,
+        i: s * 64 + F.instr(F.lit(PUSH_SIGNS), F.substr(c, i, F.lit(1))) - 1)
     return F.when(c.rlike(r"^[-0-9A-Z_a-z]{8}"), value)
 
 

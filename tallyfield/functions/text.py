@@ -93,7 +93,8 @@ def leave_label(code: Column, labels: dict[str, str]) -> Column:
     key = F.upper(F.regexp_replace(F.trim(code), " ", ""))
     one = lambda p: F.coalesce(F.try_element_at(known, p), p)
     parts = F.filter(F.split(key, "/"), lambda p: p != "")
-    label = F.when(F.contains(key, F.lit("/")), F.array_join(F.transform(parts, one), " + ")).otherwise(F.coalesce(F.try_element_at(known, key), F.trim(code)))
+    label = F.when(F.contains(key, F.lit("/")),
+        F.array_join(F.transform(parts, one), " + ")).otherwise(F.coalesce(F.try_element_at(known, key), F.trim(code)))
     return F.when(F.trim(code) != "", label)
 
 
@@ -120,7 +121,8 @@ def calendar_summary(summary: Column, codes: list[str], teams: list[str]) -> Col
     only = lambda c: F.when(leave, c)
     review = F.coalesce(told.isNull() & (s != "") & ~(full & known & F.upper(team).isin(teams)), F.lit(False))
     return F.struct(
-        kind.alias("kind"), only(code).alias("code"), only(team).alias("team"), only(F.trim(F.regexp_replace(raw, r"\(.*\)\s*$", ""))).alias("person"),
+        kind.alias("kind"), only(code).alias("code"), only(team).alias("team"),
+            only(F.trim(F.regexp_replace(raw, r"\(.*\)\s*$", ""))).alias("person"),
         only(F.nullif(F.regexp_extract(raw, r"\((.*)\)\s*$", 1), F.lit(""))).alias("note"), review.alias("needs_review"),
     )
 

@@ -74,3 +74,23 @@ def bundled(df: DataFrame, key: str, cents: str, is_a: Column, approved: Column)
         key, status.alias("pricing_status"), F.when(joined, F.col("a") + F.col("b")).otherwise(F.coalesce("a", F.lit(0))).alias("a_cents"),
         F.when(joined | F.col("b").isNull(), 0).otherwise(F.col("b")).alias("b_cents"),
     )
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict[str, tuple[float, Column | None]]) -> DataFrame:
+    """Exact interpolated quantiles per key: ``wanted`` gives for each name a share and a condition on its rows (None: all).
+
+    Distinct values are counted before the shuffle and summed in order by windows, which spill: no task holds a key's values in memory.
+    A key without a row that fulfils a condition has null there.
+    """
+    each = {name: F.lit(True) if condition is None else condition for name, (_, condition) in wanted.items()}
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*[F.count_if(c).alias(f"_n_{n}") for n, c in each.items()])
+    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys)
+    rows = counted.withColumns({f"_u_{n}": F.sum(f"_n_{n}").over(upto) for n in wanted} | {f"_t_{n}": F.sum(f"_n_{n}").over(whole) for n in wanted})
+    found = []
+    for name, (share, _) in wanted.items():
+        at = (F.col(f"_t_{name}") - 1) * share
+        here = lambda i, n=name: F.min(F.when((F.col(f"_t_{n}") > 0) & (F.col(f"_u_{n}") > i), F.col(value)))
+        found += [here(F.floor(at)).alias(f"_a_{name}"), here(F.ceil(at)).alias(f"_b_{name}"), F.max(at - F.floor(at)).alias(f"_w_{name}")]
+    between = lambda n: (F.col(f"_a_{n}") + (F.col(f"_b_{n}") - F.col(f"_a_{n}")) * F.col(f"_w_{n}")).alias(n)
+    return rows.groupBy(*keys).agg(*found).select(*keys, *[between(n) for n in wanted])

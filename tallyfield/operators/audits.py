@@ -37,7 +37,8 @@ def health(runs: DataFrame, key: str, today: Column, stale_days: int, slow_secon
 def counts_differ(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:
     """Row counts of tables before and after a step, and whether they are equal."""
     count = lambda df, to: df.agg(F.count("*").alias(to))
-    rows = [count(df, "raw_rows").withColumn("name", F.lit(n)).join(count(after[n], "loaded_rows").withColumn("name", F.lit(n)), "name") for n, df in before.items()]
+    rows = [count(df, "raw_rows").withColumn("name", F.lit(n)).join(count(after[n], "loaded_rows").withColumn("name", F.lit(n)), "name") for n,
+        df in before.items()]
     return reduce(DataFrame.unionByName, rows).withColumn("equal", F.col("raw_rows") == F.col("loaded_rows"))
 
 

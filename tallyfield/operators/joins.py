@@ -44,7 +44,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, since
     """
     packed = F.struct(F.col(since).alias("_since"), *columns)
     right = right.select(*keys, F.col(since).alias("_at"), packed.alias("_row"), F.lit(None).cast(left_schema(left)).alias("_left"))
-    rows = left.select(*keys, F.col(at).alias("_at"), F.lit(None).cast(right.schema["_row"].dataType).alias("_row"), F.struct(*left.columns).alias("_left"))
+    rows = left.select(*keys, F.col(at).alias("_at"), F.lit(None).cast(right.schema["_row"].dataType).alias("_row"),
+        F.struct(*left.columns).alias("_left"))
     # At equal times a right row comes before a left one, or after it for a strict comparison.
     side = F.when(F.col("_left").isNull(), 1 if strict else 0).otherwise(0 if strict else 1)
     order = Window.partitionBy(*keys).orderBy(F.col("_at").asc_nulls_first(), side, F.col("_row"))
@@ -129,7 +130,8 @@ def key_containment(df: DataFrame, row: str, path: str, keys: DataFrame, key: st
     """
     keys = keys.withColumn("_n", F.size(F.split(key, " ")))
     parts, at = F.split(path, " "), F.sequence(F.lit(1), F.size(F.split(path, " ")))
-    runs = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(words), F.size(parts) - i + 1)), lambda n: F.array_join(F.slice(parts, i, n), " "))))
+    runs = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(words), F.size(parts) - i + 1)),
+        lambda n: F.array_join(F.slice(parts, i, n), " "))))
     short = df.select(row, path, F.explode(F.array_distinct(runs)).alias(key)).join(keys.where(F.col("_n") <= words), key)
     padded = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
     long = df.select(row, path).join(bounded(keys.where(F.col("_n") > words), 10_000), F.contains(padded(F.col(path)), padded(F.col(key))))

@@ -90,7 +90,8 @@ def guard_wipe(before: int, after: int, least: int = 50, fraction: float = 0.5)
 
 def changes(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """History rows: key, column, old and new value as text, for every changed column of keys in both."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"o.{c}").cast("string").alias("old"), F.col(f"n.{c}").cast("string").alias("new")) for c in columns]
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"o.{c}").cast("string").alias("old"),
+        F.col(f"n.{c}").cast("string").alias("new")) for c in columns]
     both = old.alias("o").join(new.alias("n"), keys)
     changed = F.filter(F.array(*pairs), lambda x: ~x["old"].eqNullSafe(x["new"]))
     return both.select(*keys, F.explode(changed).alias("_c")).select(*keys, "_c.*")
@@ -133,7 +134,8 @@ def merge_capped(
     return merge_snapshot(left, batch, keys, delete=False), allowed
 
 
-def refresh_window(table: DataFrame, rebuilt: DataFrame, keys: list[str], window: Column, owner: str, rows: int = 10, percent: float = 5.0) -> DataFrame:
+def refresh_window(table: DataFrame, rebuilt: DataFrame, keys: list[str], window: Column, owner: str, rows: int = 10,
+    percent: float = 5.0) -> DataFrame:
     """Replace a window of a table by its rebuilt rows, change by change; refused where too much would be lost.
 
     Lost are rows (``guard_shrink``) and owners: rows whose ``owner`` was known and no longer is, by the same bounds.
@@ -160,7 +162,8 @@ def enrich_changed(df: DataFrame, lookup: DataFrame, keys: list[str], columns: l
     both = df.join(known, keys, "left")
     differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in columns])
     changed = F.coalesce(F.col("_known"), F.lit(False)) & differs
-    return both.withColumn("changed", changed).withColumns({c: F.when(F.col("changed"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}).select(*df.columns, "changed")
+    return both.withColumn("changed", changed).withColumns({c: F.when(F.col("changed"),
+        F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}).select(*df.columns, "changed")
 
 
 def seed_unknown(found: DataFrame, known: DataFrame, key: str, classify: Column) -> DataFrame:

@@ -69,7 +69,8 @@ def windowed_refresh(t):
 
 
 @query("""
-WITH new AS (SELECT c_custkey, c_mktsegment FROM customer WHERE CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey % 4 = 0 ELSE c_custkey % 40 <> 0 END),
+WITH new AS (SELECT c_custkey, c_mktsegment FROM customer WHERE CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey % 4 = 0
+  ELSE c_custkey % 40 <> 0 END),
 n AS (SELECT c_mktsegment, count(*) AS n FROM new GROUP BY 1), o AS (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1),
 good AS (SELECT o.c_mktsegment FROM o JOIN n USING (c_mktsegment) WHERE n.n * 100 >= o.n * 90)
 SELECT c_custkey, c_mktsegment, 'new' AS load FROM new WHERE c_mktsegment IN (FROM good)
@@ -105,7 +106,8 @@ def change_history(t):
 
 @query("""
 WITH e AS (SELECT c_custkey, lower(c_mktsegment) || c_custkey % 9 || '@a.io' AS email, false AS now FROM customer
-  UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment) || '@b.io' ELSE lower(c_mktsegment) || c_custkey % 9 || '@a.io' END, true FROM customer)
+  UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment) || '@b.io'
+  ELSE lower(c_mktsegment) || c_custkey % 9 || '@a.io' END, true FROM customer)
 SELECT email, c_custkey, bool_or(now) AS is_current FROM e GROUP BY 1, 2""")
 def identity_aliases(t):
     old = t.customer.select("c_custkey", F.concat(F.lower("c_mktsegment"), F.col("c_custkey") % 9, F.lit("@A.io")).alias("email"))
@@ -124,7 +126,8 @@ def stale_not_blank(t):
 
 
 @query("""
-WITH h AS (SELECT p_brand, md5(string_agg(md5(p_partkey::VARCHAR || '|' || p_type), ',' ORDER BY md5(p_partkey::VARCHAR || '|' || p_type))) AS h FROM part GROUP BY 1)
+WITH h AS (SELECT p_brand, md5(string_agg(md5(p_partkey::VARCHAR || '|' || p_type), ',' ORDER BY md5(p_partkey::VARCHAR || '|' || p_type))) AS h
+  FROM part GROUP BY 1)
 SELECT p_brand, CASE WHEN p_brand LIKE '%1' THEN 'new' ELSE 'changed' END AS state FROM h
 WHERE p_brand LIKE '%1' OR EXISTS (SELECT 1 FROM part p WHERE p.p_brand = h.p_brand AND p_partkey % 50 = 7)""")
 def changed_sources(t):
@@ -144,7 +147,8 @@ SELECT COALESCE(o.k, n.k) AS k, CASE WHEN o.k IS NULL THEN 'new' WHEN n.k IS NUL
   WHEN o.unit IS DISTINCT FROM n.unit THEN 'unit' WHEN o.title IS DISTINCT FROM n.title THEN 'title' END AS fields
 FROM o FULL JOIN n ON o.k = n.k""")
 def roster_diff(t):
-    rows = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("unit"), F.col("c_mktsegment").alias("title"))
+    rows = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("unit"),
+        F.col("c_mktsegment").alias("title"))
     new = rows.withColumns({
         "unit": F.when(F.col("k") % 5 == 0, 99).otherwise(F.col("unit")), "title": F.when(F.col("k") % 4 == 0, "MOVED").otherwise(F.col("title")),
     })
@@ -155,17 +159,22 @@ ENTRY = "user_id, CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_type END AS k
 
 
 @query(f"""
-WITH x AS (SELECT {ENTRY} FROM events), dup AS (SELECT * FROM x UNION ALL SELECT user_id, kind, moment, minutes + 1, event_id + 10000000 FROM x WHERE event_id % 10 = 0),
-first AS (SELECT * EXCLUDE r FROM (SELECT *, row_number() OVER (PARTITION BY user_id, kind, moment ORDER BY event_id DESC) AS r FROM dup) WHERE r = 1),
+WITH x AS (SELECT {ENTRY} FROM events), dup AS (SELECT * FROM x UNION ALL SELECT user_id, kind, moment, minutes + 1, event_id + 10000000 FROM x
+  WHERE event_id % 10 = 0),
+first AS (SELECT * EXCLUDE r FROM (SELECT *, row_number() OVER (PARTITION BY user_id, kind, moment ORDER BY event_id DESC) AS r FROM dup)
+  WHERE r = 1),
 rej AS (SELECT * FROM x WHERE event_id % 23 = 0), rem AS (SELECT * FROM x WHERE event_id % 17 = 0),
 cor AS (SELECT user_id, kind, moment, minutes + 5 AS minutes FROM x WHERE event_id % 34 = 0 AND event_id % 23 <> 0
   UNION ALL SELECT user_id + 100000, kind, moment, minutes FROM x WHERE event_id % 101 = 0),
-remaining AS (SELECT * FROM first f WHERE NOT EXISTS (SELECT 1 FROM rej r WHERE r.user_id = f.user_id AND r.kind IS NOT DISTINCT FROM f.kind AND r.moment = f.moment)
+remaining AS (SELECT * FROM first f WHERE NOT EXISTS (SELECT 1 FROM rej r WHERE r.user_id = f.user_id AND r.kind IS NOT DISTINCT FROM f.kind
+  AND r.moment = f.moment)
   AND NOT EXISTS (SELECT 1 FROM rem r WHERE r.user_id = f.user_id AND r.kind IS NOT DISTINCT FROM f.kind AND r.moment = f.moment
     AND NOT EXISTS (SELECT 1 FROM cor c WHERE c.user_id = r.user_id AND c.kind IS NOT DISTINCT FROM r.kind AND c.moment = r.moment))),
-applied AS (SELECT f.user_id, f.kind, f.moment, COALESCE(c.minutes, f.minutes) AS minutes, CASE WHEN c.minutes IS NOT NULL THEN 'corrected' ELSE 'raw' END AS provenance
+applied AS (SELECT f.user_id, f.kind, f.moment, COALESCE(c.minutes, f.minutes) AS minutes, CASE WHEN c.minutes IS NOT NULL THEN 'corrected'
+  ELSE 'raw' END AS provenance
   FROM remaining f LEFT JOIN cor c ON c.user_id = f.user_id AND c.kind IS NOT DISTINCT FROM f.kind AND c.moment = f.moment
-  UNION ALL SELECT user_id, kind, moment, minutes, 'orphan' FROM cor c WHERE NOT EXISTS (SELECT 1 FROM remaining f WHERE c.user_id = f.user_id AND c.kind IS NOT DISTINCT FROM f.kind AND c.moment = f.moment)
+  UNION ALL SELECT user_id, kind, moment, minutes, 'orphan' FROM cor c WHERE NOT EXISTS (SELECT 1 FROM remaining f WHERE c.user_id = f.user_id
+  AND c.kind IS NOT DISTINCT FROM f.kind AND c.moment = f.moment)
   UNION ALL SELECT user_id + 200000, kind, moment, minutes, 'added' FROM x WHERE event_id % 97 = 0)
 SELECT user_id, kind, moment, minutes, provenance FROM applied WHERE provenance <> 'raw' OR minutes <= 50""")
 def timer_rebuild(t):
@@ -185,16 +194,21 @@ def timer_rebuild(t):
 WITH raw AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day, floor(epoch(ts))::BIGINT AS s,
   CASE WHEN event_id % 6 = 0 THEN NULL ELSE floor(epoch(ts))::BIGINT + CAST(floor(value) AS BIGINT) * 60 END AS e FROM events),
 y AS (SELECT *, max(e) OVER (PARTITION BY user_id, day ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM raw WHERE e > s),
-z AS (SELECT *, sum(CASE WHEN s > m THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, day ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block FROM y),
+z AS (SELECT *, sum(CASE WHEN s > m THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, day ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING
+  AND CURRENT ROW) AS block FROM y),
 b AS (SELECT user_id, day, block, min(s) AS bs, max(e) AS be FROM z GROUP BY 1, 2, 3),
-u AS (SELECT user_id, day, CAST(sum(be - bs) AS BIGINT) AS union_seconds, string_agg(bs::VARCHAR, ',' ORDER BY bs) AS starts, string_agg(be::VARCHAR, ',' ORDER BY bs) AS ends FROM b GROUP BY 1, 2),
-d AS (SELECT user_id, day, count(*) AS entries, count(*) FILTER (WHERE e IS NULL) AS open_entries, min(s) AS first_start, max(e) AS last_end FROM raw GROUP BY 1, 2)
-SELECT CASE WHEN user_id % 4 = 0 THEN 'email:' || user_id || '@x.io' ELSE 'E' || user_id END AS person_key, day, COALESCE(union_seconds, 0) AS union_seconds,
+u AS (SELECT user_id, day, CAST(sum(be - bs) AS BIGINT) AS union_seconds, string_agg(bs::VARCHAR, ',' ORDER BY bs) AS starts, string_agg(be::VARCHAR,
+  ',' ORDER BY bs) AS ends FROM b GROUP BY 1, 2),
+d AS (SELECT user_id, day, count(*) AS entries, count(*) FILTER (WHERE e IS NULL) AS open_entries, min(s) AS first_start, max(e) AS last_end FROM raw
+  GROUP BY 1, 2)
+SELECT CASE WHEN user_id % 4 = 0 THEN 'email:' || user_id || '@x.io' ELSE 'E' || user_id END AS person_key, day, COALESCE(union_seconds,
+  0) AS union_seconds,
   entries, open_entries, first_start, last_end, starts, ends FROM d LEFT JOIN u USING (user_id, day)""")
 def timer_day_rollup(t):
     spans = _spans(t).withColumn("e", F.when(F.col("event_id") % 6 != 0, F.col("e")))
     days = spans.groupBy("user_id", "day").agg(
-        F.count("*").alias("entries"), F.count_if(F.col("e").isNull()).alias("open_entries"), F.min("s").alias("first_start"), F.max("e").alias("last_end")
+        F.count("*").alias("entries"), F.count_if(F.col("e").isNull()).alias("open_entries"), F.min("s").alias("first_start"),
+            F.max("e").alias("last_end")
     )
     merged = intervals.union_intervals(spans, ["user_id", "day"], "s", "e")
     rollup = intervals.day_blocks(merged, ["user_id", "day"])
@@ -209,7 +223,8 @@ def timer_day_rollup(t):
 
 @query("""
 WITH g(region, removed) AS (VALUES (0, '[0, 5, 14]'), (1, '[1]'), (2, '[]'), (3, NULL))
-SELECT n_nationkey FROM nation WHERE n_nationkey NOT IN (SELECT CAST(unnest(from_json(removed, '["INTEGER"]')) AS INTEGER) FROM g WHERE removed IS NOT NULL)""")
+SELECT n_nationkey FROM nation WHERE n_nationkey NOT IN (SELECT CAST(unnest(from_json(removed, '["INTEGER"]')) AS INTEGER) FROM g
+  WHERE removed IS NOT NULL)""")
 def json_anti(t):
     lists = t.spark.createDataFrame([(0, "[0, 5, 14]"), (1, "[1]"), (2, "[]"), (3, None)], "region int, removed string")
     return joins.json_anti(t.nation, "n_nationkey", lists, "removed").select("n_nationkey")
@@ -230,20 +245,23 @@ def aligned_arrays(t):
 WITH v AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS since, o_orderkey, o_orderstatus,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INT) END AS until FROM orders),
 r AS (SELECT *, since <= DATE '1998-06-01' AND (until IS NULL OR until >= DATE '1998-06-01') AS covers FROM v)
-SELECT o_custkey, o_orderkey, covers AND row_number() OVER (PARTITION BY o_custkey, covers ORDER BY since DESC NULLS LAST, until DESC NULLS FIRST, o_orderstatus, o_orderkey DESC) = 1 AS is_current FROM r""")
+SELECT o_custkey, o_orderkey, covers AND row_number() OVER (PARTITION BY o_custkey, covers ORDER BY since DESC NULLS LAST, until DESC NULLS FIRST,
+  o_orderstatus, o_orderkey DESC) = 1 AS is_current FROM r""")
 def schedule_current(t):
     since = F.to_date("o_orderdate")
     rows = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", since.alias("since"),
                            F.when(F.col("o_orderkey") % 5 != 0, F.date_add(since, (F.col("o_orderkey") % 400).cast("int"))).alias("until"))
     order = [F.desc_nulls_last("since"), F.desc_nulls_first("until"), F.asc("o_orderstatus"), F.desc("o_orderkey")]
-    return intervals.current_row(rows, ["o_custkey"], "since", "until", F.lit("1998-06-01").cast("date"), order).select("o_custkey", "o_orderkey", "is_current")
+    return intervals.current_row(rows, ["o_custkey"], "since", "until", F.lit("1998-06-01").cast("date"), order).select("o_custkey", "o_orderkey",
+        "is_current")
 
 
 @query("""
 WITH x AS (SELECT user_id, event_type, ts, event_id, lead(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS nxt FROM events)
 SELECT event_id, nxt AS closed_at, nxt IS NULL AS is_open FROM x""")
 def open_interval_closed_later(t):
-    return intervals.close_by_next(t.events, ["user_id", "event_type"], ["ts", "event_id"], "ts").select("event_id", F.col("closes").alias("closed_at"), "is_open")
+    return intervals.close_by_next(t.events, ["user_id", "event_type"], ["ts", "event_id"], "ts").select("event_id",
+        F.col("closes").alias("closed_at"), "is_open")
 
 
 @query("""
@@ -256,7 +274,8 @@ def rows_left_over(t):
 
 @query("""
 SELECT s_suppkey, s_name FROM supplier s WHERE (SELECT count(DISTINCT l_partkey) FROM lineitem WHERE l_suppkey = s_suppkey) >
-  (SELECT avg(n) FROM (SELECT s2.s_nationkey AS nk, l_suppkey, count(DISTINCT l_partkey) AS n FROM lineitem JOIN supplier s2 ON l_suppkey = s2.s_suppkey GROUP BY 1, 2) WHERE nk = s.s_nationkey)""")
+  (SELECT avg(n) FROM (SELECT s2.s_nationkey AS nk, l_suppkey, count(DISTINCT l_partkey) AS n FROM lineitem
+  JOIN supplier s2 ON l_suppkey = s2.s_suppkey GROUP BY 1, 2) WHERE nk = s.s_nationkey)""")
 def above_group_average(t):
     counted = t.lineitem.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.countDistinct("l_partkey").alias("n")).join(t.supplier, "s_suppkey")
     usual = counted.groupBy("s_nationkey").agg(F.avg("n").alias("usual"))
@@ -264,20 +283,26 @@ def above_group_average(t):
 
 
 @query("""
-SELECT p.p_partkey, p.p_type, c.p_partkey IS NOT NULL AS has_standard, CASE WHEN p.p_type LIKE '%BRASS' THEN 1 WHEN p.p_type LIKE '%STEEL' THEN 2 ELSE 9 END AS class
+SELECT p.p_partkey, p.p_type, c.p_partkey IS NOT NULL AS has_standard, CASE WHEN p.p_type LIKE '%BRASS' THEN 1 WHEN p.p_type LIKE '%STEEL' THEN 2
+  ELSE 9 END AS class
 FROM part p LEFT JOIN (SELECT p_brand, p_type, min(p_partkey) AS p_partkey FROM part GROUP BY 1, 2) c
   ON c.p_brand = p.p_brand AND c.p_type = replace(p.p_type, 'PROMO', 'STANDARD') WHERE p.p_type LIKE 'PROMO%'""")
 def paired_status_audit(t):
     done = t.part.groupBy("p_brand", F.col("p_type").alias("pair")).agg(F.count("*").alias("n"))
-    rows = t.part.where("p_type LIKE 'PROMO%'").withColumn("pair", F.expr("replace(p_type, 'PROMO', 'STANDARD')")).join(done, ["p_brand", "pair"], "left")
+    rows = t.part.where("p_type LIKE 'PROMO%'").withColumn("pair", F.expr("replace(p_type, 'PROMO', 'STANDARD')")).join(done, ["p_brand", "pair"],
+        "left")
     rules = t.spark.createDataFrame([(2, "%STEEL", 2), (1, "%BRASS", 1)], "match_order int, pattern string, class int")
-    return joins.rule_join(rows, "p_type", rules, "match_order", "pattern", "class", 9).select("p_partkey", "p_type", F.col("n").isNotNull().alias("has_standard"), "class")
+    return joins.rule_join(rows, "p_type", rules, "match_order", "pattern", "class", 9).select("p_partkey", "p_type",
+        F.col("n").isNotNull().alias("has_standard"), "class")
 
 
 @query("""
-WITH k(key, kind, weight) AS (VALUES ('EN', 'a', 1), ('EXAMPLE ORG EN', 'b', 2), ('EXAMPLE COM', 'c', 2), ('DE', 'd', 3), ('BLOG', 'e', 3), ('COM', 'f', 9)),
-p AS (SELECT page_id, ' ' || upper(trim(regexp_replace(split_part(split_part(url, '://', 2), '?', 1), '[^A-Za-z0-9]+', ' ', 'g'))) || ' ' AS path FROM pages),
-m AS (SELECT page_id, key, row_number() OVER (PARTITION BY page_id ORDER BY trim(path) = key DESC, weight, length(key) DESC, key) AS r FROM p JOIN k ON contains(path, ' ' || key || ' '))
+WITH k(key, kind, weight) AS (VALUES ('EN', 'a', 1), ('EXAMPLE ORG EN', 'b', 2), ('EXAMPLE COM', 'c', 2), ('DE', 'd', 3), ('BLOG', 'e', 3), ('COM',
+  'f', 9)),
+p AS (SELECT page_id, ' ' || upper(trim(regexp_replace(split_part(split_part(url, '://', 2), '?', 1), '[^A-Za-z0-9]+', ' ', 'g'))) || ' ' AS path
+  FROM pages),
+m AS (SELECT page_id, key, row_number() OVER (PARTITION BY page_id ORDER BY trim(path) = key DESC, weight, length(key) DESC, key) AS r FROM p
+  JOIN k ON contains(path, ' ' || key || ' '))
 SELECT p.page_id, m.key FROM p LEFT JOIN m ON p.page_id = m.page_id AND r = 1""")
 def key_table_containment(t):
     made = [("EN", "a", 1), ("EXAMPLE ORG EN", "b", 2), ("EXAMPLE COM", "c", 2), ("DE", "d", 3), ("BLOG", "e", 3), ("COM", "f", 9)]

@@ -8,7 +8,8 @@ from ..streaming import loads
 from .reports import query
 
 
-@query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""")
+@query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC,
+  event_id DESC) AS r FROM events) WHERE r = 1""")
 def stream_upsert(t):
     stream = loads.file_stream(t.spark, t.folder, "events.parquet").select("user_id", "event_type", "ts", "event_id", "value")
     kept = loads.upsert(stream, ["user_id", "event_type"], ["ts", "event_id"], ["ts", "event_id", "value"], loads.shared_folder(t.spark))
@@ -29,12 +30,14 @@ def _complete(t, counted, columns: list):
     def write(batch, number):
         batch.select(*columns).write.mode("overwrite").parquet(f"{folder}/out")
 
-    counted.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    counted.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation",
+        f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     return t.spark.read.parquet(f"{folder}/out")
 
 
 @query("""
-WITH x AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 3 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+WITH x AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 3 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session FROM x)
 SELECT user_id, min(ts) AS began, count(*) AS n FROM s GROUP BY user_id, session""")
 def stream_sessions(t):
@@ -51,10 +54,13 @@ def stream_first_seen(t):
 
 
 @query("""
-WITH x AS (SELECT user_id, event_id, value > 50 AS bad, count(*) FILTER (WHERE value <= 50) OVER (PARTITION BY user_id ORDER BY event_id) AS run, lag(value > 50) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events),
+WITH x AS (SELECT user_id, event_id, value > 50 AS bad, count(*) FILTER (WHERE value <= 50) OVER (PARTITION BY user_id ORDER BY event_id) AS run,
+  lag(value > 50) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events),
 y AS (SELECT *, count(*) FILTER (WHERE bad) OVER (PARTITION BY user_id, run ORDER BY event_id) AS nth FROM x)
-SELECT user_id, CASE WHEN NOT bad AND before THEN 'recover' WHEN NOT bad THEN 'none' WHEN nth = 1 THEN 'alert' WHEN (nth - 1) % 2 = 0 THEN 'remind' ELSE 'none' END AS state, count(*) AS n FROM y GROUP BY 1, 2""")
+SELECT user_id, CASE WHEN NOT bad AND before THEN 'recover' WHEN NOT bad THEN 'none' WHEN nth = 1 THEN 'alert' WHEN (nth - 1) % 2 = 0 THEN 'remind'
+  ELSE 'none' END AS state, count(*) AS n FROM y GROUP BY 1, 2""")
 def stream_alerts(t):
-    stream = loads.file_stream(t.spark, t.folder, "events.parquet").select("user_id", F.col("event_id").alias("seq"), (F.col("value") > 50).alias("bad"))
+    stream = loads.file_stream(t.spark, t.folder, "events.parquet").select("user_id", F.col("event_id").alias("seq"),
+        (F.col("value") > 50).alias("bad"))
     out = loads.write_available(loads.alerts(stream, "user_id", "bad", 2), loads.shared_folder(t.spark))
     return t.spark.read.parquet(out).groupBy("user_id", "state").agg(F.count("*").alias("n"))

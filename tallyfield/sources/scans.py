@@ -15,7 +15,8 @@ from ..functions.text import money
 def json_records(spark: SparkSession, path: str, schema: str, run_id: str, loaded_at: Column | None = None) -> DataFrame:
     """Raw JSON lines as typed columns, with the record itself and its provenance."""
     raw = spark.read.text(path).withColumnRenamed("value", "data")
-    return raw.select(F.from_json("data", schema).alias("r"), "data").select("r.*", "data", F.lit(run_id).alias("run_id"), (loaded_at if loaded_at is not None else F.current_timestamp()).alias("loaded_at"))
+    return raw.select(F.from_json("data", schema).alias("r"), "data").select("r.*", "data", F.lit(run_id).alias("run_id"),
+        (loaded_at if loaded_at is not None else F.current_timestamp()).alias("loaded_at"))
 
 
 def csv_pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -66,7 +67,8 @@ def abnormal_counts(before: DataFrame, after: DataFrame, key: str, drop_percent:
     return both.where(F.col("after") * 100 < F.col("before") * (100 - drop_percent))
 
 
-def aging_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells: str = "cells", aliases: dict[str, list[str]] | None = None) -> DataFrame:
+def aging_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells: str = "cells",
+    aliases: dict[str, list[str]] | None = None) -> DataFrame:
     """Receivables by age from the grid of a sheet (one row of text cells each): typed rows with their bucket.
 
     The header is the first row that holds a date, a customer and an amount column, under any of their names;
@@ -79,7 +81,8 @@ def aging_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells:
         "due_date": ["due date"], "amount": ["amount"], "open_balance": ["open balance", "balance"], "po_number": ["po number", "p.o. number"],
     }
     lowered = F.transform(cells, lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))))
-    place = {k: F.array_max(F.transform(F.array(*[F.lit(a) for a in v]), lambda a: F.array_position(F.col("_low"), a))).cast("int") for k, v in names.items()}
+    place = {k: F.array_max(F.transform(F.array(*[F.lit(a) for a in v]), lambda a: F.array_position(F.col("_low"), a))).cast("int") for k,
+        v in names.items()}
     marked = grid.withColumn("_low", lowered).withColumn("_at", F.struct(*[p.alias(k) for k, p in place.items()]))
     is_header = (F.col("_at.date") > 0) & (F.col("_at.customer") > 0) & (F.col("_at.amount") > 0)
     order = Window.partitionBy(sheet).orderBy(row).rowsBetween(Window.unboundedPreceding, 0)
@@ -90,13 +93,15 @@ def aging_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells:
     marked = marked.withColumn("aging_bucket", F.last(section, ignorenulls=True).over(order))
     cell = lambda k: F.when(F.col(f"_head.{k}") > 0, F.nullif(F.trim(F.try_element_at(F.col(cells), F.col(f"_head.{k}"))), F.lit("")))
     rows = marked.where(F.col("_head").isNotNull() & ~F.col("_is_head") & (first == "") & cell("date").isNotNull())
-    typed = {"date": parse_day(cell("date")), "due_date": parse_day(cell("due_date")), "amount": money(cell("amount")), "open_balance": money(cell("open_balance"))}
+    typed = {"date": parse_day(cell("date")), "due_date": parse_day(cell("due_date")), "amount": money(cell("amount")),
+        "open_balance": money(cell("open_balance"))}
     return rows.select(sheet, "aging_bucket", *[typed.get(k, cell(k)).alias(k) for k in names])
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], kind: str = "parquet") -> None:
     """One folder a partition value; only partitions that ``df`` brings are replaced."""
-    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy(*by).format(kind).save(path)
+    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header",
+        True).partitionBy(*by).format(kind).save(path)
 
 
 def count_snapshot(tables: dict[str, DataFrame]) -> DataFrame:
@@ -125,7 +130,8 @@ def header_day(c: Column) -> Column:
     """Day that a sheet's heading names: a single day, the last of a range (in one month or over two), or a month's last."""
     c = F.trim(c)
     named = lambda text: F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in MONTH_FORMATS])
-    part = lambda pattern, *at: F.when(c.rlike(pattern), F.concat(*[F.regexp_extract(c, pattern, i) if isinstance(i, int) else F.lit(i) for i in at]))
+    part = lambda pattern, *at: F.when(c.rlike(pattern),
+        F.concat(*[F.regexp_extract(c, pattern, i) if isinstance(i, int) else F.lit(i) for i in at]))
     crossing = part(r"^[A-Za-z]+\s+\d+\s*[-–]\s*([A-Za-z]+)\s+(\d+),?\s+(\d{4})", 1, " ", 2, ", ", 3)
     inside = part(r"^([A-Za-z]+)\s+\d+\s*-\s*(\d+),?\s+(\d{4})", 1, " ", 2, ", ", 3)
     month = F.last_day(named(part(r"^([A-Za-z]+)\s+(\d{4})$", 1, " 1, ", 2)))
@@ -160,8 +166,10 @@ def sheet_day(c: Column, year: Column) -> Column:
     slashed = r"^\s*(\d{1,2})/(\d{1,2})(?:/(\d{2}|\d{4}))?\s*$"
     number = lambda p, i: F.regexp_extract(c, p, i).try_cast("int")
     of = lambda p: F.coalesce(F.when(number(p, 3) < 100, number(p, 3) + 2000).otherwise(number(p, 3)), year)
-    month = F.array_position(F.array(*[F.lit(m) for m in "jan feb mar apr may jun jul aug sep oct nov dec".split()]), F.lower(F.regexp_extract(c, named, 1)))
-    made = lambda y, m, d: F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0")).try_cast("date")
+    month = F.array_position(F.array(*[F.lit(m) for m in "jan feb mar apr may jun jul aug sep oct nov dec".split()]),
+        F.lower(F.regexp_extract(c, named, 1)))
+    made = lambda y, m, d: F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"),
+        F.lpad(d.cast("string"), 2, "0")).try_cast("date")
     first = F.when(c.rlike(named) & (month > 0) & of(named).isNotNull(), made(of(named), month, number(named, 2)))
     return F.coalesce(first, F.when(c.rlike(slashed) & of(slashed).isNotNull(), made(of(slashed), number(slashed, 1), number(slashed, 2))))
 
@@ -178,14 +186,18 @@ def schedule_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cell
     first = F.trim(F.coalesce(F.try_element_at(F.col(cells), F.lit(1)), F.lit("")))
     trimmed = F.transform(cells, lambda c: F.trim(F.coalesce(c, F.lit(""))))
     head = (F.col(row) < scan) & (first == "ID Number") & F.array_contains(trimmed, "Names")
-    whole, place = Window.partitionBy(sheet), F.struct(F.col(row).alias("at"), *[F.array_position(trimmed, v).cast("int").alias(k) for k, v in names.items()])
-    marked = grid.withColumns({"_c": trimmed, "_head": F.min(F.when(head, place)).over(whole), "_other": F.min(F.when((F.col(row) < scan) & (first == "Cluster"), F.col(row))).over(whole)})
+    whole, place = Window.partitionBy(sheet), F.struct(F.col(row).alias("at"),
+        *[F.array_position(trimmed, v).cast("int").alias(k) for k, v in names.items()])
+    marked = grid.withColumns({"_c": trimmed, "_head": F.min(F.when(head, place)).over(whole),
+        "_other": F.min(F.when((F.col(row) < scan) & (first == "Cluster"), F.col(row))).over(whole)})
     below = marked.where((F.col(row) > F.col("_head.at")) & (F.col("_other").isNull() | (F.col("_other") > F.col("_head.at"))))
     cell = lambda k: F.coalesce(F.when(F.col(f"_head.{k}") > 0, F.try_element_at(F.col("_c"), F.col(f"_head.{k}"))), F.lit(""))
     is_data = cell("id_number").rlike(r"^\d+$") | ((cell("id_number") == "") & (cell("name") != "") & cell("shift").isin("DS", "NS"))
     start = sheet_day(cell("start"), F.when(cell("year").rlike(r"^\d+$"), cell("year")).try_cast("int"))
-    rows = below.where(is_data).withColumn("start_date", start).where("start_date IS NOT NULL").withColumn("_end", sheet_day(cell("end"), F.year("start_date")))
-    crossed = F.when(F.col("_end") < F.col("start_date"), F.make_date(F.year("start_date") + 1, F.month("_end"), F.dayofmonth("_end"))).otherwise(F.col("_end"))
+    rows = below.where(is_data).withColumn("start_date", start).where("start_date IS NOT NULL").withColumn("_end",
+        sheet_day(cell("end"), F.year("start_date")))
+    crossed = F.when(F.col("_end") < F.col("start_date"),
+        F.make_date(F.year("start_date") + 1, F.month("_end"), F.dayofmonth("_end"))).otherwise(F.col("_end"))
     rows = rows.withColumn("end_date", crossed)
     kind = F.when(F.col("end_date").isNull(), "ongoing").when(F.col("end_date") == F.col("start_date"), "one_day").otherwise("temporary")
     blank = lambda c: F.nullif(F.nullif(c, F.lit("")), F.lit("-"))
@@ -227,7 +239,8 @@ def pull_ranges(spark: SparkSession, now: str, zone: str, through_today: bool) -
 
 def exploded_records(df: DataFrame, json_column: str, schema: str, keys: list[str]) -> DataFrame:
     """Records of a JSON array as rows with their place (from 1); an array that was encoded twice is decoded twice."""
-    twice = F.when(F.trim(F.col(json_column)).startswith('"'), F.get_json_object(F.concat(F.lit('{"a":'), F.col(json_column), F.lit("}")), "$.a")).otherwise(F.col(json_column))
+    twice = F.when(F.trim(F.col(json_column)).startswith('"'),
+        F.get_json_object(F.concat(F.lit('{"a":'), F.col(json_column), F.lit("}")), "$.a")).otherwise(F.col(json_column))
     found = df.withColumn("_r", F.from_json(twice, f"array<struct<{schema}>>"))
     return found.select(*keys, F.posexplode("_r").alias("_p", "_v")).select(*keys, (F.col("_p") + 1).alias("ordinality"), "_v.*")
 
@@ -235,4 +248,5 @@ def exploded_records(df: DataFrame, json_column: str, schema: str, keys: list[st
 def run_log(runs: DataFrame, at: str = "started") -> DataFrame:
     """Latest run of each pipeline with its counts, and whether what depends on it may go on."""
     top = F.max_by(F.struct("status", "rows", at), F.col(at)).alias("t")
-    return runs.groupBy("pipeline").agg(top, F.count("*").alias("runs")).select("pipeline", "t.*", "runs", (F.col("t.status") == "success").alias("may_go_on"))
+    return runs.groupBy("pipeline").agg(top, F.count("*").alias("runs")).select("pipeline", "t.*", "runs",
+        (F.col("t.status") == "success").alias("may_go_on"))

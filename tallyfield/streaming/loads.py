@@ -57,7 +57,8 @@ def upsert(
             new = latest_by(held.drop("version").unionByName(new), [*keys, "bucket"], by, columns)
         new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/table/version={number}")
 
-    job = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/state").trigger(**(trigger or {"availableNow": True})).start()
+    job = stream.writeStream.foreachBatch(merge).option("checkpointLocation",
+        f"{folder}/state").trigger(**(trigger or {"availableNow": True})).start()
     job.awaitTermination()
     return upserted(stream.sparkSession, folder).drop("bucket", "version")
 
@@ -102,5 +103,6 @@ def alerts(stream: DataFrame, key: str, failed: str, remind_every: int) -> DataF
 def write_available(stream: DataFrame, folder: str, mode: str = "append") -> str:
     """Run a stream over what is there now into a Parquet folder."""
     out = f"{folder}/out"
-    stream.writeStream.outputMode(mode).format("parquet").option("path", out).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.outputMode(mode).format("parquet").option("path", out).option("checkpointLocation",
+        f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     return out

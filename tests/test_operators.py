@@ -186,3 +186,82 @@ def test_stream_alerts(spark, tmp_path):
     stream = spark.readStream.schema("job string, seq int, bad boolean").parquet(source)
     out = loads.write_available(loads.alerts(stream, "job", "bad", 2), str(tmp_path / "s"))
     assert sorted(r.state for r in spark.read.parquet(out).collect()) == ["alert", "none", "recover", "remind"]
+
+
+def test_merge_batch_keeps_first_times_and_takes_the_last_of_a_batch(spark):
+    target = spark.createDataFrame([(1, "a", "r0", 1), (2, None, "r0", 1)], "k int, v string, run string, made int")
+    batch = spark.createDataFrame([(1, "x", "r1", 2, 1), (1, "a", "r1", 2, 2), (2, "b", "r1", 2, 1), (3, None, "r1", 2, 1)], "k int, v string, run string, made int, seq int")
+    merged = merge.merge_batch(target, batch, ["k"], "seq", ignore=("run",), insert_only=("made",))
+    assert rows(merged) == [(1, "a", "r0", 1), (2, "b", "r1", 1), (3, None, "r1", 2)]
+
+
+def test_capped_delete_and_window_refresh(spark):
+    target = spark.range(100).select(F.col("id").alias("k"), (F.col("id") < 50).alias("w"))
+    inside = F.col("w")
+    few, went = merge.merge_capped(target, target.where("w AND k >= 10"), ["k"], inside)
+    assert went and few.count() == 90
+    many, went = merge.merge_capped(target, target.where("w AND k >= 11"), ["k"], inside)
+    assert not went and many.count() == 100
+    owned = target.withColumn("owner", F.lit("x"))
+    assert merge.refresh_window(owned, owned.where("w AND k > 1"), ["k"], inside, "owner").count() == 98
+    with pytest.raises(merge.GuardError):
+        merge.refresh_window(owned, owned.where("w").withColumn("owner", F.when(F.col("k") > 20, "x")), ["k"], inside, "owner")
+    with pytest.raises(merge.GuardError):
+        merge.refresh_window(owned, owned.where("w AND k > 20"), ["k"], inside, "owner")
+
+
+def test_not_blank_and_part_loads(spark):
+    old, none = spark.range(3), spark.range(0)
+    assert merge.not_blank(old, none).count() == 3 and merge.not_blank(none, old).count() == 3
+    table = spark.createDataFrame([("a", i) for i in range(10)] + [("b", i) for i in range(10)], "p string, v int")
+    batch = spark.createDataFrame([("a", 0), *[("b", -i) for i in range(9)], ("c", 1)], "p string, v int")
+    assert {(r.p, r["count"]) for r in merge.replace_if_enough(table, batch, "p").groupBy("p").count().collect()} == {("a", 10), ("b", 9), ("c", 1)}
+
+
+def test_bands_by_cells_equal_bands_by_broadcast(spark):
+    df = spark.range(0, 5000, 7).select((F.col("id") / 10 - 20).alias("v"))
+    bands = spark.createDataFrame([(i, i * 1.5 - 30, i * 1.5 - 26) for i in range(60)] + [(99, -5.0, 1e9), (98, None, 3.0)], "b int, lo double, hi double")
+    assert rows(joins.band_join(df, "v", bands, "lo", "hi")) == rows(joins.band_join(df, "v", bands, "lo", "hi", most=5))
+
+
+def test_key_containment_prefers_equal_paths_then_order_then_length(spark):
+    df = spark.createDataFrame([(1, "A B"), (2, "X A B Y"), (3, "AB"), (4, None)], "i int, path string")
+    keys = spark.createDataFrame([("A", 1), ("A B", 2), ("B", 1), ("X A B Y Z Q R S T", 0)], "key string, w int")
+    assert rows(joins.key_containment(df, "i", "path", keys, "key", ["w"]).select("i", "key")) == [(1, "A B"), (2, "A"), (3, None), (4, None)]
+
+
+def test_sheets_without_header_are_refused(spark):
+    grid = spark.createDataFrame([("s", 0, ["", "Customer", "Date", "Amount"]), ("t", 0, ["x", None])], "sheet string, row int, cells array<string>")
+    assert scans.require_header(grid.where("sheet = 's'"), ["customer", "date"]).count() == 1
+    with pytest.raises(scans.SheetError):
+        scans.require_header(grid, ["customer", "date"])
+    with pytest.raises(ValueError):
+        scans.pull_window("2024-03-01", 7, since="2024-05-01")
+
+
+def test_content_hash_in_parts(spark):
+    df = spark.range(2000).select((F.col("id") % 2).alias("g"), F.col("id").alias("v"))
+    one = {r.g: (r.n, r.content_hash) for r in aggregates.content_hash(df, ["g"], ["v"]).collect()}
+    two = {r.g: (r.n, r.content_hash) for r in aggregates.content_hash(df.repartition(7).orderBy(F.desc("v")), ["g"], ["v"]).collect()}
+    assert one == two and one[0][0] == 1000 and one[0] != one[1]
+
+
+def test_csv_pages_and_watermark(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n2,y\n")
+    (tmp_path / "b.csv").write_text("id,name\n3,z\n")
+    assert rows(scans.csv_pages(spark, str(tmp_path), "id int, name string")) == [(1, "x"), (2, "y"), (3, "z")]
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 2),), (None,)], "u timestamp")
+    assert scans.watermark(df, "u") == dt.datetime(2024, 1, 1, 0, 1) and scans.watermark(df.limit(0), "u") is None
+    assert rows(scans.not_yet_received(spark.range(4), spark.range(2), "id")) == [(2,), (3,)]
+
+
+def test_upserts_rewrite_only_touched_buckets(spark, tmp_path):
+    source, folder = tmp_path / "in", str(tmp_path / "s")
+    spark.createDataFrame([(i, 1, "a") for i in range(50)], "k int, at int, v string").coalesce(1).write.parquet(str(source))
+    read = lambda: spark.readStream.schema("k int, at int, v string").parquet(str(source))
+    loads.upsert(read(), ["k"], ["at"], ["at", "v"], folder, buckets=16)
+    spark.createDataFrame([(3, 2, "b"), (3, 0, "old"), (77, 1, "new")], "k int, at int, v string").coalesce(1).write.mode("append").parquet(str(source))
+    table = loads.upsert(read(), ["k"], ["at"], ["at", "v"], folder, buckets=16)
+    got = {r.k: r.v for r in table.collect()}
+    assert len(got) == 51 and got[3] == "b" and got[77] == "new" and got[4] == "a"
+    assert len(list((tmp_path / "s" / "table" / "version=1").glob("bucket=*"))) <= 2
