@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from itertools import chain
@@ -90,6 +91,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
+        made = json.loads(self.tokenizer.to_str())
+        split = made["pre_tokenizer"] or {}
+        if made["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+            raise ValueError("parts are split as by byte-level BPE without a normalizer; this file asks for something else")
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids beyond 16 bits are not supported")
         tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
         if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in tokens):
             raise ValueError("added tokens that depend on their surroundings are not supported")
@@ -228,10 +235,11 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, least: int = 24):
     alive = np.ones(n, bool)
     kind = np.full(n + 1, -1, np.int32)  # the pair that begins at a place, of those that occur often enough
     pool, codes, tally, first, size = np.zeros(0, np.int32), *(np.zeros(0, np.int64) for _ in range(4))
-    new = np.flatnonzero(after[:n] != n).astype(np.int32)
+    inner = after[:n] != n
+    arose = symbols[:n][inner], symbols[1:][inner], np.flatnonzero(inner).astype(np.int32)
     while True:
         # Name the pairs that arose often enough; their places lie together in the pool.
-        at, begin, pair = _grouped(symbols[new], symbols[after[new]], new)
+        at, begin, pair = _grouped(*arose)
         count = np.diff(np.append(begin, len(at)))
         enough = np.flatnonzero(count >= least)
         at = _slices_of(at, begin[enough], count[enough])
@@ -289,6 +297,7 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, least: int = 24):
         tally -= np.bincount(lost[lost >= 0], minlength=len(tally))
         ahead = ahead[ahead != n]
         new = np.concatenate([where[onward != n], ahead[symbols[ahead] < first_made]])
+        arose = symbols[new], symbols[after[new]], new
     begins = np.concatenate([[0], np.cumsum(alive)])[docs]
     return np.array(rules, np.int64).reshape(-1, 2), symbols[:n][alive], begins
 
@@ -374,6 +383,8 @@ def write_token_file(
         if _state.get("encodes") != (tokenizer, added):
             _state["encoder"], _state["encodes"] = Encoder(tokenizer, added=added), (tokenizer, added)
         encoder, part, shard = _state["encoder"], TaskContext.get().partitionId(), 0
+        if encoder.tokenizer.get_vocab_size() > base:
+            raise ValueError(f"rules begin at {base}, among the tokenizer's ids")
         for batch in batches:
             data, offsets = string_buffers(batch.column(1))
             named = np.asarray(batch.column(0).is_valid())

@@ -18,7 +18,7 @@ from tallyfield.llm.language_model import _BINS, _STEP, expectation_maximisation
 from tallyfield.llm.mixing import mix_sources
 from tallyfield.llm.ngram_join import drop_near_copies, ngram_jaccard_join
 from tallyfield.llm.segmentation import Vocabulary, sample_batch
-from tallyfield.llm.token_file import read_ids, token_path, write_token_file
+from tallyfield.llm.token_file import Encoder, read_ids, token_path, write_token_file
 from tallyfield.llm.vectors import near_duplicate_vectors, nearest_vectors
 
 SMALL, TENTH = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
@@ -278,6 +278,22 @@ def test_single_documents_are_read_from_a_token_file(spark):
     assert sum(len(r.rules) for r in shards.collect()) > 0
 
 
+def test_parts_are_split_as_the_library_splits_them():
+    """Random texts of many scripts, spaces, marks and apostrophes against the tokenizer as loaded."""
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder, rng = Tokenizer.from_file(BPE), Encoder(BPE, added=True), np.random.default_rng(12)
+    signs = list("abcXYZ 019 \t\n\r\x0b\x85\u00a0\u2003\u3000'’.,;-_()é\u0301ßЖя中文ひらعרא०१²½ⅷ\U0001f600\U0001d7d8\u200d\u200b") + ["'s", "'re", "'ll", "'S", " '", "  "]
+    texts = ["".join(rng.choice(signs, int(rng.integers(0, 60)))) for _ in range(600)]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    for _ in range(2):  # the second time from memory
+        ids, sizes = encoder.encode(data, offsets)
+        ends = np.cumsum(sizes)
+        for text, end, size in zip(texts, ends, sizes, strict=True):
+            assert ids[end - size : end].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0], repr(text)
+
+
 # ------------------------------------------------------------------ language model
 
 
