@@ -62,10 +62,11 @@ def small(df: DataFrame, most: int) -> DataFrame:
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes so that every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -138,7 +139,10 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Running polynomial sums of a sequence, from which any span's hash follows."""
     up, _ = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    weighed = data.astype(np.uint64)
+    weighed += np.uint64(1)
+    weighed *= up[: len(data)]
+    np.cumsum(weighed, out=sums[1:])
     return sums
 
 
@@ -151,8 +155,13 @@ def raw_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def hash_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each span; equal content gives equal hashes wherever it lies."""
     _, down = _power_tables(len(sums))
+    value = sums[ends]
+    value -= sums[starts]
+    value *= down[starts]
     lengths = (ends - starts).astype(np.uint64)
-    return mix64((sums[ends] - sums[starts]) * down[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
+    lengths *= np.uint64(0xD6E8FEB86659FD93)
+    value += lengths
+    return mix64(value)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

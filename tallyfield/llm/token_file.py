@@ -189,29 +189,41 @@ class Encoder:
             entry[miss] = begin + rank[which]
         sizes, source = self.size[entry].astype(np.int64), self.first[entry]
         total = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.arange(total[-1]) + np.repeat(source - total[:-1], sizes)].astype(np.uint32)
+        place = np.repeat((source - total[:-1]).astype(np.int32), sizes)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = self.ids[place].astype(np.uint32)
         per_text = total[np.searchsorted(starts, bounds)]
         return np.insert(ids, per_text[1:], 0), np.diff(per_text) + 1
 
 
-def _grouped(left: np.ndarray, right: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs in ascending order, each with its places together: places, and each pair's first place among them and code."""
+def _grouped(left: np.ndarray, right: np.ndarray, at: np.ndarray, use: np.ndarray | None = None):
+    """Pairs in ascending order, each with its places together: places, and each pair's first place among them and code.
+
+    Of places ``at`` only those that ``use`` marks, if it is given.
+    """
     sign, place = int(max(left.max(initial=0), right.max(initial=0))).bit_length(), int(at.max(initial=0)).bit_length()
-    if 2 * sign + place <= 64:  # pair and place in one number: sorting it is faster than sorting by it
-        key = left.astype(np.uint64)
-        for value, bits in ((right, sign), (at.view(np.uint32), place)):
-            key <<= np.uint64(bits)
-            key |= value
-        key.sort()
-        at = (key & np.uint64((1 << place) - 1)).astype(np.int32)
-        first = np.flatnonzero(np.append(len(key) > 0, (key[1:] ^ key[:-1]) >> np.uint64(place)))
-        key = key[first] >> np.uint64(place)
-        return at, first, ((key >> np.uint64(sign)) << np.uint64(32) | key & np.uint64((1 << sign) - 1)).astype(np.int64)
-    pair = left.astype(np.int64) << 32 | right
-    order = np.argsort(pair, kind="stable")
-    pair = pair[order]
-    first = np.flatnonzero(np.append(len(pair) > 0, np.diff(pair)))
-    return at[order], first, pair[first]
+    if 2 * sign + place > 64:
+        if use is not None:
+            left, right, at = left[use], right[use], at[use]
+        pair = left.astype(np.int64) << 32 | right
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+        first = np.flatnonzero(np.append(len(pair) > 0, np.diff(pair)))
+        return at[order], first, pair[first]
+    key = left.astype(np.uint64)  # pair and place in one number: sorting it is faster than sorting by it
+    for value, bits in ((right, sign), (at.view(np.uint32), place)):
+        key <<= np.uint64(bits)
+        key |= value
+    if use is not None:
+        key = key[use]
+    key.sort()
+    at = key.astype(np.uint32)
+    at &= np.uint32((1 << place) - 1)
+    key >>= np.uint64(place)
+    pair = key.astype(np.uint32) if 2 * sign <= 32 else key
+    first = np.flatnonzero(np.append(len(pair) > 0, pair[1:] != pair[:-1]))
+    pair = pair[first].astype(np.int64)
+    return at.view(np.int32), first, pair >> sign << 32 | pair & ((1 << sign) - 1)
 
 
 def _slices_of(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -235,8 +247,7 @@ def repair(ids: np.ndarray, docs: np.ndarray, base: int, least: int = 24):
     alive = np.ones(n, bool)
     kind = np.full(n + 1, -1, np.int32)  # the pair that begins at a place, of those that occur often enough
     pool, codes, tally, first, size = np.zeros(0, np.int32), *(np.zeros(0, np.int64) for _ in range(4))
-    inner = after[:n] != n
-    arose = symbols[:n][inner], symbols[1:][inner], np.flatnonzero(inner).astype(np.int32)
+    arose = symbols[:n], symbols[1:], np.arange(n, dtype=np.int32), after[:n] != n
     while True:
         # Name the pairs that arose often enough; their places lie together in the pool.
         at, begin, pair = _grouped(*arose)
@@ -312,25 +323,20 @@ def spans(rules: np.ndarray, base: int) -> np.ndarray:
 
 def expansions(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """All rules written out, and where each begins (rules + 1)."""
-    out: list[np.ndarray] = []
-    one = lambda s: out[s - base] if s >= base else np.array([s], np.uint32)
-    for a, b in rules.tolist():
-        out.append(np.concatenate([one(a), one(b)]))
-    lengths = np.array([len(x) for x in out], np.int64)
-    return np.concatenate([np.zeros(0, np.uint32), *out]), np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    lengths = spans(rules, base).astype(np.int64)
+    return expand(rules.ravel(), rules, base), np.concatenate([[0], np.cumsum(lengths)])
 
 
 def decode(sequence: np.ndarray, written: np.ndarray, bounds: np.ndarray, base: int) -> np.ndarray:
     """Ids of a stretch of the sequence: any document decodes alone."""
-    rule = sequence >= base
-    index = np.where(rule, sequence - base, 0)
-    sizes = np.where(rule, np.diff(bounds)[index] if len(bounds) > 1 else 1, 1)
-    total = np.concatenate([[0], np.cumsum(sizes)])
-    out = np.repeat(np.where(rule, 0, sequence), sizes).astype(np.uint32)
-    where = np.flatnonzero(np.repeat(rule, sizes))
-    source = np.arange(total[-1]) - np.repeat(total[:-1] - bounds[index], sizes)
-    out[where] = written[source[where]]
-    return out
+    every = np.concatenate([np.arange(base, dtype=np.uint32), written])  # what symbols write, one after the other
+    first = np.concatenate([np.arange(base), base + bounds[:-1]]).astype(np.int32)[sequence]
+    size = np.concatenate([np.ones(base, np.int32), np.diff(bounds).astype(np.int32)])[sequence]
+    total = np.cumsum(size)
+    first -= (total - size).astype(np.int32)
+    source = np.repeat(first, size)
+    source += np.arange(len(source), dtype=np.int32)
+    return every[source]
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
