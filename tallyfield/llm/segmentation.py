@@ -248,7 +248,7 @@ def sample_batch(vocab: Vocabulary, data: np.ndarray, offsets: np.ndarray, row_k
     """For samples 1 .. k: rows, ids and their counts, log probability, perturbed value; and each row's threshold."""
     rows = len(offsets) - 1
     points, bounds, begins = _units(vocab, data, offsets)
-    ends = np.append(begins[1:], len(points))
+    ends = np.append(begins[1:], len(points))[: len(begins)]
     sums = prefix_sums(points)
     distinct, chosen, which = np.unique(hash_between(sums, begins, ends), return_index=True, return_inverse=True)
     lattice = vocab.lattice

@@ -171,7 +171,7 @@ class Encoder:
             starts = starts[(inside < 0) | (starts >= np.append(tokens[:, 1], 0)[inside])]
         else:
             starts = split_points(points, bounds)
-        ends = np.append(starts[1:], len(points))
+        ends = np.append(starts[1:], len(points))[: len(starts)]
         byte = np.append(place, len(data))
         keys = span_hashes(data, byte[starts], byte[ends])
         if self.count > self.most:

@@ -294,6 +294,15 @@ def test_parts_are_split_as_the_library_splits_them():
             assert ids[end - size : end].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0], repr(text)
 
 
+def test_batches_of_empty_texts():
+    """Slices without any text, as a partition of null or empty texts gives."""
+    data, offsets = np.zeros(0, np.uint8), np.zeros(4, np.int64)
+    ids, sizes = Encoder(BPE, added=True).encode(data, offsets)
+    assert ids.tolist() == [0, 0, 0] and sizes.tolist() == [1, 1, 1]
+    _, out, threshold = sample_batch(Vocabulary(PIECES), data, offsets, np.arange(3).astype(np.uint64), 2)
+    assert len(out[0][1]) == 0 and (threshold == -np.inf).all()
+
+
 # ------------------------------------------------------------------ language model
 
 
