@@ -98,6 +98,12 @@ def leave_label(code: Column, labels: dict[str, str]) -> Column:
     return F.when(F.trim(code) != "", label)
 
 
+# Words that tell the kind of a calendar entry, and leaves that sound like birthdays.
+HOLIDAY_WORDS, HOLIDAY_COUNTRIES = ("holiday",), ("PH", "US")
+BIRTHDAY_WORDS, BIRTHDAY_LEAVES = ("birthday", "bday", "b-day", "anniversary"), ("birthday leave", "bday leave")
+TRAINING_WORDS = ("refresher", "training", "walkthrough", "course", "webinar")
+
+
 def calendar_summary(summary: Column, codes: list[str], teams: list[str]) -> Column:
     """A calendar entry's text as (kind, code, team, person, note, needs_review).
 
@@ -105,16 +111,15 @@ def calendar_summary(summary: Column, codes: list[str], teams: list[str]) -> Col
     a leave if its code is known or names several; one that is not of three parts, or whose code or team is unknown, needs review.
     """
     s, low = F.trim(summary), F.lower(F.trim(summary))
-    has = lambda *words: F.greatest(*[F.contains(low, F.lit(w)) for w in words]) if len(words) > 1 else F.contains(low, F.lit(words[0]))
+    has = lambda words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w))
     parts = F.split(F.regexp_replace(s, r"\s*[-–—]\s+|\s+[-–—]\s*", " - "), " - ")
     full = F.size(parts) >= 3
     code, team = F.trim(F.get(parts, F.lit(0))), F.trim(F.get(parts, F.lit(1)))
     raw = F.array_join(F.slice(parts, 3, 100), " - ")
     known = F.regexp_replace(F.upper(code), "/", "").isin(codes) | F.contains(code, F.lit("/"))
     told = (
-        F.when(has("holiday") | s.rlike("^(PH|US):"), "holiday")
-        .when(has("birthday", "bday", "b-day", "anniversary") & ~has("birthday leave", "bday leave"), "birthday")
-        .when(has("refresher", "training", "walkthrough", "course", "webinar"), "training")
+        F.when(has(HOLIDAY_WORDS) | s.rlike(f"^({'|'.join(HOLIDAY_COUNTRIES)}):"), "holiday")
+        .when(has(BIRTHDAY_WORDS) & ~has(BIRTHDAY_LEAVES), "birthday").when(has(TRAINING_WORDS), "training")
     )
     kind = F.coalesce(told, F.when(full & known, "leave").otherwise("other"))
     leave = told.isNull() & full
