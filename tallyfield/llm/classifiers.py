@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, cut, slices, span_hashes, string_buffers, word_spans
+from .common import LOWER, cut, release, slices, span_hashes, string_buffers, word_spans
 
 _SLICE, _ROWS = 1 << 20, 512
 
@@ -67,18 +67,25 @@ def fit_nnpu(rows, features, positive, unlabelled, width, prior, steps=400, rate
     Risk: ``prior * E_p[l(+g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])``.  While the corrected negative
     part is below zero, a step goes up along it instead, as in the published algorithm.
     """
-    n = len(positive)
+    n, blocks = len(positive), [slice(lo, lo + (1 << 18)) for lo in range(0, len(rows), 1 << 18)]  # bounds what a step needs at once
     w, b = np.zeros(width), float(np.log(prior / (1 - prior)))
+
+    def summed(by, of, values, size):
+        out = np.zeros(size)
+        for part in blocks:
+            out += np.bincount(by[part], values[of[part]], size)
+        return out
+
     first, second = np.zeros(width + 1), np.zeros(width + 1)
     n_p, n_u = max(positive.sum(), 1), max(unlabelled.sum(), 1)
     for step in range(1, steps + 1):
-        g = np.clip(np.bincount(rows, w[features], n) + b, -60, 60)
+        g = np.clip(summed(rows, features, w, n) + b, -60, 60)
         sig = 1 / (1 + np.exp(-g))
         minus = np.log1p(np.exp(g))
         negative = minus[unlabelled].mean() - prior * minus[positive].mean()
         down = sig * unlabelled / n_u - prior * sig * positive / n_p
         pull = down - prior * (1 - sig) * positive / n_p if negative >= 0 else -down
-        grad = np.append(np.bincount(features, pull[rows], width) + decay * w, pull.sum())
+        grad = np.append(summed(features, rows, pull, width) + decay * w, pull.sum())
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
         move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
@@ -159,8 +166,8 @@ def _fit_toxicity(sample: DataFrame, prior: float, width: int) -> tuple[np.ndarr
 
     table = sample.mapInArrow(project, "p int, u int, f binary").toPandas()
     found = [np.frombuffer(f, np.int16) for f in table["f"]]
-    rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    flat = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
+    rows = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])
+    flat = np.concatenate(found) if found else np.zeros(0, np.int16)
     w, b = fit_nnpu(rows, flat, table["p"].to_numpy() == 1, table["u"].to_numpy() == 1, max(len(best), 1), prior)
     weights = np.zeros(1 << TOXIC_BITS, np.float32)
     weights[[r.f for r in best]] = w[: len(best)]
@@ -189,7 +196,9 @@ def _scored(docs: DataFrame, text: str, scores) -> DataFrame:
     def score(texts):
         import pyarrow as pa
 
-        return pa.array(scores(texts), pa.float64())
+        scored = pa.array(scores(texts), pa.float64())
+        release()
+        return scored
 
     return docs.withColumn("score", score(F.col(text)))
 
@@ -238,14 +247,17 @@ def _term_rates(column):
 
 def latent_space(terms: np.ndarray, dims: int, seed: int = 1) -> np.ndarray:
     """Weighted projection (terms by dims): inverse document frequency, then a truncated SVD by subspace iteration."""
-    seen = (terms > 0).sum(0)
+    seen = np.count_nonzero(terms, axis=0)
     idf = np.where(seen > 0, np.log((1 + len(terms)) / (1 + seen)) + 1, 0).astype(np.float32)
-    x = terms * idf
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    basis = np.random.default_rng(seed).standard_normal((x.shape[1], dims + 16)).astype(np.float32)
+    # Rows are weighted and scaled to length one inside the products: the driver holds the table once.
+    norms = np.array([np.linalg.norm(row * idf) for row in terms], np.float32)
+    scale = (1 / np.maximum(norms, 1e-9))[:, None]
+    forth = lambda basis: (terms @ (idf[:, None] * basis)) * scale
+    back = lambda y: idf[:, None] * (terms.T @ (y * scale))
+    basis = np.random.default_rng(seed).standard_normal((terms.shape[1], dims + 16)).astype(np.float32)
     for _ in range(6):
-        basis, _ = np.linalg.qr(x.T @ (x @ basis))
-    _, _, vt = np.linalg.svd(x @ basis, full_matrices=False)
+        basis, _ = np.linalg.qr(back(forth(basis)))
+    _, _, vt = np.linalg.svd(forth(basis), full_matrices=False)
     return (idf[:, None] * (basis @ vt[:dims].T)).astype(np.float32)
 
 
@@ -296,8 +308,10 @@ def quality(
     for r, (at, rate) in enumerate(zip(table["at"], table["rate"], strict=True)):
         x[r, np.frombuffer(at, np.int16)] = np.frombuffer(rate, np.float32)
     good = table["good"].to_numpy().astype(np.float32)
+    del table
     space = latent_space(x, min(dims, max(len(x), 1))) if len(x) else np.zeros((TERMS, 1), np.float32)
     examples_z, usual = _project(x, space), float(good.mean()) if len(good) else 0.5
+    del x
     k = min(neighbours, len(good))
 
     def scores(column) -> np.ndarray:

@@ -97,6 +97,19 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def release() -> None:
+    """Give memory that is free in this Python worker back to the machine: workers live on between tasks and stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; elsewhere the allocator decides
+    if trim:
+        trim(0)
+
+
 def string_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (n + 1) of an Arrow string column; nulls become empty."""
     import pyarrow as pa

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, components, cut, forest, grams, mix64, slices, small, span_hashes, string_buffers, word_spans
+from .common import WORD, components, cut, forest, grams, mix64, release, slices, small, span_hashes, string_buffers, word_spans
 
 _SLICE = 1 << 20  # bytes of text hashed at once
 
@@ -70,6 +70,7 @@ def _signatures(n: int, bands: int, rows: int, seed: int):
                      pa.array(count > 0), packed.cast(pa.list_(pa.int64()))],
                     names=["id", "h", "k1", "k2", "filled", "bands"],
                 )
+        release()
 
     return run
 

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_between, mix64, prefix_sums, raw_between, slices, string_buffers
+from .common import hash_between, mix64, prefix_sums, raw_between, release, slices, string_buffers
 
 _BAR = 0x2581  # the sign that stands for a space in pieces
 _G1, _G2, _G3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -435,6 +435,7 @@ def sample_segmentations(
                         yield pa.RecordBatch.from_arrays(columns, names=[*names, *ADDED])
         finally:  # workers live on, and later stages need their memory
             vocab.lattice.forget()
+            release()
 
     return named.mapInArrow(run, schema)
 
