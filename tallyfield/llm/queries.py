@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .classifiers import quality, toxicity
+from .divergence import source_divergence
+from .fill_in_middle import fill_in_middle, restored
 from .html_extract import extract_pages
 from .language_model import score_texts
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
+from .packing import pack_sequences, token_pieces
 from .segmentation import sample_segmentations
 from .token_file import read_token_file, token_path, write_token_file
 from .vectors import near_duplicate_vectors, nearest_vectors
@@ -80,6 +83,25 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = token_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
+    return pack_sequences(pieces, capacity=2048)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"), least=10, top=10)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(_table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query, for every ``opN_`` function of this module."""
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
