@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, slices, stored, string_buffers
+from .common import parts, release, slices, stored, string_buffers
 from .token_file import SLICE, Encoder
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -233,7 +233,8 @@ def pack_sequences(pieces: DataFrame, capacity: int = 2048, shard: int = 4096) -
         shards = -(-rows // shard)
         by = F.col("nth") if level == 0 else F.col("sequence_id")
         dealt = left.withColumn("shard", F.pmod(F.xxhash64(by, F.lit(level)), F.lit(shards)))
-        packed = stored(dealt.groupBy("shard").applyInArrow(_pack(capacity, level), schema))
+        tasks = min(shards, parts(left.sparkSession, shards, 16))  # asked for by number, so that small shards are not packed one by one
+        packed = stored(dealt.repartition(tasks, "shard").groupBy("shard").applyInArrow(_pack(capacity, level), schema))
         left = packed.where("room > 0")
         state = left.agg(F.count("*"), F.count_if(F.col("offset") == 0)).first()
         if shards == 1 or (sequences is not None and state[1] * 100 > sequences * 99):
