@@ -54,6 +54,43 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, since
     return both.select("_left.*", F.col("_found._since").alias(since), *[F.col(f"_found.{c}").alias(c) for c in columns])
 
 
+def asof_join_split(
+    left: DataFrame, right: DataFrame, keys: list[str], at: str, since: str, columns: list[str], strict: bool = False, per_range: int = 250_000,
+) -> DataFrame:
+    """``asof_join`` in which no task sorts a hot key alone: keys of more than ``per_range`` rows are cut into ranges of time.
+
+    Ranges are of equal length between a key's first and last time, as many as its rows need.  Within a range the last right row is
+    carried forward as ever; a left row with none before it in its range takes the last one of the ranges before, of which there is
+    one row a range.  Keys are rarely hot, so their list goes to every task while small; without any this is ``asof_join``.
+    """
+    times = left.select(*keys, F.col(at).alias("_at")).unionByName(right.select(*keys, F.col(since).alias("_at")))
+    number = lambda c: F.col(c).cast("timestamp").cast("double") if dict(times.dtypes)["_at"].startswith(("timestamp", "date")) else F.col(c).cast("double")
+    sized = times.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(number("_at")).alias("_lo"), F.max(number("_at")).alias("_hi"))
+    hot = sized.where((F.col("_n") > per_range) & (F.col("_hi") > F.col("_lo"))).select(
+        *keys, "_lo", ((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / per_range)).alias("_step"))
+    if hot.isEmpty():
+        return asof_join(left, right, keys, at, since, columns, strict)
+    hot = bounded(hot)
+
+    def ranged(df: DataFrame, c: str) -> DataFrame:
+        """``_range`` of each row: 0 for keys that are not hot and for rows without a time."""
+        cell = F.floor((number(c) - F.col("_lo")) / F.col("_step"))
+        return df.join(hot, keys, "left").withColumn("_range", F.coalesce(cell, F.lit(0))).drop("_lo", "_step")
+
+    cut_left, cut_right = ranged(left, at), ranged(right.select(*keys, since, *columns, F.lit(True).alias("_hit")), since)
+    near = asof_join(cut_left, cut_right, [*keys, "_range"], at, since, [*columns, "_hit"], strict)
+    packed = F.struct(F.col(since).alias("_since"), *columns)
+    lasts = cut_right.join(hot.select(*keys), keys, "left_semi").groupBy(*keys, "_range").agg(F.max(packed).alias("_last"))
+    spots = near.join(hot.select(*keys), keys, "left_semi").select(*keys, "_range").distinct().withColumn("_last", F.lit(None).cast(lasts.schema["_last"].dataType))
+    order = Window.partitionBy(*keys).orderBy("_range").rangeBetween(Window.unboundedPreceding, -1)
+    carried = lasts.unionByName(spots).withColumn("_carried", F.last("_last", ignorenulls=True).over(order))
+    carried = carried.groupBy(*keys, "_range").agg(F.max("_carried").alias("_carried"))
+    both = near.join(carried, [*keys, "_range"], "left")
+    here = F.col("_hit")
+    filled = {c: F.when(here, F.col(c)).otherwise(F.col(f"_carried.{'_since' if c == since else c}")) for c in [since, *columns]}
+    return both.withColumns(filled).select(*left.columns, since, *columns)
+
+
 def left_schema(df: DataFrame):
     return df.select(F.struct(*df.columns).alias("s")).schema["s"].dataType
 

@@ -111,7 +111,8 @@ FROM events l WHERE l.event_type = 'click'""")
 def asof_prior_event(t):
     clicks = t.events.where("event_type = 'click'").select("event_id", "user_id", "ts")
     bought = t.events.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("bought_at"), F.col("event_id").alias("last_purchase"))
-    return joins.asof_join(clicks, bought, ["user_id"], "ts", "bought_at", ["last_purchase"]).select("event_id", "user_id", "last_purchase")
+    found = joins.asof_join_split(clicks, bought, ["user_id"], "ts", "bought_at", ["last_purchase"])
+    return found.select("event_id", "user_id", "last_purchase")
 
 
 @query("""
