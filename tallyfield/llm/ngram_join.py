@@ -232,10 +232,12 @@ def drop_near_copies(
     text one stays; other texts under that id are judged by their own links.
     """
     _, known = _linked_classes(docs, n, similarity, recall, chunk, seed, id_col, text)
-    key = ["_rep", "_h", "_no"]
-    kept = known.where("stands").select(F.coalesce("rep", F.lit(-1)).alias("_rep"), F.col("h").alias("_h"), F.col("rep").isNull().alias("_no"))
-    filled = F.coalesce(F.col(text).rlike(WORD), F.lit(False))
-    named = docs.where(filled).withColumns({
-        "_rep": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), "_h": F.xxhash64(text), "_no": F.col(id_col).isNull(),
-    })
-    return named.dropDuplicates(key).join(kept, key, "left_semi").select(*docs.columns).union(docs.where(~filled))
+    key = ["rep", "h", "no"]
+    kept = known.where("stands").select(F.coalesce("rep", F.lit(-1)).alias("rep"), "h", F.col("rep").isNull().alias("no"))
+    # Whole rows travel as one column, so that no name of theirs meets one of these.
+    rows = docs.select(
+        F.struct("*").alias("whole"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("rep"), F.xxhash64(text).alias("h"),
+        F.col(id_col).isNull().alias("no"), F.coalesce(F.col(text).rlike(WORD), F.lit(False)).alias("filled"),
+    )
+    found = rows.where("filled").dropDuplicates(key).join(kept, key, "left_semi")
+    return found.select("whole").union(rows.where("NOT filled").select("whole")).select("whole.*")

@@ -264,3 +264,37 @@ def test_fill_in_middle_with_other_sentinels_rates_and_names(spark):
     with pytest.raises(ValueError, match="these names"):
         fill_in_middle.fill_in_middle(df.withColumn("n", F.lit(1)), carry=("n",))
     assert fill_in_middle.fill_in_middle(rows_of(spark, [])).count() == 0
+
+
+# ------------------------------------------------------------------ names of inputs
+
+
+def names_inside() -> list[str]:
+    """Every name that an operator of the subpackage or the pipeline gives a column."""
+    import pathlib
+
+    import tallyfield.llm
+
+    folder = pathlib.Path(tallyfield.llm.__file__).parent
+    source = "\n".join(p.read_text() for p in [*folder.glob("*.py"), folder.parent.parent / "corpus_pipeline.py"])
+    found = re.findall(r"""(?:alias|withColumn|withColumnRenamed)\(["'](\w+)["']""", source) + re.findall(r"""["'](\w+)["']:""", source)
+    found += re.findall(r"\b(\w+) (?:long|int|string|double|boolean|binary|array<)", source) + re.findall(r"""as (\w+)["']""", source)
+    return sorted({n for n in found if n not in DOC.replace(",", "").split()})
+
+
+def test_no_stage_confuses_its_own_names_with_columns_of_the_input(spark):
+    import corpus_pipeline
+
+    inside = names_inside()
+    assert {"rep", "h", "whole", "_whole", "copies", "filled", "k1", "_text"} <= set(inside)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    more = docs.select("*", *[F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")).alias(n) for n in inside])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, more, SMALL)
+        assert made.columns == more.columns, name
+        rows = made.select("doc_id", *inside).collect()
+        assert rows and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in inside), name
+        plain = stage(spark, docs, SMALL).select("doc_id").collect()
+        assert sorted(r.doc_id for r in plain) == sorted(r.doc_id for r in rows), name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert Counter(last(spark, more, SMALL).collect()) == Counter(last(spark, docs, SMALL).collect())
