@@ -14,26 +14,42 @@ class GuardError(RuntimeError):
     """A load that would lose too much was refused."""
 
 
+def _once(source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``columns`` of each key as ``_new``; a key that repeats fails the job when its row is made, as a merge of it has no one result.
+
+    Grouped by the join's own keys, so its shuffle serves the join too.
+    """
+    packed = F.struct(*[F.col(c) for c in columns])
+    grouped = source.groupBy(*keys).agg(F.first(packed).alias("_first"), F.count("*").alias("_n"))
+    refused = F.raise_error(F.concat(F.lit(f"{', '.join(keys)} repeats in the source: "), F.to_json(F.struct(*keys))))
+    return grouped.select(*keys, F.when(F.col("_n") > 1, refused).otherwise(F.col("_first")).alias("_new"))
+
+
 def snapshot_actions(target: DataFrame, source: DataFrame, keys: list[str], ignore: tuple[str, ...] = (), delete: bool = True) -> DataFrame:
-    """Keys with action insert, update, delete or keep; columns in ``ignore`` do not make a change.  One full outer join."""
+    """Keys with action insert, update, delete or keep; columns in ``ignore`` do not make a change.  One full outer join.
+
+    A key that the source repeats is refused, as in ``merge_snapshot``.
+    """
     compared = [c for c in source.columns if c not in keys and c not in ignore]
     t = target.select(*keys, F.struct(*compared).alias("_old"), F.lit(True).alias("_t"))
-    s = source.select(*keys, F.struct(*compared).alias("_new"), F.lit(True).alias("_s"))
+    s = _once(source, keys, compared)
     action = (
-        F.when(F.col("_t").isNull(), "insert").when(F.col("_s").isNull(), "delete" if delete else "keep")
+        F.when(F.col("_t").isNull(), "insert").when(F.col("_new").isNull(), "delete" if delete else "keep")
         .when(~F.col("_old").eqNullSafe(F.col("_new")), "update").otherwise("keep")
     )
     return t.join(s, keys, "full").select(*keys, action.alias("action"))
 
 
 def merge_snapshot(target: DataFrame, source: DataFrame, keys: list[str], ignore: tuple[str, ...] = (), delete: bool = True) -> DataFrame:
-    """The merged table: new and changed rows of the source, unchanged ones as the target has them."""
+    """The merged table: new and changed rows of the source, unchanged ones as the target has them.
+
+    A key that the source repeats is refused: the job fails and names it (``merge_batch`` takes the last row of such).
+    """
     columns = target.columns
     rest = [c for c in columns if c not in keys]
     compared = [c for c in rest if c not in ignore]
     t = target.select(*keys, F.struct(*rest).alias("_old"))
-    s = source.select(*keys, F.struct(*[F.col(c) for c in rest]).alias("_new"))
-    both = t.join(s, keys, "full")
+    both = t.join(_once(source, keys, rest), keys, "full")
     if delete:
         both = both.where("_new IS NOT NULL")
     same = reduce(lambda a, b: a & b, [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in compared], F.lit(True))

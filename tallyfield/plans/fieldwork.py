@@ -162,10 +162,11 @@ def review_offenders(t):
   round(quantile_cont(lag_hours, 0.9) FILTER (WHERE status = 'approved'), 1) AS p90, max(lag_hours) FILTER (WHERE status = 'approved') AS worst
   FROM fact GROUP BY 1""")
 def approval_latency(t):
-    done = F.when(F.col("status") == "approved", F.col("lag_hours"))
-    at = lambda p: F.round(F.percentile(done, p), 1)
-    return approvals(t).groupBy("unit").agg(F.count_if(F.col("status") == "approved").alias("approved"), at(0.5).alias("p50"), at(0.9).alias("p90"),
-        F.max(done).alias("worst"))
+    done, facts = F.col("status") == "approved", approvals(t).select("unit", "status", "lag_hours")
+    counted = facts.groupBy("unit").agg(F.count_if(done).alias("approved"), F.max(F.when(done, F.col("lag_hours"))).alias("worst"))
+    at = aggregates.quantiles(facts, ["unit"], "lag_hours", {"p50": (0.5, done), "p90": (0.9, done)}).withColumnRenamed("unit", "_unit")
+    both = counted.join(at, F.col("unit").eqNullSafe(F.col("_unit")), "left")
+    return both.select("unit", "approved", *[F.round(p, 1).alias(p) for p in ("p50", "p90")], "worst")
 
 
 @query(f"""WITH {FACT} SELECT unit, count(*) FILTER (WHERE waiting_days < 400) AS fresh, count(*) FILTER (WHERE waiting_days >= 400

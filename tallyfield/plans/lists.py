@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from ..functions import text
 from ..operators import aggregates, audits, identities, joins, sequences
 from ..operators.dedup import dedup_latest, dominant_spelling
-from .reports import query
+from .reports import example, query
 
 TODAY = "2001-08-02"
 
@@ -17,13 +17,13 @@ TODAY = "2001-08-02"
 # By analogy: suppliers approve for their nation, customers belong to a nation, orders are their history.
 GROUPS = """
 roster AS (SELECT s_nationkey AS grp, s_name AS name FROM supplier WHERE s_suppkey % 3 = 0),
-history AS (SELECT c_nationkey AS grp, upper(o_clerk) AS name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 100 = 1),
+history AS (SELECT c_nationkey AS grp, upper(o_clerk) AS name FROM orders JOIN customer ON o_custkey = c_custkey),
 overlay AS (SELECT n_nationkey AS grp, n_name AS name FROM nation WHERE n_nationkey % 5 = 0)"""
 
 
 def _groups(t):
     roster = t.supplier.where("s_suppkey % 3 = 0").select(F.col("s_nationkey").alias("grp"), F.col("s_name").alias("name"))
-    old = t.orders.where("o_orderkey % 100 = 1").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    old = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     history = old.select(F.col("c_nationkey").alias("grp"), F.upper("o_orderpriority").alias("name"))
     overlay = t.nation.where("n_nationkey % 5 = 0").select(F.col("n_nationkey").alias("grp"), F.col("n_name").alias("name"))
     return roster, history, overlay
@@ -53,16 +53,14 @@ def approver_groups_for_email(t):
 
 
 @query("""
-WITH m AS (SELECT c_custkey AS member, s_suppkey AS approver, 'roster' AS origin FROM customer JOIN supplier ON s_nationkey = c_nationkey
-  AND s_suppkey % 7 = 0
-  UNION ALL SELECT c_custkey, 0, 'overlay' FROM customer WHERE c_custkey % 9 = 0)
+WITH m AS (SELECT DISTINCT o_custkey AS member, l_suppkey AS approver, 'roster' AS origin FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+  UNION ALL SELECT c_custkey, 0, 'overlay' FROM customer WHERE c_acctbal < 0)
 SELECT c_custkey AS member, COALESCE(approver, -1) AS approver, COALESCE(min(origin), 'unassigned') AS queue FROM customer LEFT
   JOIN m ON member = c_custkey GROUP BY 1, 2""")
 def assigned_members(t):
-    roster = t.customer.join(t.supplier.where("s_suppkey % 7 = 0"),
-        F.col("s_nationkey") == F.col("c_nationkey")).select(F.col("c_custkey").alias("member"), F.col("s_suppkey").alias("approver"),
-            F.lit("roster").alias("origin"))
-    overlay = t.customer.where("c_custkey % 9 = 0").select(F.col("c_custkey").alias("member"), F.lit(0).cast("long").alias("approver"),
+    sold = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"))
+    roster = sold.select(F.col("o_custkey").alias("member"), F.col("l_suppkey").alias("approver")).distinct().withColumn("origin", F.lit("roster"))
+    overlay = t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("member"), F.lit(0).cast("long").alias("approver"),
         F.lit("overlay").alias("origin"))
     both = t.customer.select(F.col("c_custkey").alias("member")).join(roster.unionByName(overlay), "member", "left")
     return both.groupBy("member", F.coalesce("approver", F.lit(-1)).alias("approver")).agg(F.coalesce(F.min("origin"),
@@ -116,7 +114,7 @@ def roster_gaps(t):
     return t.customer.join(latest, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
-@query("""
+@example("""
 WITH n(id, name) AS (VALUES (1, 'Ann B. Cole Jr.'), (2, 'ann cole'), (3, 'Bo Diaz'), (4, 'Bo M Diaz III'), (5, 'Cy Orr'), (6, 'Dee')),
 r(emp, full_name) AS (VALUES ('e1', 'Ann Cole'), ('e2', 'Bo Diaz'), ('e3', 'Bo X. Diaz'), ('e4', 'Cy Q Orr Sr'), ('e5', 'Dee')),
 tok AS (SELECT id, 'n' AS side, regexp_replace(regexp_replace(lower(name), '[^a-z ]', '', 'g'), ' (jr|sr|ii|iii|iv)$', '') AS s FROM n UNION ALL
@@ -163,7 +161,11 @@ def quote_candidates(t):
     path = F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("?"), F.lit(1))
     parsed = text.path_parts(t.pages.select("page_id", path.alias("path")), "path", ["en", "de", "fr", "es"])
     wanted = F.concat(F.lit("Brand#"), F.col("number") % 5 + 1, F.col("number") % 3 + 1)
-    met = parsed.withColumn("p_brand", wanted).join(t.part, "p_brand")
+    # Three parts of a brand, and three of a brand and size, are all that any page can take.
+    best = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("p_retailprice"), "p_partkey")) <= 3
+    parts = t.part.select("p_brand", "p_partkey", "p_size", "p_retailprice")
+    top = parts.withColumns({"of_brand": best("p_brand"), "of_size": best("p_brand", "p_size")}).where("of_brand OR of_size")
+    met = parsed.withColumn("p_brand", wanted).join(top, "p_brand").where(F.col("of_brand") | (F.col("p_size") == F.col("number") % 50))
     rank = F.row_number().over(Window.partitionBy("page_id").orderBy((F.col("p_size") == F.col("number") % 50).desc(), F.desc("p_retailprice"),
         "p_partkey"))
     return met.withColumn("r", rank).where("r <= 3").select("page_id", "p_partkey")
@@ -376,10 +378,9 @@ def edit_audit(t):
 SELECT user_id, len(list_filter(vs, lambda x: x >= 50)) AS big, list_min(list_filter(vs, lambda x: x >= 50)) AS least_big,
   CAST(list_sum(vs) AS BIGINT) AS total FROM (SELECT user_id, list(CAST(floor(value) AS BIGINT)) AS vs FROM events GROUP BY 1)""")
 def array_members(t):
-    rows = t.events.groupBy("user_id").agg(F.collect_list(F.floor("value")).alias("vs"))
-    big = F.filter("vs", lambda x: x >= 50)
-    return rows.select("user_id", F.size(big).cast("long").alias("big"), F.array_min(big).alias("least_big"),
-        F.aggregate("vs", F.lit(0).cast("long"), lambda s, x: s + x).alias("total"))
+    whole = F.floor("value")
+    big = F.when(whole >= 50, whole)
+    return t.events.groupBy("user_id").agg(F.count(big).alias("big"), F.min(big).alias("least_big"), F.sum(whole).alias("total"))
 
 
 @query("""

@@ -12,6 +12,8 @@ from .tables import Tables, second
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+EXAMPLES: dict = {}
+EXAMPLE_SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None):
@@ -26,6 +28,16 @@ def query(sql: str | None = None):
     return register
 
 
+def example(sql: str):
+    """Keep the decorated function, which reads no table but rows that it names, for the tests: it is no registered query."""
+
+    def keep(f):
+        EXAMPLES[f.__name__], EXAMPLE_SQL[f.__name__] = lambda spark, folder: f(Tables(spark, folder)), sql
+        return f
+
+    return keep
+
+
 @query("""
 SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS order_day, c_name, c_mktsegment, n_name, r_name
 FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey

@@ -123,20 +123,41 @@ def require_header(grid: DataFrame, columns: list[str], sheet: str = "sheet", ce
     return grid
 
 
-MONTH_FORMATS = ("MMMM d, yyyy", "MMM d, yyyy")
+# The months' names, as headings and sheets spell them, whole or by their first three letters.
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+
+
+def _months_in(c: Column) -> Column:
+    """The words of a text as numbers of months, in order; 0 for a word that is none."""
+    whole, short = F.array(*[F.lit(m) for m in MONTHS]), F.array(*[F.lit(m[:3]) for m in MONTHS])
+    place = lambda w: F.greatest(F.array_position(whole, w), F.array_position(short, w)).cast("int")
+    return F.transform(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0)), place)
+
+
+def _numbers_in(c: Column) -> Column:
+    return F.transform(F.regexp_extract_all(c, F.lit("[0-9]+"), F.lit(0)), lambda n: n.try_cast("int"))
+
+
+def _day_of(year: Column, month: Column, day: Column) -> Column:
+    """That day; null where there is none."""
+    padded = [F.lpad(part.cast("string"), width, "0") for part, width in ((year, 4), (month, 2), (day, 2))]
+    return F.when(year.isNotNull() & month.isNotNull() & day.isNotNull(), F.concat_ws("-", *padded).try_cast("date"))
 
 
 def header_day(c: Column) -> Column:
-    """Day that a sheet's heading names: a single day, the last of a range (in one month or over two), or a month's last."""
-    c = F.trim(c)
-    named = lambda text: F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in MONTH_FORMATS])
-    part = lambda pattern, *at: F.when(c.rlike(pattern),
-        F.concat(*[F.regexp_extract(c, pattern, i) if isinstance(i, int) else F.lit(i) for i in at]))
-    crossing = part(r"^[A-Za-z]+\s+\d+\s*[-–]\s*([A-Za-z]+)\s+(\d+),?\s+(\d{4})", 1, " ", 2, ", ", 3)
-    inside = part(r"^([A-Za-z]+)\s+\d+\s*-\s*(\d+),?\s+(\d{4})", 1, " ", 2, ", ", 3)
-    month = F.last_day(named(part(r"^([A-Za-z]+)\s+(\d{4})$", 1, " 1, ", 2)))
-    slashed = F.when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.to_date(F.try_to_timestamp(c, F.lit("M/d/yyyy"))))
-    return F.coalesce(named(crossing), named(inside), month, named(c), slashed)
+    """Day that a sheet's heading names: a single day, the last of a range (in one month or over several), or a month's last.
+
+    The heading is read as its words, all of which must be months, and its numbers: the last is the year, those before are days.
+    Without words three numbers around slashes are month, day and year.  Anything else names no day.
+    """
+    months, numbers = _months_in(c), _numbers_in(c)
+    year, days = F.try_element_at(numbers, F.lit(-1)), F.filter(numbers, lambda n: n < 1000)
+    month, day = F.try_element_at(months, F.lit(-1)), F.try_element_at(days, F.lit(-1))
+    known = (F.size(months) > 0) & (F.array_min(months) > 0) & (year >= 1000)
+    last = F.last_day(_day_of(year, month, F.lit(1)))
+    slashed = (F.size(months) == 0) & (F.size(numbers) == 3) & F.trim(c).rlike("^[0-9/]+$") & (year >= 1000)
+    return F.when(known, F.when(F.size(days) > 0, _day_of(year, month, day)).when(F.size(months) == 1, last)).when(
+        slashed, _day_of(year, F.try_element_at(numbers, F.lit(1)), F.try_element_at(numbers, F.lit(2))))
 
 
 def sales_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells: str = "cells") -> DataFrame:
@@ -145,6 +166,7 @@ def sales_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells:
     Rows 0 to 4 are the heading, row 4 names the columns.  Below, ``Total`` rows, the footer's time stamp and rows that name a group
     (a first cell and no second) do not count; a data row has an empty first cell and a second one.
     """
+    # The headings of a sales sheet.
     names = {"date": "date", "customer": "customer", "num": "num", "qty": "qty", "amount": "amount", "po_number": "p.o. number"}
     whole = Window.partitionBy(sheet)
     lowered = F.transform(cells, lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))))
@@ -161,17 +183,18 @@ def sales_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells:
 
 
 def sheet_day(c: Column, year: Column) -> Column:
-    """``Mar-9``, ``Jan 16``, ``3/9`` or ``3/9/2026``; a year in the text wins over ``year``.  Anything else is null."""
-    named = r"^\s*([A-Za-z]{3})[A-Za-z]*[- ]+(\d{1,2})(?:[-, ]+(\d{4}))?\s*$"
-    slashed = r"^\s*(\d{1,2})/(\d{1,2})(?:/(\d{2}|\d{4}))?\s*$"
-    number = lambda p, i: F.regexp_extract(c, p, i).try_cast("int")
-    of = lambda p: F.coalesce(F.when(number(p, 3) < 100, number(p, 3) + 2000).otherwise(number(p, 3)), year)
-    month = F.array_position(F.array(*[F.lit(m) for m in "jan feb mar apr may jun jul aug sep oct nov dec".split()]),
-        F.lower(F.regexp_extract(c, named, 1)))
-    made = lambda y, m, d: F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"),
-        F.lpad(d.cast("string"), 2, "0")).try_cast("date")
-    first = F.when(c.rlike(named) & (month > 0) & of(named).isNotNull(), made(of(named), month, number(named, 2)))
-    return F.coalesce(first, F.when(c.rlike(slashed) & of(slashed).isNotNull(), made(of(slashed), number(slashed, 1), number(slashed, 2))))
+    """``Mar-9``, ``Jan 16``, ``3/9`` or ``3/9/2026``; a year in the text wins over ``year``.  Anything else is null.
+
+    Read as one month's name and one or two numbers, or as two or three numbers around slashes; a year of two digits is of this century.
+    """
+    words, numbers = F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0)), _numbers_in(c)
+    named = F.try_element_at(_months_in(F.substring(F.try_element_at(words, F.lit(1)), 1, 3)), F.lit(1))
+    spelt = (F.size(words) == 1) & (named > 0) & F.trim(c).rlike("^[A-Za-z].*[0-9]$") & ~F.contains(c, F.lit("/"))
+    slashed = (F.size(words) == 0) & F.trim(c).rlike("^[0-9/]+$") & F.contains(c, F.lit("/"))
+    at = lambda i: F.try_element_at(numbers, F.lit(i))
+    full = lambda n: F.coalesce(F.when(n < 100, n + 2000).otherwise(n), year)
+    return F.when(spelt & F.size(numbers).between(1, 2), _day_of(full(at(2)), named, at(1))).when(
+        slashed & F.size(numbers).between(2, 3), _day_of(full(at(3)), at(1), at(2)))
 
 
 def schedule_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cells: str = "cells", scan: int = 10) -> DataFrame:
@@ -182,6 +205,7 @@ def schedule_sheet(grid: DataFrame, sheet: str = "sheet", row: str = "row", cell
     a name and a shift of DS or NS.  An end before the start lies in the next year; no end is ``ongoing``, the same day ``one_day``,
     else ``temporary``.  Rows without a start are left out.
     """
+    # The headings of a tab of schedule changes.
     names = {"id_number": "ID Number", "name": "Names", "shift": "Shift", "year": "Year", "start": "Start", "end": "End"}
     first = F.trim(F.coalesce(F.try_element_at(F.col(cells), F.lit(1)), F.lit("")))
     trimmed = F.transform(cells, lambda c: F.trim(F.coalesce(c, F.lit(""))))
