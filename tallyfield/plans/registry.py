@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fieldwork, layouts, lists, rebuilds, sheets, state, streams  # noqa: F401  register their queries
+from . import documents, fieldwork, layouts, lists, rebuilds, sheets, state, streams  # noqa: F401  register their queries
 from .reports import QUERIES, SQL
 
 FLAGSHIP = "revenue_member_day"
