@@ -51,7 +51,9 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, since
     order = Window.partitionBy(*keys).orderBy(F.col("_at").asc_nulls_first(), side, F.col("_row"))
     found = F.last("_row", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     both = right.unionByName(rows).withColumn("_found", found).where("_left IS NOT NULL")
-    return both.select("_left.*", F.col("_found._since").alias(since), *[F.col(f"_found.{c}").alias(c) for c in columns])
+    # Keys come from the window's own columns, so that a filter on them goes below it, to the scans of both sides.
+    own = [F.col(c) if c in keys else F.col(f"_left.{c}").alias(c) for c in left.columns]
+    return both.select(*own, F.col("_found._since").alias(since), *[F.col(f"_found.{c}").alias(c) for c in columns])
 
 
 def asof_join_split(
