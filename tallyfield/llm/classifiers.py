@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, cut, release, slices, span_hashes, string_buffers, word_spans
+from .common import LOWER, cut, pack, release, slices, span_hashes, stored, string_buffers, unpack, word_spans
 
 _SLICE, _ROWS = 1 << 20, 512
 
@@ -23,6 +23,7 @@ CLEAR = 5.5  # standard errors by which a feature's document frequencies must di
 
 
 WINDOW = 5
+DECAY = 0.06  # weight of the squared weights in the risk, over the root of the number of positives, as a mean's deviation is
 
 
 def _windows(data: np.ndarray) -> np.ndarray:
@@ -93,17 +94,22 @@ def fit_nnpu(rows, features, positive, unlabelled, width, prior, steps=400, rate
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, positives: int = 4000, unlabelled: int = 8000,
-    features: int = 2048, threshold: float = 0.5, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
+    docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, positives: int = 4000, features: int = 2048,
+    prior: float | None = None, decay: float = DECAY, passes: int = 40, threshold: float = 0.5,
+    id_col: str = "doc_id", text: str = "text", label: str = "toxic",
 ) -> DataFrame:
     """Every input column with ``held_out``, ``score`` (0 to 1) and ``predicted``.
 
-    Positive-unlabelled learning: confirmed toxic examples (label 1, at most ``positives`` documents) against
-    texts of the labelled rows taken as unlabelled (their label is not looked at, at most ``unlabelled`` documents),
-    both outside the fold ``held`` of ``crc32(id) mod folds``, chosen by a hash of the id.  The class prior is the
-    toxic share of all learnable labels, which is that of the unlabelled side.  Features are presences of
-    lower-cased five-byte windows inside a text; the ``features`` with the most different document frequencies among
-    positives and unlabelled are kept.  Whole texts are scored; a text's score does not depend on other rows.
+    Positive-unlabelled learning: confirmed toxic examples (label 1, at most ``positives`` documents, chosen by a hash of the id)
+    against the whole corpus as unlabelled text: all documents, with a label or without, whose label is not looked at.
+    Both are outside the fold ``held`` of ``crc32(id) mod folds``.  Features are presences of lower-cased five-byte windows inside
+    a text; the ``features`` with the most different document frequencies among positives and the corpus are kept.  The
+    non-negative risk (``fit_nnpu``) is minimised over all of them: equal feature sets are one row with a count, and each of at most
+    ``passes`` evaluations sums loss and gradient over that table in Spark.
+
+    The class prior is ``prior`` if given, else the toxic share of the learnable labels if they name both classes, else it is
+    estimated from positives and corpus alone (``_estimated_prior``).  Whole texts are scored; a text's score does not
+    depend on other rows but through what is learnt.
 
     Null text scores as empty.  Rows with a null id are scored, never learnt from, and not held out.  An id
     with several labels is toxic if one of them says so.  Without a positive example the score is the prior.
@@ -114,64 +120,211 @@ def toxicity(
         labels.where(learn & F.col(label).isNotNull()).groupBy(F.col(id_col).alias("_id"))
         .agg(F.max((F.col(label) == 1).cast("int")).alias("_toxic"))
     )
-    prior = truth.agg(F.avg("_toxic")).first()[0] or 0.0
-    by_hash = lambda df: df.orderBy(F.xxhash64("_id", F.lit(23)), "_id")
-    known = by_hash(truth.where("_toxic = 1")).limit(positives).select("_id", F.lit(1).alias("_p"), F.lit(0).alias("_u"))
-    other = by_hash(truth).limit(unlabelled).select("_id")
-    picked = known.union(other.select("_id", F.lit(0), F.lit(1))).groupBy("_id").agg(F.max("_p").alias("_p"), F.max("_u").alias("_u"))
-    # At most positives + unlabelled ids: a bound given by parameters, so a broadcast is safe.
-    sample = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id").dropDuplicates(["_id"])
-    sample = cut(sample.select("_p", "_u", "_text"))
-    weights, bias = _fit_toxicity(sample, min(max(prior, 1e-6), 1 - 1e-6), features)
+    share = truth.agg(F.avg("_toxic")).first()[0] or 0.0
+    picked = truth.where("_toxic = 1").orderBy(F.xxhash64("_id", F.lit(23)), "_id").limit(positives).select("_id")
+    corpus = docs.where(learn).select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+    # At most ``positives`` ids: a bound given by a parameter, so a broadcast is safe.
+    known = cut(corpus.join(F.broadcast(picked), "_id").dropDuplicates(["_id"]).orderBy("_id").select("_text"))
+    if prior is None and (share < 1 or known.isEmpty()):
+        prior = share
+    weights, bias = _fit_toxicity(known, corpus.select("_text"), prior, features, decay, passes)
     added = F.coalesce(F.pmod(crc_of(id_col), F.lit(folds)) == held, F.lit(False))
     scored = _scored(docs.drop("score"), text, _toxicity_scores(weights, bias))
     return scored.withColumn("held_out", added).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def _fit_toxicity(sample: DataFrame, prior: float, width: int) -> tuple[np.ndarray, float]:
-    everything = np.arange(1 << TOXIC_BITS)
+def _frequencies(texts: DataFrame) -> DataFrame:
+    """In how many texts each feature is present: (f, n).  A task gives its sums as packed stretches of all features."""
+    everything, stretch = np.arange(1 << TOXIC_BITS), 1 << (TOXIC_BITS - 6)
 
     def count(batches):
         import pyarrow as pa
 
+        total = np.zeros(1 << TOXIC_BITS, np.int64)
         for batch in batches:
-            p, u = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-            total = np.zeros((2, 1 << TOXIC_BITS), np.int64)
-            for lo, _, rows, found in _present(batch.column(2), everything, 1 << TOXIC_BITS):
-                total[0] += np.bincount(found, p[lo + rows], 1 << TOXIC_BITS).astype(np.int64)
-                total[1] += np.bincount(found, u[lo + rows], 1 << TOXIC_BITS).astype(np.int64)
-            at = np.flatnonzero(total.any(0))
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0, at]), pa.array(total[1, at])], names=["f", "p", "u"])
-
-    size = sample.agg(F.sum("_p").alias("p"), F.sum("_u").alias("u")).first()
-    if not size.p or not size.u:
-        return np.zeros(1 << TOXIC_BITS, np.float32), float(np.log(prior / (1 - prior)))
-    share_u, share_p = F.col("u") / size.u, F.col("p") / size.p
-    apart = F.abs(share_p - share_u) / F.sqrt(F.greatest(share_u * (1 - share_u), F.lit(1e-9)) / size.p + 1e-6)
-    counted = sample.mapInArrow(count, "f long, p long, u long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-    best = counted.where("p + u >= 5").withColumn("apart", apart).where(F.col("apart") > CLEAR).orderBy(F.desc("apart"), "f").limit(width).select("f").collect()
-    place = np.full(1 << TOXIC_BITS, -1, np.int32)
-    place[[r.f for r in best]] = np.arange(len(best))
+            for _, _, _, found in _present(batch.column(0), everything, 1 << TOXIC_BITS):
+                total += np.bincount(found, minlength=1 << TOXIC_BITS)
+        parts = total.reshape(-1, stretch)
+        has = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_pydict({"part": pa.array(has, pa.int64()), "sums": pa.array([pack(parts[k]) for k in has.tolist()], pa.binary())})
+        release()
+
+    def added(key, table):
+        import pyarrow as pa
+
+        total = np.sum([unpack(blob, np.int64) for blob in table["sums"].to_pylist()], axis=0)
+        at = np.flatnonzero(total)
+        return pa.table({"f": key[0].as_py() * stretch + at, "n": total[at]})
+
+    return texts.mapInArrow(count, "part long, sums binary").groupBy("part").applyInArrow(added, "f long, n long")
+
+
+def _feature_sets(texts: DataFrame, place: np.ndarray, width: int) -> DataFrame:
+    """Distinct sets of the placed features with the number of texts that have them: (f as packed 16 bits, n)."""
 
     def project(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for lo, n, rows, found in _present(batch.column(2), place, width):
+            for _, n, rows, found in _present(batch.column(0), place, width):
                 ends = np.searchsorted(rows, np.arange(n + 1))
                 packed = [found[a:b].astype(np.int16).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(packed, pa.binary())], names=["p", "u", "f"]
-                )
-
-    table = sample.mapInArrow(project, "p int, u int, f binary").toPandas()
-    found = [np.frombuffer(f, np.int16) for f in table["f"]]
-    rows = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])
-    flat = np.concatenate(found) if found else np.zeros(0, np.int16)
-    w, b = fit_nnpu(rows, flat, table["p"].to_numpy() == 1, table["u"].to_numpy() == 1, max(len(best), 1), prior)
+                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["f"])
+        release()
+
+    return texts.mapInArrow(project, "f binary").groupBy("f").agg(F.count("*").alias("n"))
+
+
+def _flat(sets) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and features of packed sets, one after the other."""
+    found = [np.frombuffer(f, np.int16) for f in sets]
+    rows = np.repeat(np.arange(len(found), dtype=np.int64), [len(f) for f in found])
+    return rows, np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
+
+
+def _summed(sets: DataFrame, wanted, size: int, spread: int = 16) -> np.ndarray:
+    """Sum of ``wanted(rows, features, counts)``, arrays of ``size``, over all batches of a table of feature sets.
+
+    Tasks' sums are added up in ``spread`` groups first, so that few arrays reach the driver however many tasks there are.
+    """
+
+    def partial(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        total = np.zeros(size)
+        for batch in batches:
+            total += wanted(*_flat(batch.column(0).to_pylist()), batch.column(1).to_numpy().astype(np.float64))
+        yield pa.RecordBatch.from_pydict({"g": pa.array([TaskContext.get().partitionId() % spread], pa.int32()), "v": pa.array([total.tobytes()], pa.binary())})
+
+    def added(key, table):
+        import pyarrow as pa
+
+        total = np.sum([np.frombuffer(v) for v in table["v"].to_pylist()], axis=0)
+        return pa.table({"v": pa.array([total.tobytes()], pa.binary())})
+
+    sums = sets.mapInArrow(partial, "g int, v binary").groupBy("g").applyInArrow(added, "v binary").collect()
+    return np.sum([np.frombuffer(r.v) for r in sums], axis=0) if sums else np.zeros(size)
+
+
+def nnpu_risk(theta, known: tuple[np.ndarray, np.ndarray, np.ndarray], unlabelled, total: float, prior: float, decay: float):
+    """The non-negative risk at ``theta`` (weights and bias) and its gradient.
+
+    ``known``: rows, features and counts of the positives' sets; ``unlabelled(theta)`` gives the corpus's summed loss as negatives
+    and its gradient, of ``total`` texts.  Where the corrected negative part is below zero it counts as zero.
+    """
+    rows, features, counts = known
+    g = np.clip(np.bincount(rows, theta[features], len(counts)) + theta[-1], -60, 60)
+    sig, n_p = 1 / (1 + np.exp(-g)), counts.sum()
+    back = lambda pull: np.append(np.bincount(features, pull[rows], len(theta) - 1), pull.sum())
+    u = unlabelled(theta) / total
+    negative = u[0] - prior * (counts * np.log1p(np.exp(g))).sum() / n_p
+    value, grad = prior * (counts * np.log1p(np.exp(-g))).sum() / n_p, back(-prior * (1 - sig) * counts / n_p)
+    if negative >= 0:
+        value, grad = value + negative, grad + u[1:] + back(-prior * sig * counts / n_p)
+    shrunk = np.append(theta[:-1], 0.0)
+    return value + decay / 2 * float(shrunk @ shrunk), grad + decay * shrunk
+
+
+def minimise(risk, theta: np.ndarray, passes: int, memory: int = 8, enough: float = 1e-6) -> np.ndarray:
+    """Limited-memory BFGS with halved steps; at most ``passes`` evaluations of ``risk`` (value, gradient)."""
+    value, grad = risk(theta)
+    used, moves = 1, []
+    while used < passes and np.abs(grad).max() > enough:
+        q, scales = grad.copy(), []
+        for s, y in reversed(moves):
+            scales.append(float(s @ q) / float(s @ y))
+            q -= scales[-1] * y
+        if moves:
+            q *= float(moves[-1][0] @ moves[-1][1]) / float(moves[-1][1] @ moves[-1][1])
+        else:
+            q /= max(np.linalg.norm(grad), 1e-12)
+        for (s, y), a in zip(moves, reversed(scales), strict=True):
+            q += s * (a - float(y @ q) / float(s @ y))
+        step = 1.0
+        while True:
+            tried = theta - step * q
+            new, slope = risk(tried)
+            used += 1
+            if new <= value - 1e-4 * step * float(grad @ q) or used >= passes:
+                break
+            step /= 2
+        if new >= value:
+            break
+        if float((tried - theta) @ (slope - grad)) > 1e-14:
+            moves = [*moves, (tried - theta, slope - grad)][-memory:]
+        done = value - new < enough * abs(value)
+        theta, value, grad = tried, new, slope
+        if done:
+            break
+    return theta
+
+
+def _negatives(sets: DataFrame, width: int):
+    """The corpus's part of the risk: summed loss as negatives and its gradient, at any weights."""
+
+    def at(theta: np.ndarray) -> np.ndarray:
+        def wanted(rows, features, counts):
+            g = np.clip(np.bincount(rows, theta[features], len(counts)) + theta[-1], -60, 60)
+            pull = counts / (1 + np.exp(-g))
+            return np.concatenate([[(counts * np.log1p(np.exp(g))).sum()], np.bincount(features, pull[rows], width), [pull.sum()]])
+
+        return _summed(sets, wanted, width + 2)
+
+    return at
+
+
+def _estimated_prior(known, sets: DataFrame, total: float, width: int, decay: float, passes: int, guess: float = 0.05) -> float:
+    """The toxic share of the corpus, from positives and corpus alone.
+
+    A classifier learnt from every other positive ranks the rest and the corpus.  Above any cut at least as large a share
+    of the corpus lies as ``prior`` times that of the positives, so the smallest ratio of the two bounds it; both shares are
+    taken a standard deviation to the side that makes the ratio larger, which sees to cuts with few texts above them.
+    """
+    rows, features, counts = known
+    if len(counts) < 4:
+        return guess
+    even = np.arange(len(counts)) % 2 == 0
+    mine = even[rows]
+    part = (np.cumsum(even)[rows[mine]] - 1, features[mine], counts[even])
+    start = np.append(np.zeros(width), np.log(guess / (1 - guess)))
+    theta = minimise(lambda t: nnpu_risk(t, part, _negatives(sets, width), total, guess, decay), start, passes)
+    own = np.sort((np.bincount(rows, theta[features], len(counts)) + theta[-1])[~even])
+    cuts = np.unique(np.quantile(own, np.linspace(0, 0.75, 31)))
+
+    def above(rows, features, counts):
+        g = np.bincount(rows, theta[features], len(counts)) + theta[-1]
+        return (counts[:, None] * (g[:, None] >= cuts[None] - 1e-9)).sum(0)
+
+    over = _summed(sets, above, len(cuts))
+    share_p = (own[None] >= cuts[:, None] - 1e-9).mean(1)
+    surely = share_p - np.sqrt(share_p * (1 - share_p) / len(own))
+    return float(np.min((over + np.sqrt(over) + 1) / total / surely))
+
+
+def _fit_toxicity(known: DataFrame, corpus: DataFrame, prior: float | None, width: int, decay: float, passes: int) -> tuple[np.ndarray, float]:
+    """Weights of all features, and the bias."""
+    inside = lambda share: min(max(share, 1e-6), 1 - 1e-6)
+    size_p, size_u = known.count(), corpus.count()
+    decay /= max(size_p, 1) ** 0.5
+    if not size_p:
+        return np.zeros(1 << TOXIC_BITS, np.float32), float(np.log(inside(prior) / (1 - inside(prior))))
+    counted = _frequencies(known).withColumnRenamed("n", "p").join(_frequencies(corpus).withColumnRenamed("n", "u"), "f", "full").na.fill(0)
+    share_u, share_p = F.col("u") / size_u, F.col("p") / size_p
+    apart = F.abs(share_p - share_u) / F.sqrt(F.greatest(share_u * (1 - share_u), F.lit(1e-9)) / size_p + 1e-6)
+    best = counted.where("p + u >= 5").withColumn("apart", apart).where(F.col("apart") > CLEAR).orderBy(F.desc("apart"), "f").limit(width).select("f").collect()
+    place = np.full(1 << TOXIC_BITS, -1, np.int32)
+    place[[r.f for r in best]] = np.arange(len(best))
+    width = max(len(best), 1)
+    sets, few = stored(_feature_sets(corpus, place, width)), _feature_sets(known, place, width).orderBy("f").toPandas()
+    toxic = (*_flat(few["f"]), few["n"].to_numpy(np.float64))
+    if prior is None:
+        prior = _estimated_prior(toxic, sets, size_u, width, decay, passes)
+    start = np.append(np.zeros(width), np.log(inside(prior) / (1 - inside(prior))))
+    theta = minimise(lambda t: nnpu_risk(t, toxic, _negatives(sets, width), size_u, inside(prior), decay), start, passes)
     weights = np.zeros(1 << TOXIC_BITS, np.float32)
-    weights[[r.f for r in best]] = w[: len(best)]
-    return weights, b
+    weights[[r.f for r in best]] = theta[: len(best)]
+    return weights, float(theta[-1])
 
 
 def _toxicity_scores(weights: np.ndarray, bias: float):
