@@ -59,13 +59,23 @@ def _reach(unit: np.ndarray, centres: np.ndarray, sine: float) -> tuple[np.ndarr
     cosines = unit @ centres.T
     home = cosines.argmax(1)
     rows = np.arange(len(unit))
-    gaps = np.linalg.norm(centres[:, None] - centres[None], axis=2) * sine + 1e-12
-    reach = cosines[rows, home][:, None] - cosines <= gaps[home]
+    # Unit centres are sqrt(2 - 2 cosine) apart; the slack covers the rounding of that root.
+    gaps = np.sqrt(np.maximum(2 - 2 * (centres[home] @ centres.T), 0)) * sine + 1e-7
+    reach = cosines[rows, home][:, None] - cosines <= gaps
     reach &= np.arange(len(centres)) < home[:, None]
     reach[rows, home] = True
     return home, reach
 
 
+def _places(unit: np.ndarray, centres: np.ndarray, sine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, cell, and whether that is the row's home, for every cell a row is dealt to."""
+    if unit.shape[1] != centres.shape[1]:  # other dimensions meet in one cell of their own
+        return np.arange(len(unit)), np.zeros(len(unit), np.int64), np.ones(len(unit), bool)
+    home, reach = _reach(unit, centres, sine)
+    src, cell = np.nonzero(reach)
+    return src, cell, cell == home[src]
+
+
 def _spread(unit: np.ndarray) -> float:
     """Effective number of dimensions in which vectors differ (the participation ratio of their covariance)."""
     if len(unit) < 2:
@@ -84,6 +94,9 @@ def near_duplicate_vectors(
     k-means centres, fitted on at most ``sample`` vectors, deal the representatives into ``cells`` cells: by default
     the square root of the rows of a label, which balances finding a vector's cell against comparing in it.
     A vector is compared in its own cell and is a guest in the lower-numbered cells whose border is near.
+    More cells than a quarter of ``sample`` come in two levels: the square root of them are fitted on the sample, and
+    each is divided by centres fitted in its own task on at most ``sample`` of its vectors.  A pair meets in the lower
+    home of the first level, where both are dealt, and there in the lower home of the second.
 
     How near follows from the threshold's angle.  In the worst direction a linked vector reaches over a border
     ``sin(angle)`` away; in a random direction of ``d`` dimensions it gets ``1 / sqrt(d)`` of that far in one standard
@@ -126,19 +139,64 @@ def near_duplicate_vectors(
     )
 
 
+def _levels(reps: DataFrame, sample: int, cells: int | None) -> tuple[int, int]:
+    """How many cells, and into how many each is divided again: one level as long as a quarter of ``sample`` suffices."""
+    counts = reps.agg(F.count("*").alias("n"), F.approx_count_distinct("lab").alias("labels")).first()
+    wanted = cells or max(1, round(np.sqrt(counts.n / max(counts.labels, 1))))
+    most = max(1, sample // 4)
+    if wanted <= most or counts.n <= sample:
+        return wanted, 1
+    outer = min(most, int(np.ceil(np.sqrt(wanted))))
+    return outer, -(-wanted // outer)
+
+
 def _centres(reps: DataFrame, sample: int, cells: int | None) -> np.ndarray:
     """Cell centres: no more than a quarter of the fitted vectors."""
     unit = _unit(_sample(reps, sample, "rep", "emb"))
-    counts = reps.agg(F.count("*").alias("n"), F.approx_count_distinct("lab").alias("labels")).first()
-    wanted = cells or round(np.sqrt(counts.n / max(counts.labels, 1)))
-    k = max(1, min(wanted, len(unit) // 4))
+    k = max(1, min(cells or _levels(reps, sample, None)[0], len(unit) // 4))
     return spherical_kmeans(unit, k) if len(unit) else np.ones((1, max(unit.shape[1], 1)))
 
 
+def _divided(dealt: DataFrame, inner: int, sine: float, sample: int, share: int = 8192) -> DataFrame:
+    """``dealt`` again, over ``inner`` cells inside each cell; bit 2 of ``home`` tells the home among these.
+
+    Centres stay in tasks: those of a cell meet its rows in shares of about ``share``.
+    """
+    cell = ["size", "cell"]
+    nth = F.row_number().over(Window.partitionBy(*cell).orderBy(F.xxhash64("rep", F.lit(13)), "rep"))
+    picked = dealt.where("home = 1").select(*cell, "rep", "unit").withColumn("nth", nth).where(F.col("nth") <= sample)
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        unit = np.frombuffer(b"".join(group["unit"]), np.float64).reshape(len(group), -1)
+        centres = spherical_kmeans(unit, max(1, min(inner, len(unit) // 4)))
+        return group[cell].head(1).assign(centres=[centres.tobytes()])
+
+    def deal(rows: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or fitted.empty:  # guests alone never link
+            return rows.iloc[:0][columns]
+        unit = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), -1)
+        centres = np.frombuffer(fitted["centres"].iloc[0], np.float64).reshape(-1, unit.shape[1])
+        made = []
+        for lo in range(0, len(rows), 1024):
+            src, sub, at_home = _places(unit[lo : lo + 1024], centres, sine)
+            part = rows.iloc[lo + src][columns]
+            made.append(part.assign(cell=part["cell"] * inner + sub, home=part["home"] | at_home.astype(np.int64) << 1))
+        return pd.concat(made)
+
+    columns = ["lab", "size", "cell", "rep", "n", "home", "unit"]
+    shares = cut(dealt.groupBy(*cell).agg(F.ceil(F.count("*") / share).cast("int").alias("m")))
+    part = F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("part")
+    fitted = picked.groupBy(*cell).applyInPandas(fit, "size int, cell int, centres binary").join(shares, cell).select(*cell, "centres", part)
+    rows = dealt.join(small(shares, 100_000), cell).withColumn("part", F.pmod(F.xxhash64("rep", "lab"), F.col("m")).cast("int")).drop("m")
+    both = rows.groupBy(*cell, "part").cogroup(fitted.groupBy(*cell, "part"))
+    return cut(both.applyInPandas(deal, dealt.schema))
+
+
 def _compared(reps, threshold, sample, block, margin, cells) -> DataFrame:
     """(a, null, linked rows) for representatives with links, and (a, b, null) for a forest of the links."""
     sine = float(np.sqrt(max(0.0, 1 - threshold * threshold))) if threshold > 0 else 2.0
-    centres = _centres(reps, sample, cells)
+    outer, inner = _levels(reps, sample, cells)
+    centres = _centres(reps, sample, outer)
     if margin is not None:
         sine *= min(1.0, margin / np.sqrt(_spread(_unit(_sample(reps, 1024, "rep", "emb")))))
 
@@ -155,21 +213,20 @@ def _compared(reps, threshold, sample, block, margin, cells) -> DataFrame:
                 same = np.flatnonzero(sizes == size)
                 for at in np.split(same, range(1024, len(same), 1024)):
                     unit = _unit(flat[firsts[at][:, None] + np.arange(size)])
-                    if size == centres.shape[1]:
-                        home, reach = _reach(unit, centres, sine)
-                    else:  # other dimensions meet in one cell of their own
-                        home, reach = np.zeros(len(at), np.int64), np.ones((len(at), 1), bool)
-                    src, cell = np.nonzero(reach)
+                    src, cell, at_home = _places(unit, centres, sine)
                     written = [v.tobytes() for v in unit]
                     yield pa.RecordBatch.from_pydict({
                         "lab": pa.array(labels[at][src], pa.string()), "size": pa.array(np.full(len(src), size), pa.int32()),
                         "cell": pa.array(cell, pa.int32()), "rep": pa.array(ids[at][src], pa.int64()), "n": pa.array(n[at][src], pa.int64()),
-                        "home": pa.array(cell == home[src]), "unit": pa.array([written[i] for i in src], pa.binary()),
+                        "home": pa.array(at_home, pa.int8()), "unit": pa.array([written[i] for i in src], pa.binary()),
                     })
 
     dealt = cut(reps.select("rep", "lab", "n", "emb").mapInArrow(
-        deal, "lab string, size int, cell int, rep long, n long, home boolean, unit binary"
+        deal, "lab string, size int, cell int, rep long, n long, home tinyint, unit binary"
     ))
+    if inner > 1:
+        dealt = _divided(dealt, inner, sine, sample)
+    full = 1 if inner == 1 else 3
     cell = ["lab", "size", "cell"]
     blocks = dealt.groupBy(*cell).agg(F.ceil(F.count("*") / block).cast("int").alias("m"))
     dealt = (
@@ -186,7 +243,7 @@ def _compared(reps, threshold, sample, block, margin, cells) -> DataFrame:
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         linked, ups, downs = np.zeros(len(ids)), [], []
         for strip in np.split(left, range(256, len(left), 256)):  # bounds the matrix, whatever share of it links
-            hit = (unit[strip] @ unit[right].T >= threshold) & (home[strip][:, None] | home[right])  # guests meet at a home
+            hit = (unit[strip] @ unit[right].T >= threshold) & ((home[strip][:, None] | home[right]) == full)  # guests meet at a home
             at = np.argwhere(hit)
             a, b = strip[at[:, 0]], right[at[:, 1]]
             keep = ids[a] < ids[b] if i == j else ids[a] != ids[b]
