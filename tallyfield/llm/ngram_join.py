@@ -67,8 +67,8 @@ def _signatures(n: int, bands: int, rows: int, seed: int):
                 packed = pa.FixedSizeListArray.from_arrays(pa.array(band_hashes.view(np.int64).ravel()), bands)
                 yield pa.RecordBatch.from_arrays(
                     [ids, h, pa.array(key[:, 0].view(np.int64)), pa.array(key[:, 1].view(np.int64)),
-                     pa.array(count > 0), packed.cast(pa.list_(pa.int64()))],
-                    names=["id", "h", "k1", "k2", "filled", "bands"],
+                     pa.array(count > 0), pa.array(count.astype(np.int64)), packed.cast(pa.list_(pa.int64()))],
+                    names=["id", "h", "k1", "k2", "filled", "size", "bands"],
                 )
         release()
 
@@ -145,29 +145,31 @@ def _buckets(classes: DataFrame, bands: int) -> DataFrame:
     return found.select("node", shared.alias("shared"))
 
 
-def _linked_classes(docs: DataFrame, n: int, similarity: float, recall: float, chunk: int, seed: int, id_col: str, text: str):
+def _linked_classes(docs: DataFrame, n: int, similarity: float, recall: float, chunk: int, block: int, seed: int, id_col: str, text: str):
     """Signed rows (id, h, k1, k2, filled), and the classes of equal shingle sets with links and components."""
     bands, rows = plan_bands(similarity, recall)
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    signed = cut(named.mapInArrow(_signatures(n, bands, rows, seed), "id long, h long, k1 long, k2 long, filled boolean, bands array<long>"))
+    signed = cut(named.mapInArrow(_signatures(n, bands, rows, seed), "id long, h long, k1 long, k2 long, filled boolean, size long, bands array<long>"))
     # The first row of a class stands for it; nodes are numbered in the order of their ids, null last.
-    first = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "h", "bands")).alias("m")
+    first = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "h", "bands", "size")).alias("m")
     grouped = signed.where("filled").groupBy("k1", "k2").agg(first, F.count("*").alias("n"))
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = grouped.repartitionByRange(ranges, "m.no", "m.id", "m.h", "k1").sortWithinPartitions("m.no", "m.id", "m.h", "k1")
     classes = cut(grouped.select(
         F.monotonically_increasing_id().alias("node"), "k1", "k2", "n", F.col("m.id").alias("rep"), F.col("m.h").alias("h"),
-        F.col("m.bands").alias("bands"),
+        F.col("m.bands").alias("bands"), F.least(F.col("m.size"), F.lit(block)).alias("size"),
     ))
-    members = cut(_buckets(classes, bands).join(classes.select("node", "rep", "h", "n"), "node"))
-    bundles = max(1, -(-members.count() // chunk))
+    members = cut(_buckets(classes, bands).join(classes.select("node", "rep", "h", "n", "size"), "node"))
+    # As many chunks as rows and shingles ask for; one text of more than ``block`` counts as a chunk.
+    chunks = F.greatest(F.ceil(F.count("*") / chunk), F.ceil(F.sum("size") / block)).cast("int")
+    bundles = max(1, members.agg(chunks).first()[0] or 0)
     texts = (
         named.withColumn("rep", F.coalesce("id", F.lit(-1))).select("rep", "h", "text")
         .join(members.withColumn("rep", F.coalesce("rep", F.lit(-1))), ["rep", "h"]).dropDuplicates(["rep", "h", "node"])
         .select("node", "n", "shared", "text", F.explode(F.array_distinct(F.filter("shared", lambda b: b != 0))).alias("bucket"))
     )
-    sizes = members.select(F.explode(F.array_distinct("shared")).alias("bucket")).where("bucket <> 0").groupBy("bucket").count()
-    large = sizes.where(F.col("count") > chunk).select("bucket", F.ceil(F.col("count") / chunk).cast("int").alias("chunks"))
+    sizes = members.select(F.explode(F.array_distinct("shared")).alias("bucket"), "size").where("bucket <> 0").groupBy("bucket")
+    large = sizes.agg(chunks.alias("chunks")).where("chunks > 1")
     texts = (
         texts.join(small(cut(large), 100_000), "bucket", "left").withColumn("m", F.coalesce("chunks", F.lit(1)))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
@@ -182,16 +184,16 @@ def _linked_classes(docs: DataFrame, n: int, similarity: float, recall: float, c
     comps = components(found.where("b IS NOT NULL").select("a", "b"))
     least = classes.select(F.col("node").alias("component"), F.col("rep").alias("component_rep"))
     known = (
-        classes.drop("bands").join(links, "node", "left").join(comps.join(least, "component"), "node", "left")
+        classes.drop("bands", "size").join(links, "node", "left").join(comps.join(least, "component"), "node", "left")
         .select("k1", "k2", "rep", "h", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
                 F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("component_rep")).alias("component_id"),
                 (F.coalesce("component", "node") == F.col("node")).alias("stands"))
     )
-    return signed.drop("bands"), known
+    return signed.drop("bands", "size"), known
 
 
 def ngram_jaccard_join(
-    docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.99999, chunk: int = 128,
+    docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.99999, chunk: int = 128, block: int = 1 << 18,
     seed: int = 3, id_col: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Link documents whose sets of ``n``-word shingles have a Jaccard similarity of ``similarity`` or more.
@@ -200,8 +202,8 @@ def ngram_jaccard_join(
     copies never meet in pairs.  Band and row counts follow from ``recall`` at ``similarity``
     (22 bands of 4 rows for the defaults).  Band hashes of classes are shuffled; classes that share a band
     hash form a bucket, and pairs are verified on whole shingle sets inside their buckets only, in the
-    first one that they share.  Buckets of equal members are one.  A bucket of more than ``chunk`` classes is
-    dealt into chunks and every pair of chunks is verified apart, so no bucket is gathered in one place and no
+    first one that they share.  Buckets of equal members are one.  A bucket of more than ``chunk`` classes or
+    ``block`` shingles is dealt into chunks (a longer text is one by itself) and every pair of chunks is verified apart, so no bucket is gathered in one place and no
     partner is capped.  Components are built from verified links alone.
 
     One row per document: ``id_col``; ``class_id``, the smallest id of equal shingle sets; ``n_links``,
@@ -211,7 +213,7 @@ def ngram_jaccard_join(
     others and stay null; ids that are null count after all others.  Rows that repeat are documents of their
     own, and different texts under one id are classes of their own.  Other columns are dropped.
     """
-    signed, known = _linked_classes(docs, n, similarity, recall, chunk, seed, id_col, text)
+    signed, known = _linked_classes(docs, n, similarity, recall, chunk, block, seed, id_col, text)
     known = known.drop("h").withColumn("filled", F.lit(True))
     out = signed.join(known, ["k1", "k2", "filled"], "left")
     own = lambda c: F.when(F.col("filled"), F.col(c)).otherwise(F.col("id"))
@@ -223,7 +225,7 @@ def ngram_jaccard_join(
 
 
 def drop_near_copies(
-    docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.99999, chunk: int = 128,
+    docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.99999, chunk: int = 128, block: int = 1 << 18,
     seed: int = 3, id_col: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """``docs`` with one document of each component of ``ngram_jaccard_join`` (the smallest id), columns unchanged.
@@ -231,7 +233,7 @@ def drop_near_copies(
     Documents linked with nothing stay; those without a word all stay.  Of rows that repeat the kept id and
     text one stays; other texts under that id are judged by their own links.
     """
-    _, known = _linked_classes(docs, n, similarity, recall, chunk, seed, id_col, text)
+    _, known = _linked_classes(docs, n, similarity, recall, chunk, block, seed, id_col, text)
     key = ["rep", "h", "no"]
     kept = known.where("stands").select(F.coalesce("rep", F.lit(-1)).alias("rep"), "h", F.col("rep").isNull().alias("no"))
     # Whole rows travel as one column, so that no name of theirs meets one of these.
