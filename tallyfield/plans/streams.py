@@ -127,9 +127,10 @@ SELECT user_id, event_id, CASE WHEN next <= due THEN 'closed' WHEN due <= final
   due > seen AND (next IS NULL OR next > seen) AS was_open FROM z""")
 def stream_open_intervals(t):
     events, folder = _arriving(t, "user_id", "event_id")
+    groups = timed.groups_for(events.count())
     with timed.timers_on(t.spark):
         reports = timed.run_deliveries(events, "delivery", folder,
-            lambda stream: timed.to_folder(timed.open_intervals(stream, "user_id", "event_id", "at", DELAY, 12 * 3600), folder))
+            lambda stream: timed.to_folder(timed.open_intervals(stream, "user_id", "event_id", "at", DELAY, 12 * 3600, groups), folder))
     as_of = F.unix_micros(F.lit(timed.last_watermark(reports)).cast("timestamp"))
     states = timed.interval_states(t.spark.read.parquet(f"{folder}/out"), as_of)
     return states.select(F.col("key").alias("user_id"), F.col("id").alias("event_id"), "state", "counted_us", "was_open")
@@ -143,9 +144,10 @@ b AS (SELECT user_id, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_u
 SELECT user_id, first_us, last_us, n FROM b, f WHERE last + INTERVAL 3 HOUR <= final""")
 def stream_debounced(t):
     events, folder = _arriving(t, "user_id")
+    groups = timed.groups_for(events.count())
     with timed.timers_on(t.spark):
         timed.run_deliveries(events, "delivery", folder,
-            lambda stream: timed.to_folder(timed.debounced(stream, "user_id", "at", DELAY, 3 * 3600), folder))
+            lambda stream: timed.to_folder(timed.debounced(stream, "user_id", "at", DELAY, 3 * 3600, groups), folder))
     return t.spark.read.parquet(f"{folder}/out").withColumnRenamed("key", "user_id")
 
 
