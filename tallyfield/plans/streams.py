@@ -106,11 +106,12 @@ b AS (SELECT user_id, day, min(s) AS block_start, max(e) AS block_end, count(*)
 SELECT user_id, day, block_start, block_end, entries FROM b, f WHERE block_end <= final""")
 def stream_interval_sessions(t):
     events, folder = _arriving(t, "user_id", "event_id", "value")
+    groups = timed.groups_for(events.count())
     again = events.withColumn("delivery", F.col("delivery") + 1)  # every pull brings what the one before had, too
 
     def build(stream):
         length = F.concat(F.floor("value").cast("long").cast("string"), F.lit(" minutes"))
-        merged = timed.interval_sessions(stream.withColumn("day", F.to_date("at")), "event_id", "at", length, DELAY, ["user_id", "day"])
+        merged = timed.interval_sessions(stream.withColumn("day", F.to_date("at")), "event_id", "at", length, DELAY, ["user_id", "day"], groups)
         return timed.to_folder(merged, folder)
 
     timed.run_deliveries(events.union(again), "delivery", folder, build)
